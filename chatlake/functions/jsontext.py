@@ -3,11 +3,14 @@
 ``from_json`` accepts text after the value it reads. Here the text is put into
 an array followed by a marker element, and counts as valid only when exactly
 that one value and the marker come back.
+
+The steps are columns of their own rather than one nested expression, so that
+each text is trimmed and parsed once per row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatlake.functions.text import strip_json
@@ -16,39 +19,36 @@ _MARK = "__end_of_value"
 _OPTIONS = {"allowSingleQuotes": "false"}
 
 
-def _single_object(text: Column, element: str, mark: Column) -> Column:
-    body = strip_json(text)
-    parsed = F.from_json(
-        F.concat(F.lit("["), body, F.lit(f',{{"{_MARK}":"1"}}]')), f"array<{element}>", _OPTIONS
-    )
-    looks_like_object = (
+def _with_value(df: DataFrame, into: str, text: Column, element: str, mark) -> DataFrame:
+    body, parsed = F.col(f"_{into}_text"), F.col(f"_{into}_values")
+    is_object = (
         F.startswith(body, F.lit("{")) & F.endswith(body, F.lit("}")) & ~F.contains(body, F.lit(_MARK))
     )
-    valid = F.transform(
-        F.array(parsed),
-        lambda p: F.when(
-            (F.size(p) == 2) & (mark(F.try_element_at(p, F.lit(2))) == "1"),
-            F.try_element_at(p, F.lit(1)),
-        ),
+    values = F.from_json(
+        F.concat(F.lit("["), body, F.lit(f',{{"{_MARK}":"1"}}]')), f"array<{element}>", _OPTIONS
+    )
+    complete = (F.size(parsed) == 2) & (mark(F.try_element_at(parsed, F.lit(2))) == "1")
+    return (
+        df.withColumn(f"_{into}_text", strip_json(text))
+        .withColumn(f"_{into}_values", F.when(is_object, values))
+        .withColumn(into, F.when(complete, F.try_element_at(parsed, F.lit(1))))
+        .drop(f"_{into}_text", f"_{into}_values")
     )
-    return F.when(looks_like_object, F.try_element_at(valid, F.lit(1)))
-
 
-def parse_object(text: Column, fields: str) -> Column:
-    """Parse a JSON object into a struct with ``fields`` (DDL ``name:type`` list).
 
-    Null for anything that is not exactly one JSON object.
-    """
-    return _single_object(
-        text, f"struct<{fields},{_MARK}:string>", lambda element: element.getField(_MARK)
+def with_object(df: DataFrame, into: str, text: Column, fields: str) -> DataFrame:
+    """Add ``into``: the JSON object in ``text`` as a struct with ``fields``
+    (DDL ``name:type`` list), null for anything but exactly one object."""
+    return _with_value(
+        df, into, text, f"struct<{fields},{_MARK}:string>", lambda element: element.getField(_MARK)
     )
 
 
-def parse_map(text: Column) -> Column:
-    """Parse a JSON object into ``map<string,string>``; null when it is none.
+def with_map(df: DataFrame, into: str, text: Column) -> DataFrame:
+    """Add ``into``: the JSON object in ``text`` as ``map<string,string>``.
 
     Nested values stay compact JSON text and a JSON null is a null value.
     """
-    return _single_object(
-        text, "map<string,string>", lambda element: F.try_element_at(element, F.lit(_MARK))
+    return _with_value(
+        df, into, text, "map<string,string>", lambda element: F.try_element_at(element, F.lit(_MARK))
     )

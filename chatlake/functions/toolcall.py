@@ -1,15 +1,15 @@
 """Tool calls in model replies: finding, comparing and scoring them.
 
-Everything is a Column expression, so scoring stays inside the JVM.
+Everything is built-in expressions, so scoring stays inside the JVM.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatlake import schemas
-from chatlake.functions.jsontext import parse_map, parse_object
+from chatlake.functions.jsontext import with_map, with_object
 from chatlake.functions.text import UNICODE_SPACE, strip
 
 # The tags around a call in a reply.
@@ -28,30 +28,34 @@ def _as_call(parsed: Column, present: Column) -> Column:
     return F.when(present, call.cast(schemas.TOOL_CALL))
 
 
-def parse_tool_call(text: Column) -> Column:
-    """The tool call in a reply as ``struct<name,arguments>``, or null.
+def with_tool_call(df: DataFrame, text: str = "predicted_text", into: str = "predicted_tool") -> DataFrame:
+    """Add the tool call in a reply as ``struct<name,arguments>``, or null.
 
     The first tagged JSON object wins. When there is none, or it is not valid
     JSON, the whole stripped reply must be a JSON object with a name.
     """
-
-    def bind(value: Column, body) -> Column:
-        return F.try_element_at(F.transform(F.array(value), body), F.lit(1))
-
-    tagged = bind(
-        parse_object(F.regexp_extract(text, CALL_PATTERN, 1), _CALL_FIELDS),
-        lambda p: _as_call(p, p.isNotNull()),
+    tagged, whole = F.col("_tagged"), F.col("_whole")
+    in_tag = df.withColumn("_in_tag", F.regexp_extract(text, CALL_PATTERN, 1))
+    first = with_object(in_tag, "_tagged", F.col("_in_tag"), _CALL_FIELDS)
+    rest = F.when(tagged.isNull(), strip(F.col(text)))
+    return (
+        with_object(first, "_whole", rest, _CALL_FIELDS)
+        .withColumn(
+            into,
+            F.coalesce(
+                _as_call(tagged, tagged.isNotNull()),
+                _as_call(whole, whole.getField("name").isNotNull()),
+            ),
+        )
+        .drop("_in_tag", "_tagged", "_whole")
     )
-    whole = bind(
-        parse_object(strip(text), _CALL_FIELDS),
-        lambda p: _as_call(p, p.getField("name").isNotNull()),
-    )
-    return F.coalesce(tagged, whole)
 
 
-def normalize_arguments(arguments: Column) -> Column:
-    """Arguments as ``map<string,string>``; anything but a JSON object is empty."""
-    return F.coalesce(parse_map(arguments), F.create_map().cast("map<string,string>"))
+def with_arguments(df: DataFrame, into: str, arguments: Column) -> DataFrame:
+    """Add call arguments as ``map<string,string>``; anything but a JSON object
+    is an empty map."""
+    empty = F.create_map().cast("map<string,string>")
+    return with_map(df, into, arguments).withColumn(into, F.coalesce(into, empty))
 
 
 def arguments_match(predicted: Column, expected: Column) -> Column:
@@ -83,17 +87,6 @@ def name_match(predicted: Column, expected: Column) -> Column:
     return both_absent | (predicted.isNotNull() & expected.isNotNull() & F.coalesce(same, F.lit(False)))
 
 
-def call_arguments_match(predicted: Column, expected: Column, names_match: Column) -> Column:
-    """Argument match of two calls; true without tools, false on other names."""
-    compared = arguments_match(
-        normalize_arguments(predicted.getField("arguments")),
-        normalize_arguments(expected.getField("arguments")),
-    )
-    return F.when(predicted.isNull() & expected.isNull(), F.lit(True)).otherwise(
-        F.when(names_match, compared).otherwise(F.lit(False))
-    )
-
-
 def false_positive(predicted: Column, expected: Column) -> Column:
     return predicted.isNotNull() & expected.isNull()
 

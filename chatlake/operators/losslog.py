@@ -57,15 +57,16 @@ def trace(
     keys = ["run_id"]
     local = inside_block(keys, order)
     # the place inside the block first, then the best among the block's rows so far
-    placed = with_block(losses, order, block_rows).withColumn(
-        "_local_place", F.count("*").over(local)
-    )
+    narrow = losses.select("run_id", order, "iter", "val_loss")
+    spread = with_block(narrow, order, block_rows).repartition("run_id", "_block")
+    placed = spread.withColumn("_local_place", F.count("*").over(local))
     scanned = placed.withColumn(
         "_local_best",
         F.min(_best(F.col("val_loss"), F.col("_local_place"), F.col("iter"))).over(local),
     )
     totals = placed.groupBy("run_id", "_block").agg(
         F.count("*").alias("_n"),
+        F.max(order).alias("_last"),
         F.min(_best(F.col("val_loss"), F.col("_local_place"), F.col("iter"))).alias("_best"),
     )
     before = earlier_blocks(keys)

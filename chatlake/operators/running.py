@@ -29,10 +29,9 @@ def inside_block(keys: list[str], position: str):
 
 
 def earlier_blocks(keys: list[str]):
-    """Window over the earlier rows of a per-block table."""
-    return (
-        Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    """Window over the earlier rows of a per-block table with the ``_last``
+    position of each block."""
+    return Window.partitionBy(*keys).orderBy("_last").rowsBetween(Window.unboundedPreceding, -1)
 
 
 def join_blocks(df: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFrame:
@@ -47,10 +46,15 @@ def running_sums(
     values: dict[str, Column],
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Running sum of each of ``values`` per key in the order of ``position``."""
-    blocked = with_block(df, position, block_rows)
+    """Running sum of each of ``values`` per key in the order of ``position``.
+
+    The result has the keys, the position and the sums.
+    """
+    narrow = df.select(*keys, position, *[value.alias(name) for name, value in values.items()])
+    # spread once by key and block; both uses below read this one shuffle
+    blocked = with_block(narrow, position, block_rows).repartition(*keys, "_block")
     totals = blocked.groupBy(*keys, "_block").agg(
-        *[F.sum(value).alias(f"_total_{name}") for name, value in values.items()]
+        F.max(position).alias("_last"), *[F.sum(name).alias(f"_total_{name}") for name in values]
     )
     before = totals.select(
         *keys,
@@ -61,13 +65,8 @@ def running_sums(
         ],
     )
     local = inside_block(keys, position)
-    return (
-        join_blocks(blocked, before, keys)
-        .withColumns(
-            {
-                name: F.sum(value).over(local) + F.col(f"_before_{name}")
-                for name, value in values.items()
-            }
-        )
-        .drop("_block", *[f"_before_{name}" for name in values])
+    return join_blocks(blocked, before, keys).select(
+        *keys,
+        position,
+        *[(F.sum(name).over(local) + F.col(f"_before_{name}")).alias(name) for name in values],
     )

@@ -34,12 +34,16 @@ MORE = "*%d more failures not shown — see results.json*"
 
 
 def first_failures(scored: DataFrame, limit: int = MAX_FAILURES) -> DataFrame:
-    """The first failures in index order, with cut input and reply. Only the
-    best ``limit`` rows of each task are kept on the way."""
+    """The first failures in index order, with cut input and reply.
+
+    Failures sort before correct examples, so a top-k over both and a filter of
+    its result score each example once; a filter in front would be pushed into
+    the scoring and repeat it.
+    """
     return (
-        scored.filter(~F.col("correct"))
-        .orderBy("example_index")
+        scored.orderBy("correct", "example_index")
         .limit(limit)
+        .filter(~F.col("correct"))
         .select(
             "example_index",
             F.substring("input", 1, INPUT_CHARS).alias("input"),

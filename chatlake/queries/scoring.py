@@ -56,24 +56,20 @@ def expected_tool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_tool_call(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = _joined(spark, sf_dir).select(
-        "example_index", C.parse_tool_call(F.col("predicted_text")).alias("call")
-    )
+    called = C.with_tool_call(_joined(spark, sf_dir))
+    parsed = C.with_arguments(called, "arguments", F.col("predicted_tool.arguments"))
     return parsed.select(
         "example_index",
-        F.col("call.name").alias("name"),
-        F.try_element_at(C.normalize_arguments(F.col("call.arguments")), F.lit("k")).alias("k"),
+        F.col("predicted_tool.name").alias("name"),
+        F.try_element_at("arguments", F.lit("k")).alias("k"),
     )
 
 
 def args_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arguments of neighbouring events compared without regard to names."""
-    joined = _joined(spark, sf_dir)
-    maps = joined.select(
-        "example_index",
-        C.normalize_arguments(C.parse_tool_call(F.col("predicted_text")).getField("arguments")).alias("p"),
-        C.normalize_arguments(F.col("expected_tool.arguments")).alias("e"),
-    )
+    called = C.with_tool_call(_joined(spark, sf_dir))
+    maps = C.with_arguments(called, "p", F.col("predicted_tool.arguments"))
+    maps = C.with_arguments(maps, "e", F.col("expected_tool.arguments"))
     return maps.select("example_index", C.arguments_match(F.col("p"), F.col("e")).alias("args_match"))
 
 
@@ -150,12 +146,12 @@ def stub_model():
 
 def predict_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompts = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("prompt"))
-    replies = predict(prompts, stub_model)
-    call = C.parse_tool_call(F.col("predicted_text"))
-    return replies.select("doc_id", call.alias("call")).select(
+    called = C.with_tool_call(predict(prompts, stub_model))
+    parsed = C.with_arguments(called, "arguments", F.col("predicted_tool.arguments"))
+    return parsed.select(
         "doc_id",
-        F.col("call.name").alias("name"),
-        F.try_element_at(C.normalize_arguments(F.col("call.arguments")), F.lit("n")).cast("long").alias("n"),
+        F.col("predicted_tool.name").alias("name"),
+        F.try_element_at("arguments", F.lit("n")).cast("long").alias("n"),
     )
 
 

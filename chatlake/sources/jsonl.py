@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatlake.formats.base import INDEX, Format
-from chatlake.functions.jsontext import parse_object
+from chatlake.functions.jsontext import with_object
 from chatlake.functions.text import strip
 from chatlake.operators.ordering import sum_before
 from chatlake.session import lookup, staged_path
@@ -58,7 +58,7 @@ def parse(lines: DataFrame, fields: str) -> DataFrame:
     """
     names = T._parse_datatype_string(f"struct<{fields}>").names
     return (
-        lines.withColumn("_row", parse_object(F.col("raw"), fields))
+        with_object(lines, "_row", F.col("raw"), fields)
         .filter(F.col("_row").isNotNull())
         .select(INDEX, "raw", *[F.col("_row").getField(n).alias(n) for n in names])
     )
