@@ -5,21 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatlake.operators.running import (
-    BLOCK_ROWS,
-    earlier_blocks,
-    inside_block,
-    join_blocks,
-    with_block,
-)
+from chatlake.operators.running import BLOCK_ROWS, earlier_blocks, inside_block, spread_by_block, with_keys
 
 # Fixed value: how a trainer reports a validation.
 LOSS_PATTERN = r"Iter (\d+): Val loss ([0-9.]+)"
 
 DEFAULT_PATIENCE = 2
 
-RESULT = "run_id, best_iter, best_val_loss, stop_iter"
-
 
 def parse_losses(lines: DataFrame, line: str = "line") -> DataFrame:
     """Validation losses in a log; other lines, and losses that are not a
@@ -55,41 +47,37 @@ def trace(
     Adds ``place`` (1-based), ``best`` (struct) and ``no_improve``.
     """
     keys = ["run_id"]
-    local = inside_block(keys, order)
-    # the place inside the block first, then the best among the block's rows so far
+    local = inside_block(order)
     narrow = losses.select("run_id", order, "iter", "val_loss")
-    spread = with_block(narrow, order, block_rows).repartition("run_id", "_block")
+    spread = spread_by_block(narrow, keys, order, block_rows).drop(*keys)
+    # the place inside the block first, then the best among the block's rows so far
     placed = spread.withColumn("_local_place", F.count("*").over(local))
-    scanned = placed.withColumn(
-        "_local_best",
-        F.min(_best(F.col("val_loss"), F.col("_local_place"), F.col("iter"))).over(local),
-    )
-    totals = placed.groupBy("run_id", "_block").agg(
-        F.count("*").alias("_n"),
-        F.max(order).alias("_last"),
-        F.min(_best(F.col("val_loss"), F.col("_local_place"), F.col("iter"))).alias("_best"),
+    candidate = _best(F.col("val_loss"), F.col("_local_place"), F.col("iter"))
+    scanned = placed.withColumn("_local_best", F.min(candidate).over(local))
+    totals = placed.groupBy("_block").agg(
+        F.count("*").alias("_n"), F.max(order).alias("_last"), F.min(candidate).alias("_best")
     )
     before = earlier_blocks(keys)
-    counted = totals.withColumn("_n_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    counted = with_keys(totals, keys).withColumn("_n_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     shifted = counted.withColumn("_best", _shift(F.col("_best"), F.col("_n_before")))
-    state = shifted.select(
-        "run_id", "_block", "_n_before", F.min("_best").over(before).alias("_best_before")
-    )
+    state = shifted.select("run_id", "_block", "_n_before", F.min("_best").over(before).alias("_best_before"))
     if carried is not None:
         # places of carried bests are zero or negative: validations before this batch
         known = carried.select(
             "run_id", _best(F.col("best_val_loss"), -F.col("no_improve"), F.col("best_iter")).alias("_known")
         )
-        state = state.join(known, "run_id", "left").withColumn(
-            "_best_before", F.least(F.col("_known"), F.col("_best_before"))
-        ).drop("_known")
-    best = F.least(F.col("_best_before"), _shift(F.col("_local_best"), F.col("_n_before")))
+        state = (
+            state.join(known, "run_id", "left")
+            .withColumn("_best_before", F.least("_known", "_best_before"))
+            .drop("_known")
+        )
+    best = F.least("_best_before", _shift(F.col("_local_best"), F.col("_n_before")))
     return (
-        join_blocks(scanned, state, keys)
+        scanned.join(state, "_block")
         .withColumn("place", F.col("_local_place") + F.col("_n_before"))
         .withColumn("best", best)
         .withColumn("no_improve", F.col("place") - F.col("best.place"))
-        .drop("_block", "_local_place", "_local_best", "_n_before", "_best_before")
+        .select("run_id", order, "iter", "val_loss", "place", "best", "no_improve")
     )
 
 

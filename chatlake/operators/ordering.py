@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatlake.session import checkpointed, lookup
+from chatlake.session import BROADCAST_LIMIT_BYTES, checkpointed
 
 # monotonically_increasing_id keeps the row number in a partition in its low 33 bits.
 _ROW_BITS = 33
@@ -61,7 +61,10 @@ def index_by_file(files: DataFrame, index: str = "example_index") -> DataFrame:
     located = files.select("*", path.alias("_path"), F.col("_metadata.row_index").alias("_row"))
     counts = files.groupBy(path.alias("_path")).agg(F.count("*").alias("_n"))
     offsets = counts.select("_path", sum_before("_n", ["_path"]).alias("_offset"))
-    return located.join(lookup(offsets), "_path").select(
+    # Spark has listed the files already, so the size of the offsets is known
+    size = sum(len(name) + 64 for name in files.inputFiles())
+    small = F.broadcast(offsets) if size <= BROADCAST_LIMIT_BYTES else offsets
+    return located.join(small, "_path").select(
         *files.columns, (F.col("_offset") + F.col("_row")).alias(index)
     )
 

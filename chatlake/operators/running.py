@@ -4,6 +4,10 @@ A key may own a large part of all rows, so a window over the whole key would
 put them into one task. The integer position of a row assigns it to a block of
 bounded size; windows run inside blocks, and what the earlier blocks add up to
 comes from a table with one row per block.
+
+Rows are spread by one struct column ``_block`` of key and block number. It is
+never null, so keys that are null survive the join, and both uses of the spread
+rows (totals per block, and the rows themselves) read the same shuffle.
 """
 
 from __future__ import annotations
@@ -15,28 +19,28 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 1 << 20
 
 
-def with_block(df: DataFrame, position: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    return df.withColumn("_block", F.floor(F.col(position) / F.lit(block_rows)).cast("long"))
+def spread_by_block(df: DataFrame, keys: list[str], position: str, block_rows: int) -> DataFrame:
+    number = F.floor(F.col(position) / F.lit(block_rows)).cast("long")
+    block = F.struct(*keys, number.alias("_number"))
+    return df.withColumn("_block", block).repartition("_block")
 
 
-def inside_block(keys: list[str], position: str):
+def inside_block(position: str):
     """Window over the rows of a block up to the current one."""
     return (
-        Window.partitionBy(*keys, "_block")
-        .orderBy(position)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("_block").orderBy(position).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
 
 
 def earlier_blocks(keys: list[str]):
-    """Window over the earlier rows of a per-block table with the ``_last``
-    position of each block."""
+    """Window over the rows of earlier blocks in a per-block table with the keys
+    and the ``_last`` position of each block."""
     return Window.partitionBy(*keys).orderBy("_last").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def join_blocks(df: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach per-block values to rows that are spread by key and block."""
-    return df.join(blocks, [*keys, "_block"])
+def with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys as columns of their own again."""
+    return df.withColumns({key: F.col("_block").getField(key) for key in keys})
 
 
 def running_sums(
@@ -51,22 +55,22 @@ def running_sums(
     The result has the keys, the position and the sums.
     """
     narrow = df.select(*keys, position, *[value.alias(name) for name, value in values.items()])
-    # spread once by key and block; both uses below read this one shuffle
-    blocked = with_block(narrow, position, block_rows).repartition(*keys, "_block")
-    totals = blocked.groupBy(*keys, "_block").agg(
+    blocked = spread_by_block(narrow, keys, position, block_rows).drop(*keys)
+    totals = blocked.groupBy("_block").agg(
         F.max(position).alias("_last"), *[F.sum(name).alias(f"_total_{name}") for name in values]
     )
-    before = totals.select(
-        *keys,
+    before = with_keys(totals, keys).select(
         "_block",
         *[
             F.coalesce(F.sum(f"_total_{name}").over(earlier_blocks(keys)), F.lit(0)).alias(f"_before_{name}")
             for name in values
         ],
     )
-    local = inside_block(keys, position)
-    return join_blocks(blocked, before, keys).select(
+    return with_keys(blocked.join(before, "_block"), keys).select(
         *keys,
         position,
-        *[(F.sum(name).over(local) + F.col(f"_before_{name}")).alias(name) for name in values],
+        *[
+            (F.sum(name).over(inside_block(position)) + F.col(f"_before_{name}")).alias(name)
+            for name in values
+        ],
     )

@@ -174,19 +174,39 @@ def with_text_before(blocks: TurnBlocks) -> DataFrame:
     )
 
 
+def with_conversation_columns(blocks: TurnBlocks, values: DataFrame) -> TurnBlocks:
+    """Attach columns of a frame with one row per conversation.
+
+    The values of a long conversation are repeated for each of its blocks, so
+    the join runs on the key the blocks are spread by already and no
+    conversation ends up in one task.
+    """
+    conversation = blocks.columns.conversation
+    if blocks.count == 1:
+        return replace(blocks, rows=blocks.rows.join(values, conversation))
+    slots = F.sequence(F.lit(0).cast("long"), F.coalesce("_last_block", F.lit(0).cast("long")))
+    spread = values.join(blocks.long, conversation, "left").withColumn("_block", F.explode(slots))
+    return replace(blocks, rows=blocks.rows.join(spread.drop("_last_block"), blocks.keys))
+
+
 def training_rows(blocks: TurnBlocks) -> DataFrame:
-    """A row per trainable turn: everything before it, the turn, and both."""
+    """A row per trainable turn: everything before it, the turn, and both.
+
+    Columns attached to the conversations are kept.
+    """
     conversation = blocks.columns.conversation
+    extra = [c for c in blocks.rows.columns if c not in (conversation, "_block", "turns")]
     positions = F.filter(
         F.transform("turns", lambda t, i: F.when(t.getField("trainable"), i)), lambda i: i.isNotNull()
     )
     picked = with_text_before(blocks).select(
-        conversation, "_before", "turns", F.explode(positions).alias("_at")
+        conversation, *extra, "_before", "turns", F.explode(positions).alias("_at")
     )
     turn = F.try_element_at("turns", F.col("_at") + 1)
     context = F.array_join(F.slice(F.col("turns.text"), F.lit(1), F.col("_at")), "")
     return picked.select(
         conversation,
+        *extra,
         turn.getField("turn").cast("int").alias("turn_index"),
         F.concat("_before", context).alias("prompt"),
         turn.getField("text").alias("completion"),
@@ -203,11 +223,11 @@ def split_training_rows(
     """Training rows with the index of their conversation and the split.
 
     Only the conversation ids are ranked; they then join the blocks, which are
-    spread by conversation already.
+    spread by conversation already, before the texts fan out.
     """
     index = index_by_key(turns.select(columns.conversation).distinct(), [columns.conversation])
-    rows = training_rows(rendered_blocks(turns, trainable, template, columns, block_turns))
-    return assign_split(rows.join(index, columns.conversation), index.count())
+    blocks = rendered_blocks(turns, trainable, template, columns, block_turns)
+    return training_rows(with_conversation_columns(blocks, assign_split(index)))
 
 
 def evaluation_prompts(

@@ -14,7 +14,7 @@ from chatlake.operators.ordering import first_examples
 from chatlake.operators.scoring import attach_predictions, results, score
 from chatlake.plans.report import first_failures, report
 from chatlake.queries.fixtures import SQL, examples, predictions, table
-from chatlake.session import staged_path
+from chatlake.session import checkpointed, staged_path
 from chatlake.streaming.accuracy import accuracy_stream, read_summary
 
 FLAGS = ["tool_name_match", "args_match", "false_positive", "false_negative", "correct"]
@@ -112,7 +112,8 @@ def failure_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _scored(spark, sf_dir)
+    # summary, failures and their count all read the scored rows
+    scored = checkpointed(_scored(spark, sf_dir))
     meta = table(spark, sf_dir, "events").agg(F.count("*").alias("n")).select(
         F.lit("m").alias("model"),
         F.lit("events").alias("dataset"),
@@ -135,18 +136,17 @@ def running_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ran.select("user_id", "example_index", F.round("accuracy_so_far", 6).alias("accuracy_so_far"))
 
 
-def stub_model():
+def predict_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A deterministic stand-in for a model: calls a tool with the prompt's length."""
 
-    def generate(prompt, max_tokens, temperature):
-        return '<tool_call>{"name":"echo","arguments":{"n":%d}}</tool_call>' % len(prompt)
-
-    return generate
+    def load_model():
+        def generate(prompt, max_tokens, temperature):
+            return '<tool_call>{"name":"echo","arguments":{"n":%d}}</tool_call>' % len(prompt)
 
+        return generate
 
-def predict_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompts = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("prompt"))
-    called = C.with_tool_call(predict(prompts, stub_model))
+    called = C.with_tool_call(predict(prompts, load_model))
     parsed = C.with_arguments(called, "arguments", F.col("predicted_tool.arguments"))
     return parsed.select(
         "doc_id",

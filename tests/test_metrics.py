@@ -1,0 +1,141 @@
+"""Summaries, running accuracy, percentages and the report."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from chatlake import schemas
+from chatlake.functions.text import percent, short_hash, strip, variant_name
+from chatlake.operators.metrics import failure_count, running_accuracy, split_counts, summarize
+from chatlake.operators.scoring import attach_predictions, results, score
+from chatlake.plans.evaluation import evaluate
+from chatlake.plans.report import report
+
+FLAGS = "run string, example_index long, correct boolean, tool_name_match boolean, args_match boolean, " \
+    "false_positive boolean, false_negative boolean"
+
+
+def flags(spark, rows):
+    return spark.createDataFrame(rows, FLAGS)
+
+
+def test_summary(spark):
+    rows = flags(spark, [("a", 0, True, True, True, False, False), ("a", 1, False, True, False, False, False),
+                         ("a", 2, False, False, False, True, False), ("b", 0, False, False, False, False, True)])
+    got = {r.run: r for r in summarize(rows, ["run"]).collect()}
+    assert (got["a"].total, got["a"].correct, got["a"].accuracy) == (3, 1, 0.3333)
+    assert (got["a"].tool_name_match, got["a"].tool_name_accuracy, got["a"].args_match) == (2, 0.6667, 1)
+    assert (got["a"].false_positives, got["a"].false_positive_rate) == (1, 0.3333)
+    assert (got["b"].false_negatives, got["b"].false_negative_rate) == (1, 1.0)
+    assert {r.run: r.failures for r in failure_count(rows, ["run"]).collect()} == {"a": 2, "b": 1}
+
+
+def test_summary_of_nothing(spark):
+    assert summarize(flags(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("block_rows", [1, 3, 1 << 20])
+def test_running_accuracy(spark, block_rows):
+    rows = flags(spark, [(r, i, (i * 7 + len(r)) % 3 == 0, True, True, False, False) for r in ("a", "bb") for i in range(20)])
+    got = {(r.run, r.example_index): r for r in running_accuracy(rows, ["run"], block_rows=block_rows).collect()}
+    for run in ("a", "bb"):
+        right = 0
+        for i in range(20):
+            right += (i * 7 + len(run)) % 3 == 0
+            row = got[run, i]
+            assert (row.correct_so_far, row.scored_so_far) == (right, i + 1)
+            assert row.accuracy_so_far == pytest.approx(right / (i + 1))
+
+
+def test_split_counts(spark):
+    rows = spark.createDataFrame([("train",), ("train",), ("test",)], "split string")
+    assert {r.split: r.examples for r in split_counts(rows).collect()} == {"train": 2, "test": 1}
+
+
+def test_percent_rounds_like_python(spark):
+    rates = [i / 10000 for i in range(0, 10001, 5)] + [i / 1024 for i in range(1025)] + [i / 160 for i in range(161)]
+    rows = spark.createDataFrame([(r,) for r in rates], "r double")
+    for row in rows.select("r", percent(F.col("r")).alias("p")).collect():
+        assert row.p == f"{row.r:.1%}"
+
+
+@pytest.mark.parametrize(
+    "model, want",
+    [("Qwen3-4b-Instruct", "Qwen3-Home-4b-Instruct"), ("X-7.5B", "X-Home-7.5B"), ("model_30M", "model-Home-30M"),
+     ("plain", "plain-Home"), ("a-_-1m-2b", "a-Home-1m-2b"), ("7b", "-Home-7b"), ("v2", "v2-Home")],
+)
+def test_variant_name(spark, model, want):
+    row = spark.createDataFrame([(model,)], "m string").select(variant_name(F.col("m"), F.lit("Home")).alias("v"))
+    assert row.first().v == want
+
+
+def test_short_hash_and_strip(spark):
+    row = spark.createDataFrame([("abc", " \x1c a b \n ")], "h string, s string")
+    got = row.select(short_hash(F.col("h")).alias("h"), strip(F.col("s")).alias("s")).first()
+    assert got.h == "ba7816bf8f01" and got.s == "a b"
+
+
+def scored(spark, n, wrong):
+    examples = spark.createDataFrame(
+        [(i, ("f", "{}") if i < wrong else None, "", "i" * 600) for i in range(n)],
+        f"example_index long, expected_tool {schemas.TOOL_CALL}, expected_text string, input string",
+    )
+    replies = spark.createDataFrame([(i, "r" * 400) for i in range(n)], "example_index long, predicted_text string")
+    return score(attach_predictions(examples, replies))
+
+
+META = [("m", "d", "f", "2024-01-01 00:00:00", "r")]
+
+
+def report_lines(spark, rows):
+    meta = spark.createDataFrame(META, "model string, dataset string, format string, date string, run_id string")
+    lines = report(rows, summarize(rows), meta).orderBy("part", "item").collect()
+    return "\n".join(r.line for r in lines) + "\n"
+
+
+def test_report_with_many_failures(spark):
+    text = report_lines(spark, scored(spark, 80, 60))
+    assert text.startswith("# Evaluation Report\n\n**Model**: m\n**Dataset**: d\n")
+    assert "**Run ID**: r\n\n## Summary\n\n| Metric | Value |\n|--------|-------|\n| total | 80 |\n" in text
+    assert "| accuracy | 25.0% |\n" in text and "| false_negatives | 60 |\n" in text
+    assert text.count("### Example ") == 50 and "### Example 49\n" in text and "### Example 50\n" not in text
+    assert "*10 more failures not shown — see results.json*\n" in text
+    one = text.split("### Example 3\n")[1].split("### Example 4\n")[0]
+    assert one == (
+        f"**Input**: {'i' * 200}\n\n**Expected tool**: `{{\"name\":\"f\",\"arguments\":{{}}}}`\n\n"
+        f"**Predicted tool**: `None`\n\n**Predicted text**: {'r' * 300}\n\n---\n\n"
+    )
+
+
+def test_report_without_failures(spark):
+    assert report_lines(spark, scored(spark, 3, 0)).endswith("\n## Failures\n\nNo failures — perfect score! 🎉\n")
+
+
+def test_report_without_examples(spark):
+    text = report_lines(spark, scored(spark, 3, 0).filter("example_index < 0"))
+    assert "| total" not in text and "No failures" in text
+
+
+def test_results_cut_the_input(spark):
+    row = results(scored(spark, 1, 1)).first()
+    assert len(row.input) == 500 and len(row.score.predicted_text) == 400 and not row.score.correct
+
+
+def test_whole_evaluation(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(i, "I", "[]", f"q{i}" if i != 2 else None, None, '[{"name":"f","arguments":{"k":1}}]') for i in range(6)],
+        "example_index long, instructions string, tools string, input string, output string, tool_calls string",
+    )
+    replies = spark.createDataFrame(
+        [(0, '{"name":"F","arguments":{"k":1}}'), (1, "no"), (3, None)], "example_index long, predicted_text string"
+    )
+    out = str(tmp_path / "run")
+    summary = evaluate(rows, replies, out, model="m", dataset="d", format_name="allenporter-fc", run_id="r", limit=5)
+    row = summary.first()
+    assert (row.total, row.correct, row.false_negatives) == (4, 1, 3)
+    written = json.loads(spark.read.text(f"{out}/summary").first().value)
+    assert written["summary"]["total"] == 4
+    assert (written["meta"]["raw_total"], written["meta"]["scored_total"], written["meta"]["skipped"]) == (5, 4, 1)
+    assert spark.read.json(f"{out}/results").count() == 4
+    assert "| accuracy | 25.0% |" in [r.value for r in spark.read.text(f"{out}/report").collect()]

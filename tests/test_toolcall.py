@@ -1,0 +1,129 @@
+"""Edge rows of tool-call parsing, argument comparison and scoring."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from chatlake import schemas
+from chatlake.functions import toolcall as C
+from chatlake.operators.scoring import attach_predictions, score
+
+PARSED = [
+    ('<tool_call>\n{"name":"f","arguments":{"a":1}}\n</tool_call>', ("f", '{"a":1}')),
+    ('text <tool_call>{"name":"f","arguments":{"a":{"b":[1,{"c":2}]}}}</tool_call> more', ("f", '{"a":{"b":[1,{"c":2}]}}')),
+    ('<tool_call>{"name":"f"}</tool_call><tool_call>{"name":"g"}</tool_call>', ("f", "{}")),
+    ('<tool_call>{"arguments":{}}</tool_call>', ("", "{}")),
+    ('<tool_call>{"name":null,"arguments":null}</tool_call>', ("", "{}")),
+    ('<tool_call>{"name":"f"</tool_call>', None),
+    ('<tool_call>{"name":"f",}</tool_call>', None),
+    ("<tool_call>not json</tool_call>", None),
+    ('<tool_call> {"name":"f"} </tool_call>', ("f", "{}")),
+    ('{"name":"f","arguments":{"a":1}}', ("f", '{"a":1}')),
+    ('  {"name":"f"}\n', ("f", "{}")),
+    (' {"name":"f"} ', ("f", "{}")),
+    ('\x1c{"name":"f"}\x1f', ("f", "{}")),
+    ('{"name":"f","name":"g"}', ("g", "{}")),
+    ('{"tool":"f"}', None),
+    ('{"name":null}', None),
+    ('{"name":"f"} trailing', None),
+    ('{"name":"f"}{"name":"g"}', None),
+    ('{"name":"f"},{"name":"g"}', None),
+    ('{"name":"f"}] [{"x":1}', None),
+    ("{'name':'f'}", None),
+    ("42", None),
+    ("null", None),
+    ('["name"]', None),
+    ('"name"', None),
+    ("plain text", None),
+    ("", None),
+]
+
+
+def test_parse(spark):
+    rows = spark.createDataFrame(
+        [(i, text) for i, (text, _) in enumerate(PARSED)], "i int, predicted_text string"
+    )
+    got = {r.i: r.predicted_tool for r in C.with_tool_call(rows).collect()}
+    for i, (text, want) in enumerate(PARSED):
+        assert (None if got[i] is None else tuple(got[i])) == want, text
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ('{"a": 1, "b": "x", "c": true, "d": null}', {"a": "1", "b": "x", "c": "true", "d": None}),
+        (' {"a": 1.50}\n', {"a": "1.5"}),
+        ('{"a": {"b": 1}}', {"a": '{"b":1}'}),
+        ('{"a": 1', {}),
+        ("[1, 2]", {}),
+        ("7", {}),
+        ("", {}),
+        (None, {}),
+        ("{}", {}),
+    ],
+)
+def test_arguments(spark, text, want):
+    row = spark.createDataFrame([(text,)], "t string")
+    assert C.with_arguments(row, "a", F.col("t")).first().a == want
+
+
+MATCHES = [
+    ('{"a": 1, "b": 2}', '{"a": 1}', True),
+    ('{"b": 2, "a": 1}', '{"a": 1, "b": 2}', True),
+    ("{}", '{"a": ""}', True),
+    ("{}", '{"a": null}', False),
+    ('{"a": null}', '{"a": "None"}', True),
+    ('{"a": "TRUE"}', '{"a": true}', True),
+    ('{"a": 1}', '{"a": 1.0}', False),
+    ('{"a": "x"}', "{}", True),
+    ('{"a": "x"}', '{"a": "y"}', False),
+    ('{"a": "On"}', '{"a": "on"}', True),
+]
+
+
+def test_arguments_match(spark):
+    rows = spark.createDataFrame([(i, p, e) for i, (p, e, _) in enumerate(MATCHES)], "i int, p string, e string")
+    maps = C.with_arguments(C.with_arguments(rows, "pm", F.col("p")), "em", F.col("e"))
+    got = {r.i: r.m for r in maps.select("i", C.arguments_match(F.col("pm"), F.col("em")).alias("m")).collect()}
+    assert [got[i] for i in range(len(MATCHES))] == [m for _, _, m in MATCHES]
+
+
+CALL = '<tool_call>{"name":"%s","arguments":{"k":%d}}</tool_call>'
+
+
+@pytest.mark.parametrize(
+    "reply, expected, flags",
+    [
+        # tool_name_match, args_match, false_positive, false_negative, correct
+        (CALL % ("F", 1), ("f", '{"k":1}'), (True, True, False, False, True)),
+        (CALL % ("f", 2), ("f", '{"k":1}'), (True, False, False, False, False)),
+        (CALL % ("g", 1), ("f", '{"k":1}'), (False, False, False, False, False)),
+        ("no call", ("f", '{"k":1}'), (False, False, False, True, False)),
+        (CALL % ("f", 1), None, (False, False, True, False, False)),
+        ("no call", None, (True, True, False, False, True)),
+        (None, None, (True, True, False, False, True)),
+        (None, ("f", "{}"), (False, False, False, True, False)),
+        (CALL % ("f", 1), ("f", "not json"), (True, True, False, False, True)),
+        ('<tool_call>{"name":"f","arguments":"{\\"k\\": 1}"}</tool_call>', ("f", '{"k":1}'), (True, True, False, False, True)),
+    ],
+)
+def test_score(spark, reply, expected, flags):
+    examples = spark.createDataFrame([(0, expected)], f"example_index long, expected_tool {schemas.TOOL_CALL}")
+    replies = spark.createDataFrame([(0, reply)], "example_index long, predicted_text string")
+    row = score(attach_predictions(examples, replies)).first()
+    assert (row.tool_name_match, row.args_match, row.false_positive, row.false_negative, row.correct) == flags
+    assert row.generation_failed == (reply is None)
+
+
+def test_missing_prediction_is_scored_as_empty(spark):
+    examples = spark.createDataFrame([(0, None), (1, None)], f"example_index long, expected_tool {schemas.TOOL_CALL}")
+    replies = spark.createDataFrame([(0, "hi")], "example_index long, predicted_text string")
+    rows = {r.example_index: r for r in score(attach_predictions(examples, replies)).collect()}
+    assert rows[1].predicted_text == "" and rows[1].generation_failed and rows[1].correct
+    assert not rows[0].generation_failed
+
+
+def test_rendered_call_is_parsed_back(spark):
+    calls = [("f", '{"k":"a}b"}'), ('quo"te', "{}"), ("f", "free text")]
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(calls)], f"i int, call {schemas.TOOL_CALL}")
+    back = C.with_tool_call(rows.withColumn("predicted_text", C.render_call(F.col("call"))))
+    assert {r.i: tuple(r.predicted_tool) for r in back.collect()} == dict(enumerate(calls))
