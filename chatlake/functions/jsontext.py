@@ -19,36 +19,47 @@ _MARK = "__end_of_value"
 _OPTIONS = {"allowSingleQuotes": "false"}
 
 
-def _with_value(df: DataFrame, into: str, text: Column, element: str, mark) -> DataFrame:
-    body, parsed = F.col(f"_{into}_text"), F.col(f"_{into}_values")
-    is_object = (
-        F.startswith(body, F.lit("{")) & F.endswith(body, F.lit("}")) & ~F.contains(body, F.lit(_MARK))
-    )
-    values = F.from_json(
-        F.concat(F.lit("["), body, F.lit(f',{{"{_MARK}":"1"}}]')), f"array<{element}>", _OPTIONS
-    )
-    complete = (F.size(parsed) == 2) & (mark(F.try_element_at(parsed, F.lit(2))) == "1")
+def _with_values(df: DataFrame, texts: dict[str, Column], element: str, mark, default: Column) -> DataFrame:
+    names = {into: (F.col(f"_{into}_text"), F.col(f"_{into}_values")) for into in texts}
+
+    def is_object(body: Column) -> Column:
+        return (
+            F.startswith(body, F.lit("{"))
+            & F.endswith(body, F.lit("}"))
+            & ~F.contains(body, F.lit(_MARK))
+        )
+
+    def values(body: Column) -> Column:
+        marked = F.concat(F.lit("["), body, F.lit(f',{{"{_MARK}":"1"}}]'))
+        return F.from_json(marked, f"array<{element}>", _OPTIONS)
+
+    def single(parsed: Column) -> Column:
+        complete = (F.size(parsed) == 2) & (mark(F.try_element_at(parsed, F.lit(2))) == "1")
+        return F.coalesce(F.when(complete, F.try_element_at(parsed, F.lit(1))), default)
+
     return (
-        df.withColumn(f"_{into}_text", strip_json(text))
-        .withColumn(f"_{into}_values", F.when(is_object, values))
-        .withColumn(into, F.when(complete, F.try_element_at(parsed, F.lit(1))))
-        .drop(f"_{into}_text", f"_{into}_values")
+        df.withColumns({f"_{into}_text": strip_json(text) for into, text in texts.items()})
+        .withColumns(
+            {f"_{into}_values": F.when(is_object(body), values(body)) for into, (body, _) in names.items()}
+        )
+        .select(*df.columns, *[single(parsed).alias(into) for into, (_, parsed) in names.items()])
     )
 
 
 def with_object(df: DataFrame, into: str, text: Column, fields: str) -> DataFrame:
     """Add ``into``: the JSON object in ``text`` as a struct with ``fields``
     (DDL ``name:type`` list), null for anything but exactly one object."""
-    return _with_value(
-        df, into, text, f"struct<{fields},{_MARK}:string>", lambda element: element.getField(_MARK)
-    )
+    element = f"struct<{fields},{_MARK}:string>"
+    nothing = F.lit(None).cast(element)
+    return _with_values(df, {into: text}, element, lambda e: e.getField(_MARK), nothing)
 
 
-def with_map(df: DataFrame, into: str, text: Column) -> DataFrame:
-    """Add ``into``: the JSON object in ``text`` as ``map<string,string>``.
+def with_maps(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
+    """Add JSON objects as ``map<string,string>``, one per entry of ``texts``.
 
     Nested values stay compact JSON text and a JSON null is a null value.
+    Anything but exactly one object gives an empty map.
     """
-    return _with_value(
-        df, into, text, "map<string,string>", lambda element: F.try_element_at(element, F.lit(_MARK))
-    )
+    element = "map<string,string>"
+    empty = F.create_map().cast(element)
+    return _with_values(df, texts, element, lambda e: F.try_element_at(e, F.lit(_MARK)), empty)

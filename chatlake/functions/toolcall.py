@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatlake import schemas
-from chatlake.functions.jsontext import with_map, with_object
+from chatlake.functions.jsontext import with_maps, with_object
 from chatlake.functions.text import UNICODE_SPACE, strip
 
 # The tags around a call in a reply.
@@ -38,24 +38,16 @@ def with_tool_call(df: DataFrame, text: str = "predicted_text", into: str = "pre
     in_tag = df.withColumn("_in_tag", F.regexp_extract(text, CALL_PATTERN, 1))
     first = with_object(in_tag, "_tagged", F.col("_in_tag"), _CALL_FIELDS)
     rest = F.when(tagged.isNull(), strip(F.col(text)))
-    return (
-        with_object(first, "_whole", rest, _CALL_FIELDS)
-        .withColumn(
-            into,
-            F.coalesce(
-                _as_call(tagged, tagged.isNotNull()),
-                _as_call(whole, whole.getField("name").isNotNull()),
-            ),
-        )
-        .drop("_in_tag", "_tagged", "_whole")
+    call = F.coalesce(
+        _as_call(tagged, tagged.isNotNull()), _as_call(whole, whole.getField("name").isNotNull())
     )
+    return with_object(first, "_whole", rest, _CALL_FIELDS).select(*df.columns, call.alias(into))
 
 
-def with_arguments(df: DataFrame, into: str, arguments: Column) -> DataFrame:
-    """Add call arguments as ``map<string,string>``; anything but a JSON object
-    is an empty map."""
-    empty = F.create_map().cast("map<string,string>")
-    return with_map(df, into, arguments).withColumn(into, F.coalesce(into, empty))
+def with_arguments(df: DataFrame, arguments: dict[str, Column]) -> DataFrame:
+    """Add call arguments as ``map<string,string>``, one column per entry;
+    anything but a JSON object is an empty map."""
+    return with_maps(df, arguments)
 
 
 def arguments_match(predicted: Column, expected: Column) -> Column:

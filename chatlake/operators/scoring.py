@@ -32,21 +32,26 @@ def score(examples: DataFrame) -> DataFrame:
     ``false_positive``, ``false_negative`` and ``correct``.
     """
     predicted, expected = F.col("predicted_tool"), F.col("expected_tool")
-    matched = C.with_tool_call(examples).withColumn("tool_name_match", C.name_match(predicted, expected))
+    matched = C.with_tool_call(examples).withColumns(
+        {
+            "tool_name_match": C.name_match(predicted, expected),
+            "false_positive": C.false_positive(predicted, expected),
+            "false_negative": C.false_negative(predicted, expected),
+        }
+    )
     # arguments are parsed only where they decide
     compared = F.col("tool_name_match") & expected.isNotNull()
-    parsed = C.with_arguments(matched, "_predicted", F.when(compared, predicted.getField("arguments")))
-    parsed = C.with_arguments(parsed, "_expected", F.when(compared, expected.getField("arguments")))
-    return (
-        parsed.withColumn(
-            "args_match",
-            F.col("tool_name_match") & C.arguments_match(F.col("_predicted"), F.col("_expected")),
-        )
-        .withColumn("false_positive", C.false_positive(predicted, expected))
-        .withColumn("false_negative", C.false_negative(predicted, expected))
-        .withColumn("correct", F.col("tool_name_match") & F.col("args_match") & ~F.col("false_positive"))
-        .drop("_predicted", "_expected")
+    parsed = C.with_arguments(
+        matched,
+        {
+            "_predicted": F.when(compared, predicted.getField("arguments")),
+            "_expected": F.when(compared, expected.getField("arguments")),
+        },
     )
+    args_match = F.col("tool_name_match") & C.arguments_match(F.col("_predicted"), F.col("_expected"))
+    correct = F.col("tool_name_match") & F.col("args_match") & ~F.col("false_positive")
+    judged = parsed.select(*matched.columns, args_match.alias("args_match"))
+    return judged.withColumn("correct", correct)
 
 
 def results(scored: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -57,7 +57,7 @@ def expected_tool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parse_tool_call(spark: SparkSession, sf_dir: str) -> DataFrame:
     called = C.with_tool_call(_joined(spark, sf_dir))
-    parsed = C.with_arguments(called, "arguments", F.col("predicted_tool.arguments"))
+    parsed = C.with_arguments(called, {"arguments": F.col("predicted_tool.arguments")})
     return parsed.select(
         "example_index",
         F.col("predicted_tool.name").alias("name"),
@@ -68,8 +68,9 @@ def parse_tool_call(spark: SparkSession, sf_dir: str) -> DataFrame:
 def args_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arguments of neighbouring events compared without regard to names."""
     called = C.with_tool_call(_joined(spark, sf_dir))
-    maps = C.with_arguments(called, "p", F.col("predicted_tool.arguments"))
-    maps = C.with_arguments(maps, "e", F.col("expected_tool.arguments"))
+    maps = C.with_arguments(
+        called, {"p": F.col("predicted_tool.arguments"), "e": F.col("expected_tool.arguments")}
+    )
     return maps.select("example_index", C.arguments_match(F.col("p"), F.col("e")).alias("args_match"))
 
 
@@ -147,7 +148,7 @@ def predict_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     prompts = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("prompt"))
     called = C.with_tool_call(predict(prompts, load_model))
-    parsed = C.with_arguments(called, "arguments", F.col("predicted_tool.arguments"))
+    parsed = C.with_arguments(called, {"arguments": F.col("predicted_tool.arguments")})
     return parsed.select(
         "doc_id",
         F.col("predicted_tool.name").alias("name"),
