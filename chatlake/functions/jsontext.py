@@ -16,42 +16,38 @@ from pyspark.sql import functions as F
 from chatlake.functions.text import strip_json
 
 _MARK = "__end_of_value"
-_OPTIONS = {"allowSingleQuotes": "false"}
 
 
-def _with_values(df: DataFrame, texts: dict[str, Column], element: str, mark, default: Column) -> DataFrame:
-    names = {into: (F.col(f"_{into}_text"), F.col(f"_{into}_values")) for into in texts}
+def _with_values(df: DataFrame, texts: dict[str, Column], element: str, mark: str, default: str) -> DataFrame:
+    """``mark`` reads the marker from the second element, ``default`` stands
+    for a text that is not one object."""
 
-    def is_object(body: Column) -> Column:
-        return (
-            F.startswith(body, F.lit("{"))
-            & F.endswith(body, F.lit("}"))
-            & ~F.contains(body, F.lit(_MARK))
+    def values(into: str) -> Column:
+        body = f"`_{into}_text`"
+        return F.expr(
+            f"""CASE WHEN startswith({body}, '{{') AND endswith({body}, '}}') AND NOT contains({body}, '{_MARK}')
+                THEN from_json(concat('[', {body}, ',{{"{_MARK}":"1"}}]'), 'array<{element}>',
+                               map('allowSingleQuotes', 'false')) END"""
         )
 
-    def values(body: Column) -> Column:
-        marked = F.concat(F.lit("["), body, F.lit(f',{{"{_MARK}":"1"}}]'))
-        return F.from_json(marked, f"array<{element}>", _OPTIONS)
-
-    def single(parsed: Column) -> Column:
-        complete = (F.size(parsed) == 2) & (mark(F.try_element_at(parsed, F.lit(2))) == "1")
-        return F.coalesce(F.when(complete, F.try_element_at(parsed, F.lit(1))), default)
+    def single(into: str) -> Column:
+        parsed = f"`_{into}_values`"
+        return F.expr(
+            f"""coalesce(CASE WHEN size({parsed}) = 2 AND {mark.format(f"try_element_at({parsed}, 2)")} = '1'
+                         THEN try_element_at({parsed}, 1) END, {default})"""
+        )
 
     return (
         df.withColumns({f"_{into}_text": strip_json(text) for into, text in texts.items()})
-        .withColumns(
-            {f"_{into}_values": F.when(is_object(body), values(body)) for into, (body, _) in names.items()}
-        )
-        .select(*df.columns, *[single(parsed).alias(into) for into, (_, parsed) in names.items()])
+        .withColumns({f"_{into}_values": values(into) for into in texts})
+        .select(*df.columns, *[single(into).alias(into) for into in texts])
     )
 
 
 def with_object(df: DataFrame, into: str, text: Column, fields: str) -> DataFrame:
     """Add ``into``: the JSON object in ``text`` as a struct with ``fields``
     (DDL ``name:type`` list), null for anything but exactly one object."""
-    element = f"struct<{fields},{_MARK}:string>"
-    nothing = F.lit(None).cast(element)
-    return _with_values(df, {into: text}, element, lambda e: e.getField(_MARK), nothing)
+    return _with_values(df, {into: text}, f"struct<{fields},{_MARK}:string>", "{}." + _MARK, "NULL")
 
 
 def with_maps(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
@@ -60,6 +56,5 @@ def with_maps(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
     Nested values stay compact JSON text and a JSON null is a null value.
     Anything but exactly one object gives an empty map.
     """
-    element = "map<string,string>"
-    empty = F.create_map().cast(element)
-    return _with_values(df, texts, element, lambda e: F.try_element_at(e, F.lit(_MARK)), empty)
+    mark = "try_element_at({}, '" + _MARK + "')"
+    return _with_values(df, texts, "map<string,string>", mark, "CAST(map() AS map<string,string>)")

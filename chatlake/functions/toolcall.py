@@ -20,12 +20,10 @@ CALL_PATTERN = f"(?sU){CALL_OPEN}{UNICODE_SPACE}*(\\{{.*?\\}}){UNICODE_SPACE}*{C
 _CALL_FIELDS = "name:string,arguments:string"
 
 
-def _as_call(parsed: Column, present: Column) -> Column:
-    call = F.struct(
-        F.coalesce(parsed.getField("name"), F.lit("")).alias("name"),
-        F.coalesce(parsed.getField("arguments"), F.lit("{}")).alias("arguments"),
-    )
-    return F.when(present, call.cast(schemas.TOOL_CALL))
+def _as_call(parsed: str, present: str) -> str:
+    return f"""CASE WHEN {present} IS NOT NULL THEN CAST(named_struct(
+        'name', coalesce({parsed}.name, ''), 'arguments', coalesce({parsed}.arguments, '{{}}'))
+        AS {schemas.TOOL_CALL}) END"""
 
 
 def with_tool_call(df: DataFrame, text: str = "predicted_text", into: str = "predicted_tool") -> DataFrame:
@@ -34,13 +32,10 @@ def with_tool_call(df: DataFrame, text: str = "predicted_text", into: str = "pre
     The first tagged JSON object wins. When there is none, or it is not valid
     JSON, the whole stripped reply must be a JSON object with a name.
     """
-    tagged, whole = F.col("_tagged"), F.col("_whole")
     in_tag = df.withColumn("_in_tag", F.regexp_extract(text, CALL_PATTERN, 1))
     first = with_object(in_tag, "_tagged", F.col("_in_tag"), _CALL_FIELDS)
-    rest = F.when(tagged.isNull(), strip(F.col(text)))
-    call = F.coalesce(
-        _as_call(tagged, tagged.isNotNull()), _as_call(whole, whole.getField("name").isNotNull())
-    )
+    rest = F.when(F.isnull("_tagged"), strip(F.col(text)))
+    call = F.expr(f"coalesce({_as_call('_tagged', '_tagged')}, {_as_call('_whole', '_whole.name')})")
     return with_object(first, "_whole", rest, _CALL_FIELDS).select(*df.columns, call.alias(into))
 
 
@@ -50,41 +45,34 @@ def with_arguments(df: DataFrame, arguments: dict[str, Column]) -> DataFrame:
     return with_maps(df, arguments)
 
 
-def arguments_match(predicted: Column, expected: Column) -> Column:
+def arguments_match(predicted: str, expected: str) -> Column:
     """Every expected argument equals the predicted one as lower-cased text.
 
-    Both sides are maps. Extra predicted keys do not matter; a missing key
+    Both are map columns. Extra predicted keys do not matter; a missing key
     counts as an empty text and a JSON null as ``none``.
     """
-
-    def shown(value: Column) -> Column:
-        return F.lower(F.coalesce(value, F.lit("none")))
-
-    def same(entry: Column) -> Column:
-        key = entry.getField("key")
-        found = F.when(
-            F.map_contains_key(predicted, key), shown(F.try_element_at(predicted, key))
-        ).otherwise(F.lit(""))
-        return found == shown(entry.getField("value"))
-
-    return F.forall(F.map_entries(expected), same)
+    return F.expr(
+        f"""forall(map_entries({expected}), e ->
+              lower(CASE WHEN map_contains_key({predicted}, e.key)
+                    THEN coalesce(try_element_at({predicted}, e.key), 'none') ELSE '' END)
+              = lower(coalesce(e.value, 'none')))"""
+    )
 
 
-def name_match(predicted: Column, expected: Column) -> Column:
+def name_match(predicted: str, expected: str) -> Column:
     """Same tool name regardless of case, or no tool on either side."""
-    both_absent = predicted.isNull() & expected.isNull()
-    same = F.lower(predicted.getField("name")) == F.lower(
-        F.coalesce(expected.getField("name"), F.lit(""))
+    return F.expr(
+        f"""CASE WHEN {predicted} IS NULL OR {expected} IS NULL THEN {predicted} IS NULL AND {expected} IS NULL
+            ELSE lower({predicted}.name) = lower(coalesce({expected}.name, '')) END"""
     )
-    return both_absent | (predicted.isNotNull() & expected.isNotNull() & F.coalesce(same, F.lit(False)))
 
 
-def false_positive(predicted: Column, expected: Column) -> Column:
-    return predicted.isNotNull() & expected.isNull()
+def false_positive(predicted: str, expected: str) -> Column:
+    return F.expr(f"{predicted} IS NOT NULL AND {expected} IS NULL")
 
 
-def false_negative(predicted: Column, expected: Column) -> Column:
-    return predicted.isNull() & expected.isNotNull()
+def false_negative(predicted: str, expected: str) -> Column:
+    return F.expr(f"{predicted} IS NULL AND {expected} IS NOT NULL")
 
 
 def call_json(call: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatlake.functions import toolcall as C
@@ -31,27 +31,26 @@ def score(examples: DataFrame) -> DataFrame:
     Adds ``predicted_tool``, ``tool_name_match``, ``args_match``,
     ``false_positive``, ``false_negative`` and ``correct``.
     """
-    predicted, expected = F.col("predicted_tool"), F.col("expected_tool")
+    calls = ("predicted_tool", "expected_tool")
     matched = C.with_tool_call(examples).withColumns(
         {
-            "tool_name_match": C.name_match(predicted, expected),
-            "false_positive": C.false_positive(predicted, expected),
-            "false_negative": C.false_negative(predicted, expected),
+            "tool_name_match": C.name_match(*calls),
+            "false_positive": C.false_positive(*calls),
+            "false_negative": C.false_negative(*calls),
         }
     )
-    # arguments are parsed only where they decide
-    compared = F.col("tool_name_match") & expected.isNotNull()
+
+    def compared(call: str) -> Column:
+        # arguments are parsed only where they decide
+        return F.expr(f"CASE WHEN tool_name_match AND expected_tool IS NOT NULL THEN {call}.arguments END")
+
     parsed = C.with_arguments(
-        matched,
-        {
-            "_predicted": F.when(compared, predicted.getField("arguments")),
-            "_expected": F.when(compared, expected.getField("arguments")),
-        },
+        matched, {"_predicted": compared("predicted_tool"), "_expected": compared("expected_tool")}
+    )
+    args_match = F.col("tool_name_match") & C.arguments_match("_predicted", "_expected")
+    return parsed.select(*matched.columns, args_match.alias("args_match")).withColumn(
+        "correct", F.expr("tool_name_match AND args_match AND NOT false_positive")
     )
-    args_match = F.col("tool_name_match") & C.arguments_match(F.col("_predicted"), F.col("_expected"))
-    correct = F.col("tool_name_match") & F.col("args_match") & ~F.col("false_positive")
-    judged = parsed.select(*matched.columns, args_match.alias("args_match"))
-    return judged.withColumn("correct", correct)
 
 
 def results(scored: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -33,27 +33,19 @@ def examples(events: DataFrame) -> DataFrame:
 
 def predictions(events: DataFrame) -> DataFrame:
     """Replies in every form the scorer knows, and failed generations."""
-    place = F.col("event_id") % 3
-    partner = F.col("event_id") + F.when(place == 1, 1).when(place == 2, -1).otherwise(0)
-
-    def call(name, arguments):
-        return F.concat(F.lit('{"name": "'), name, F.lit('", "arguments": '), arguments, F.lit("}"))
-
-    def tag(body, space):
-        return F.concat(F.lit("<tool_call>" + space), body, F.lit(space + "</tool_call>"))
-
-    name, arguments = F.col("event_type"), F.col("props")
-    as_text = F.concat(F.lit('"'), F.replace(arguments, F.lit('"'), F.lit('\\"')), F.lit('"'))
-    form = F.col("event_id") % 8
-    text = (
-        F.when(form <= 1, tag(call(name, arguments), "\n"))
-        .when(form == 2, F.concat(call(name, arguments), F.lit("\n")))
-        .when(form == 3, tag(call(name, as_text), ""))
-        .when(form == 4, tag(call(F.upper(name), arguments), "\n"))
-        .when(form == 5, F.concat(F.lit("There is no need to call "), name, F.lit(".")))
-        .when(form == 6, F.concat(F.lit('<tool_call>{"name": "'), name, F.lit('", </tool_call>')))
-    )
-    return events.select(partner.alias("example_index"), text.alias("predicted_text"))
+    def call(name: str, arguments: str) -> str:
+        return f"""concat('{{"name": "', {name}, '", "arguments": ', {arguments}, '}}')"""
+
+    quoted = r"""concat('"', replace(props, '"', '\\"'), '"')"""
+    text = f"""CASE
+        WHEN event_id % 8 <= 1 THEN concat('<tool_call>\\n', {call("event_type", "props")}, '\\n</tool_call>')
+        WHEN event_id % 8 = 2 THEN concat({call("event_type", "props")}, '\\n')
+        WHEN event_id % 8 = 3 THEN concat('<tool_call>', {call("event_type", quoted)}, '</tool_call>')
+        WHEN event_id % 8 = 4 THEN concat('<tool_call>\\n', {call("upper(event_type)", "props")}, '\\n</tool_call>')
+        WHEN event_id % 8 = 5 THEN concat('There is no need to call ', event_type, '.')
+        WHEN event_id % 8 = 6 THEN concat('<tool_call>{{"name": "', event_type, '", </tool_call>') END"""
+    partner = "event_id + CASE event_id % 3 WHEN 1 THEN 1 WHEN 2 THEN -1 ELSE 0 END"
+    return events.select(F.expr(partner).alias("example_index"), F.expr(text).alias("predicted_text"))
 
 
 # The same two inputs in DuckDB.

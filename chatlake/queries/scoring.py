@@ -71,7 +71,7 @@ def args_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     maps = C.with_arguments(
         called, {"p": F.col("predicted_tool.arguments"), "e": F.col("expected_tool.arguments")}
     )
-    return maps.select("example_index", C.arguments_match(F.col("p"), F.col("e")).alias("args_match"))
+    return maps.select("example_index", C.arguments_match("p", "e").alias("args_match"))
 
 
 def score_examples(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,7 +83,7 @@ MATCHES = [
 def test_arguments_match(spark):
     rows = spark.createDataFrame([(i, p, e) for i, (p, e, _) in enumerate(MATCHES)], "i int, p string, e string")
     maps = C.with_arguments(rows, {"pm": F.col("p"), "em": F.col("e")})
-    got = {r.i: r.m for r in maps.select("i", C.arguments_match(F.col("pm"), F.col("em")).alias("m")).collect()}
+    got = {r.i: r.m for r in maps.select("i", C.arguments_match("pm", "em").alias("m")).collect()}
     assert [got[i] for i in range(len(MATCHES))] == [m for _, _, m in MATCHES]
 
 
