@@ -126,7 +126,7 @@ def rendered_blocks(
     if blocks.count == 1:
         valid = blocks.rows.filter(F.forall("turns", lambda t: t.getField("valid")))
     else:
-        invalid = lookup(invalid_conversations(turns, columns))
+        invalid = lookup(checkpointed(invalid_conversations(turns, columns)))
         valid = blocks.rows.join(invalid, columns.conversation, "left_anti")
     return replace(blocks, rows=valid)
 

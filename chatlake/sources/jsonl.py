@@ -10,7 +10,7 @@ from chatlake.formats.base import INDEX, Format
 from chatlake.functions.jsontext import with_object
 from chatlake.functions.text import strip
 from chatlake.operators.ordering import sum_before
-from chatlake.session import lookup, staged_path
+from chatlake.session import checkpointed, lookup, staged_path
 
 _BLOCKS = "array<struct<type:string,text:string>>"
 
@@ -46,6 +46,8 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     offsets = blocks.select(
         "_path", "_start", (sum_before("_n", ["_path", "_start"]) - F.col("_first")).alias("_shift")
     )
+    # measured and joined, but counted once
+    offsets = checkpointed(offsets)
     return lines.join(lookup(offsets), ["_path", "_start"]).select(
         (F.col("_place") + F.col("_shift")).alias(INDEX), "raw"
     )
