@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from chatlake.queries import ORACLE, QUERIES
 from oracle import difference, duck
 
 
@@ -11,14 +12,14 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, con, name):
     frame = entry_points.queries()[name](spark, sf_dir)
     assert difference(frame, con, entry_points.oracle_sql()[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_gives_rows(spark):
