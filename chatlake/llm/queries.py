@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import bpe, sharding, tokenfile
+from chatlake.llm import bpe, outliers, sharding, simhash, tokenfile
 from chatlake.llm.common import remove_tree, table, text_of
 from chatlake.session import checkpointed, staged_path
 
@@ -52,10 +52,23 @@ def op3_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op7_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = outliers.with_statistics(table(spark, sf_dir, "documents"))
+    slim = checkpointed(counted.select("doc_id", "lang", "source", *outliers.STATISTICS, "base_failed"))
+    return outliers.Rules(slim).judge(slim).drop("lang", "source")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_files": op2_token_files,
     "op3_histogram_shards": op3_histogram_shards,
+    "op6_simhash": op6_simhash,
+    "op7_robust_outliers": op7_robust_outliers,
 }
 
 # The results of the operators cannot be written in SQL; tests/llm compares them with
