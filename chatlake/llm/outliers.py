@@ -35,7 +35,7 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 
 MIN_ROWS = 60
-SUBSET = 0.5
+SUBSET = 0.75
 # Tail probability of about 4e-9 under a normal law of four dimensions.
 CUTOFF = 45.0
 MAX_STEPS = 12
