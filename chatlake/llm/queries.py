@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import bpe, outliers, sharding, simhash, tokenfile
+from chatlake.llm import bpe, outliers, rlz, sharding, simhash, tokenfile
 from chatlake.llm.common import remove_tree, table, text_of
 from chatlake.session import checkpointed, staged_path
 
@@ -63,12 +63,17 @@ def op7_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.Rules(slim).judge(slim).drop("lang", "source")
 
 
+def op9_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz.removal(table(spark, sf_dir, "documents")).drop("factors")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_files": op2_token_files,
     "op3_histogram_shards": op3_histogram_shards,
     "op6_simhash": op6_simhash,
     "op7_robust_outliers": op7_robust_outliers,
+    "op9_relative_lz": op9_relative_lz,
 }
 
 # The results of the operators cannot be written in SQL; tests/llm compares them with
