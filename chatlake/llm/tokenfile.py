@@ -19,6 +19,7 @@ give no data frames. Only the id and text columns are read.
 from __future__ import annotations
 
 import math
+import re
 import struct
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chatlake.llm.common import SPACES, runs, text_of
+from chatlake.llm.common import runs, text_of
 
 # Decompressed bytes per data frame (one document at least), text per file.
 FRAME_BYTES = 1 << 16
@@ -48,39 +49,62 @@ CHECKSUM_FLAG = 0x80
 SEPARATOR = struct.pack("<II", SKIPPABLE_EMPTY, 0)
 
 
+# Marks that may combine with an ASCII letter before the tokenizer takes letters to lower case.
+_COMBINING = re.compile("[\u0300-\u036f]")
+_PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+class Words(dict):
+    """Ids of words, in two generations; a full one takes the place of the older, which goes.
+
+    The tokenizer splits letters and digits from what follows them, so closing ASCII
+    punctuation is encoded apart from the word and each form of a word costs one look-up.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.model = tokenizer.model
+        self.older: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            body = word.rstrip(_PUNCTUATION)
+            if body and len(body) < len(word) and body[-1:].isalnum():
+                ids = self[body] + self[word[len(body) :]]
+            else:
+                # a lower-case ASCII word passes the library's first steps unchanged
+                if word.isalpha() and word.islower():
+                    found = [t.id for t in self.model.tokenize(word.decode())]
+                else:
+                    found = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+                ids = struct.pack(f"<{len(found)}I", *found)
+        if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizer that never joins characters across white space, so
-    the library encodes each distinct word once while it is remembered."""
+    """Ids of texts by a tokenizer that takes letters to lower case and never joins characters
+    across white space, so the library encodes each distinct word once while it is remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.spaces = str.maketrans(SPACES, " " * len(SPACES))
-        self.newer: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        missing = []
-        for word in words:
-            if word not in self.newer:
-                if word in self.older:
-                    self.newer[word] = self.older[word]
-                else:
-                    missing.append(word)
-        for a, b in runs([len(w) for w in missing], SLICE_CHARS):
-            coded = self.tokenizer.encode_batch_fast(missing[a:b], add_special_tokens=False)
-            for word, x in zip(missing[a:b], coded):
-                self.newer[word] = np.array(x.ids, "<u4").tobytes()
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        self.words = Words(tokenizer)
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
-        split = [t.translate(self.spaces).split(" ") for t in texts]
-        self._learn(set().union(*split))
-        end = struct.pack("<I", end_id)
-        out = [b"".join([*map(self.newer.__getitem__, words), end]) for words in split]
-        if len(self.newer) > CACHE_WORDS:
-            self.older, self.newer = self.newer, {"": b""}
+        end, get = struct.pack("<I", end_id), self.words.__getitem__
+        out = []
+        for text in texts:
+            data = text.encode()
+            if not _COMBINING.search(text):
+                data = data.lower()  # ASCII letters only
+            out.append(b"".join([*map(get, data.split()), end]))
         return out
 
 
