@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import bpe, outliers, rlz, sharding, simhash, tokenfile
+from chatlake.llm import bpe, decontam, outliers, rlz, sharding, simhash, tokenfile
 from chatlake.llm.common import remove_tree, table, text_of
 from chatlake.session import checkpointed, staged_path
 
@@ -63,6 +63,10 @@ def op7_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.Rules(slim).judge(slim).drop("lang", "source")
 
 
+def op8_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz.removal(table(spark, sf_dir, "documents")).drop("factors")
 
@@ -73,6 +77,7 @@ QUERIES = {
     "op3_histogram_shards": op3_histogram_shards,
     "op6_simhash": op6_simhash,
     "op7_robust_outliers": op7_robust_outliers,
+    "op8_template_leaks": op8_template_leaks,
     "op9_relative_lz": op9_relative_lz,
 }
 
