@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import bpe, decontam, outliers, rlz, sharding, simhash, tokenfile
-from chatlake.llm.common import remove_tree, table, text_of
+from chatlake.llm import bpe, decontam, langid, outliers, quality_mil, rlz, sharding, simhash, tokenfile
+from chatlake.llm.common import remainder, remove_tree, table, text_of
 from chatlake.session import checkpointed, staged_path
 
 
@@ -52,6 +52,24 @@ def op3_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs, remainder("doc_id", 4) != 2)
+    found = langid.identify(docs, model)
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op5_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_mil.learn(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)
+    return quality_mil.score(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -75,6 +93,8 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_files": op2_token_files,
     "op3_histogram_shards": op3_histogram_shards,
+    "op4_cross_parsing_language": op4_cross_parsing_language,
+    "op5_attention_quality": op5_attention_quality,
     "op6_simhash": op6_simhash,
     "op7_robust_outliers": op7_robust_outliers,
     "op8_template_leaks": op8_template_leaks,
