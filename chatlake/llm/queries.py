@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import bpe, decontam, langid, outliers, quality_mil, rlz, sharding, simhash, tokenfile
+from chatlake.llm import bpe, decontam, langid, mixing, outliers, quality_mil, rlz, sharding, simhash, tokenfile
 from chatlake.llm.common import remainder, remove_tree, table, text_of
 from chatlake.session import checkpointed, staged_path
 
@@ -89,6 +89,13 @@ def op9_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz.removal(table(spark, sf_dir, "documents")).drop("factors")
 
 
+def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 7) == 2
+    trained = mixing.Trained(docs, ~held_out)
+    return mixing.score(docs, trained).withColumn("held_out", held_out)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_files": op2_token_files,
@@ -99,6 +106,7 @@ QUERIES = {
     "op7_robust_outliers": op7_robust_outliers,
     "op8_template_leaks": op8_template_leaks,
     "op9_relative_lz": op9_relative_lz,
+    "op10_context_mixing": op10_context_mixing,
 }
 
 # The results of the operators cannot be written in SQL; tests/llm compares them with
