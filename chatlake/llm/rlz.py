@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake.llm.common import text_of
-from chatlake.session import staged_path
+from chatlake.session import lookup, staged_path
 
 WINDOW = 13
 ANCHOR = 4
@@ -140,17 +140,19 @@ def matches(texts: DataFrame) -> DataFrame:
     that start in one with a smaller id, as structs of place, source and place there."""
     spark = texts.sparkSession
     copied = _staged(copies(texts), spark, "copies")
-    anchors = texts.mapInArrow(_emit_anchors, "id long, anchor long")
+    own = texts.join(lookup(copied), "id", "left_anti")
+    anchors = own.mapInArrow(_emit_anchors, "id long, anchor long")
     shared = anchors.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     # both sides of the join are plain exchanges, so an anchor in very many documents is split
     shared = _staged(shared.select("anchor"), spark, "shared-anchors")
-    indexed = anchors.join(shared, "anchor", "left_semi").join(copied, "id", "left_anti")
-    indexed = _staged(indexed, spark, "indexed-anchors")
+    indexed = _staged(anchors.join(shared, "anchor", "left_semi"), spark, "indexed-anchors")
     lists = indexed.groupBy("id").agg(F.collect_list("anchor").alias("anchors"))
     windows = texts.join(lists, "id").select("id", "text", "anchors").mapInArrow(_emit_windows, "w long, id long, at int")
     first = windows.groupBy("w").agg(F.min("id").alias("source"), F.min_by("at", "id").alias("source_at"), F.max("id").alias("last"))
-    first = first.where("source < last").select("w", "source", "source_at")
-    found = windows.join(first, "w").where("id > source")
+    # joined by another key than they were grouped by: again two plain exchanges
+    turned = F.bitwise_not("w").alias("v")
+    first = first.where("source < last").select(turned, "source", "source_at")
+    found = windows.select(turned, "id", "at").join(first, "v").where("id > source")
     found = found.groupBy("id").agg(F.collect_list(F.struct("at", "source", "source_at")).alias("found"))
     return found.join(copied.withColumn("copy", F.lit(True)), "id", "full").select("id", F.coalesce("copy", F.lit(False)).alias("copy"), "found")
 
