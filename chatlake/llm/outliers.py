@@ -79,9 +79,11 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     counted = repeated.withColumn(
         "n_repeat_words",
         F.expr("size(array_distinct(flatten(transform(__again, x -> array(x.i, x.i + 1, x.i + 2)))))").cast("long"),
-    ).drop("__words", "__lines", "__sorted", "__again")
+    )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return counted.withColumn("base_failed", failed)
+    # as a generator, so that a filter on the verdict is not pushed below and does not count again
+    once = F.inline(F.array(F.struct(*STATISTICS, failed.alias("base_failed"))))
+    return counted.select(*docs.columns, once)
 
 
 def _vector() -> dict[str, Column]:

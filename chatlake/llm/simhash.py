@@ -136,3 +136,12 @@ def grouped(marked: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``fp`` and ``component_id``."""
     return grouped(checkpointed(fingerprints(docs, width, id_col, text_col)), id_col)
+
+
+def first_of_each(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id names their component. Rows with equal ids count as one
+    document and stay together; rows without an id stay if their component has no id."""
+    found = near_duplicates(docs, width, id_col, text_col)
+    later = found.where(F.col(id_col).isNotNull() & (F.col(id_col) != F.col("component_id")) | F.col(id_col).isNull() & F.col("component_id").isNotNull())
+    later = checkpointed(later.select(F.col(id_col).alias("__later")).distinct())
+    return docs.join(later, F.col(id_col).eqNullSafe(F.col("__later")), "left_anti")
