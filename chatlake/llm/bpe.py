@@ -233,6 +233,8 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
+        if not texts:
+            return []
         joined, starts, stops = self.scanner.slices(texts)
         cuts = starts.tolist()
         pieces = [joined[a:b] for a, b in zip(cuts, cuts[1:])]

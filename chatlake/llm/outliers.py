@@ -17,7 +17,8 @@ Languages and sources with fewer than MIN_ROWS documents are pooled by language,
 over all together; a pool that is still smaller rejects nothing beyond the base rules.
 Null languages and sources are values of their own. A null or empty text has no words and
 fails the base rules. Equal texts of one group get equal verdicts; repeated rows count
-each. An empty table gives no rows. Further columns pass through.
+each. An empty table gives no rows. Further columns pass through; where one is named like a
+column of the result, the result's stands in its place.
 """
 
 from __future__ import annotations
@@ -83,7 +84,8 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     # as a generator, so that a filter on the verdict is not pushed below and does not count again
     once = F.inline(F.array(F.struct(*STATISTICS, failed.alias("base_failed"))))
-    return counted.select(*docs.columns, once)
+    made = {*STATISTICS, "base_failed"}
+    return counted.select(*[f"`{c}`" for c in docs.columns if c not in made], once)
 
 
 def _vector() -> dict[str, Column]:
@@ -222,18 +224,22 @@ class Rules:
     def _placed(self, counted: DataFrame) -> DataFrame:
         lang, source = counted[self.lang_col], counted[self.source_col]
         known = lookup(self.strata)
-        return counted.join(known, lang.eqNullSafe(known["__lang"]) & source.eqNullSafe(known["__source"]), "left").drop("__lang", "__source")
+        own = counted.columns
+        joined = counted.join(known, lang.eqNullSafe(known["__lang"]) & source.eqNullSafe(known["__source"]), "left")
+        return joined.select(*[counted[f"`{c}`"] for c in own if c != "stratum"], known["stratum"])
 
     def judge(self, counted: DataFrame) -> DataFrame:
         """``counted`` with ``kept``."""
         placed = self._placed(counted).withColumns(_vector()).join(lookup(self.params), "stratum", "left")
         outlier = F.coalesce(_distance() / consistency() > CUTOFF, F.lit(False))
-        return placed.withColumn("kept", ~F.col("base_failed") & ~outlier).select(*counted.columns, "kept")
+        own = [f"`{c}`" for c in counted.columns if c not in ("kept", "stratum")]
+        return placed.withColumn("kept", ~F.col("base_failed") & ~outlier).select(*own, "kept")
 
 
 def passing(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns. The counts are made twice, once
     for the estimates and once beside the text, so the texts are not shuffled."""
-    counted = with_statistics(docs, text_col)
+    packed = docs.select("lang", "source", F.col(text_col).alias("text"), F.struct("*").alias("__document"))
+    counted = with_statistics(packed)
     slim = checkpointed(counted.select("lang", "source", *STATISTICS, "base_failed"))
-    return Rules(slim).judge(counted).where("kept").select(*docs.columns)
+    return Rules(slim).judge(counted).where("kept").select("__document.*")

@@ -109,6 +109,26 @@ QUERIES = {
     "op10_context_mixing": op10_context_mixing,
 }
 
-# The results of the operators cannot be written in SQL; tests/llm compares them with
-# brute force, exact round trips or held-out labels.
-ORACLE: dict[str, str] = {}
+# The other results cannot be written in SQL; tests/llm compares them with brute force, exact
+# round trips or held-out labels.
+ORACLE: dict[str, str] = {
+    "op9_relative_lz": r"""
+        WITH split AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words
+            FROM documents),
+        windows AS (
+            SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS w
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM split)),
+        first AS (SELECT w, min(doc_id) AS source FROM windows GROUP BY w),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+            FROM windows JOIN first USING (w) WHERE source < doc_id),
+        placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split),
+        kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+            FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+            sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM split LEFT JOIN kept USING (doc_id)
+    """,
+}

@@ -11,7 +11,8 @@ the counted rows before it.
 Every probe is a prefix of the key's bits, so a group of equal texts, however large, is
 divided by the bits of the id. Rows that agree in hash and id cannot be divided; they
 stay together. Null groups count as 0, null ids come
-first, an empty table gives no rows. Extra columns pass through untouched.
+first, an empty table gives no rows. Extra columns pass through untouched, but for those
+named shard and slot, in whose place the result's stand.
 """
 
 from __future__ import annotations
@@ -116,6 +117,7 @@ def shard_by_size(docs: DataFrame, n_shards: int, size: Column, group: Column, i
     default the session's number of shuffle partitions.
     """
     spark = docs.sparkSession
+    own = [f"`{c}`" for c in docs.columns if c not in ("shard", "slot")]
     parts = max(n_shards, parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
     first = docs.agg(F.min(F.col(id_col).cast("long")), F.max(F.col(id_col).cast("long"))).first()
     low, high = (first[0] or 0), (first[1] or 0)
@@ -126,7 +128,7 @@ def shard_by_size(docs: DataFrame, n_shards: int, size: Column, group: Column, i
             "__i": F.coalesce(F.col(id_col).cast("long") - F.lit(low) + 1, F.lit(0)).cast("long"),
             "__w": size.cast("long"),
         }
-    )
+    ).drop("shard", "slot")
     keys = checkpointed(keyed.select(*_NAMES))
     total = keys.agg(F.sum("__w"), F.count("*")).first()
     weight, count = total[0] or 0, total[1]
@@ -170,4 +172,4 @@ def shard_by_size(docs: DataFrame, n_shards: int, size: Column, group: Column, i
     )
     exchanged = dealt.repartitionById(len(parts_of), F.col("__part")).sortWithinPartitions("__part", flipped, "__i")
     placed = exchanged.withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    return placed.join(place, "__part").withColumn("slot", F.col("__base") + F.col("__at")).select(*docs.columns, "shard", "slot")
+    return placed.join(place, "__part").withColumn("slot", F.col("__base") + F.col("__at")).select(*own, "shard", "slot")

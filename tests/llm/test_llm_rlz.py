@@ -1,0 +1,115 @@
+"""Repeated passages against a plain search over all windows."""
+
+import hashlib
+import random
+
+import numpy as np
+
+import __spark_entry__ as entry_points
+from cases import frame, odd_rows, prose, with_clashes, words
+from chatlake.llm import rlz
+from chatlake.llm.queries import ORACLE
+from oracle import difference, duck
+
+
+def masks(rows, window=13):
+    """Which words go; a null id is larger than all others."""
+    key = [(r[0] is None, r[0] or 0) for r in rows]
+    first = {}
+    split = [words(r[1]) for r in rows]
+    for k, own in zip(key, split):
+        for i in range(len(own) - window + 1):
+            w = tuple(own[i : i + window])
+            first[w] = min(k, first.get(w, k))
+    out = []
+    for k, own in zip(key, split):
+        gone = [False] * len(own)
+        for i in range(len(own) - window + 1):
+            if first[tuple(own[i : i + window])] < k:
+                gone[i : i + window] = [True] * window
+        out.append(gone)
+    return split, out
+
+
+def expected(rows):
+    out = []
+    for r, own, gone in zip(rows, *masks(rows)):
+        kept = " ".join(w for w, g in zip(own, gone) if not g)
+        out.append((r[0], len(own), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def planted(rng):
+    passages = [prose(rng, n, 5000) for n in (13, 14, 40, 120)]
+    rows = [(i, prose(rng, rng.randrange(5, 120), 5000)) for i in range(60)]
+    for i in range(100, 160):
+        parts = [prose(rng, rng.randrange(0, 30), 5000)]
+        for p in rng.sample(passages, rng.randrange(1, 4)):
+            own = p.split()
+            a = rng.randrange(len(own))
+            parts += [" ".join(own[a : a + rng.randrange(5, 60)]), prose(rng, rng.randrange(0, 10), 5000)]
+        rows.append((i, " ".join(parts)))
+    rows += [(200 + i, " ".join(rng.choice("ab") for _ in range(60))) for i in range(20)]
+    rows += [(300 + i, rows[3][1]) for i in range(40)]
+    return rows
+
+
+def test_planted_passages(spark):
+    rows = planted(random.Random(18))
+    got = rlz.removal(frame(spark, rows)).collect()
+    assert sorted([tuple(r)[:4] for r in got], key=repr) == expected(rows)
+
+
+def test_factors_are_copies(spark):
+    rows = planted(random.Random(19))
+    texts = {k: words(t) for k, t in rows}
+    n = 0
+    for r in rlz.removal(frame(spark, rows)).collect():
+        for f in r["factors"]:
+            n += 1
+            assert f["words"] >= rlz.WINDOW and f["source"] < r["doc_id"]
+            own = texts[r["doc_id"]][f["start"] : f["start"] + f["words"]]
+            assert own == texts[f["source"]][f["source_start"] : f["source_start"] + f["words"]]
+    assert n > 50
+
+
+def test_odd_documents_and_clashing_names(spark):
+    rows = [(r[0], r[1]) for r in odd_rows(random.Random(20))]
+    docs = with_clashes(frame(spark, rows))
+    got = rlz.removal(docs).collect()
+    assert sorted([tuple(r)[:4] for r in got], key=repr) == expected(rows)
+    assert rlz.removal(frame(spark, [])).count() == 0
+
+
+def test_cut_documents(spark):
+    rows = [(r[0], r[1]) for r in odd_rows(random.Random(21))] + planted(random.Random(21))
+    docs = with_clashes(frame(spark, rows))
+    got = rlz.without_repeats(docs)
+    assert got.columns == docs.columns
+    found = got.collect()
+    want = []
+    for (key, text), own, gone in zip(rows, *masks(rows)):
+        if not (own and all(gone)):
+            want.append((key, None if text is None else [w for w, g in zip(own, gone) if not g]))
+    assert sorted([(r["doc_id"], None if r["text"] is None else words(r["text"])) for r in found], key=repr) == sorted(want, key=repr)
+    assert all(r["n_chars"] == len(r["text"]) for r in found if r["text"] is not None)
+    whole = {t for _, t in rows}
+    untouched = {k for (k, _), g in zip(rows, masks(rows)[1]) if not any(g)}
+    assert all(r["text"] in whole for r in found if r["doc_id"] in untouched)
+    assert {r["kept"] for r in found} == {"own kept"}
+    assert rlz.without_repeats(frame(spark, [])).count() == 0
+
+
+def test_factors_split_where_source_or_place_breaks():
+    at = np.array([0, 1, 2, 5, 6, 7])
+    source = np.array([1, 1, 1, 2, 2, 3])
+    there = np.array([4, 5, 6, 0, 1, 2])
+    assert rlz.factors(at, source, there).tolist() == [[0, 15, 1, 4], [5, 14, 2, 0], [7, 13, 3, 2]]
+
+
+def test_query(spark, sf_dir):
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    got = entry_points.queries()["op9_relative_lz"](spark, sf_dir)
+    assert got.columns == ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    assert sorted(map(tuple, got.collect()), key=repr) == expected(docs)
+    assert difference(got, duck(sf_dir), ORACLE["op9_relative_lz"]) is None
