@@ -14,8 +14,8 @@ words is too general and left out; items with fewer words than that cannot be fo
 shorter than a window are one window. Templates are compared by a 64-bit hash.
 
 Null and empty texts have no words: such documents leak nothing and such items are in no
-document. Repeated documents are reported once per id, repeated items each; a null document
-id is reported as one document. An empty table gives no rows. Other columns are not read.
+document. Repeated documents are reported once per id, repeated items once; a null id of a
+document or item is an id like any other. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -90,7 +90,8 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
         every = every.union(part)
     telling = every.where(F.col("length") - F.size("slots") >= LITERALS)
     sizes = telling.groupBy("id").agg(F.countDistinct("at").alias("n"))
-    return checkpointed(telling.join(sizes, "id").select(F.col("id").alias("item"), F.col("at").alias("item_at"), "h", F.col("slots").alias("item_slots"), "n", "length"))
+    sizes = sizes.withColumnRenamed("id", "of")
+    return checkpointed(telling.join(sizes, F.col("id").eqNullSafe(F.col("of"))).select(F.col("id").alias("item"), F.col("at").alias("item_at"), "h", F.col("slots").alias("item_slots"), "n", "length"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

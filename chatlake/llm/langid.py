@@ -6,13 +6,13 @@ phrases, the closer the language. With c phrases over n characters and a sample
 estimate is c * log2(N) / n bits per character, and the language with the least wins.
 
 The automaton is completed to a table of transitions in which a character that cannot go on
-leads to the state after that character from the start, marked as the end of a phrase. So a
-parse is one look-up per character and language, done for many texts side by side. Texts are
-parsed in stretches of STRETCH characters, which end a phrase; whole texts are read.
+leads to the state after that character from the start, marked as the beginning of a phrase.
+So a parse is one look-up per character and language, done for many texts side by side. Texts
+are parsed in stretches of STRETCH characters, which end a phrase; whole texts are read.
 
 Letters are taken to lower case, everything else counts as one blank between words.
-Characters that are not among the SYMBOLS most frequent letters of the samples end a phrase
-in every language. ``und`` with score 0 is given for null texts, texts without a letter and
+Characters that are not in the sample, or not among the SYMBOLS most frequent letters of all
+samples, are a phrase of their own. ``und`` with score 0 is given for null texts, texts without a letter and
 when nothing was learned. Ties go to the smaller language name. The score is the part of the
 second best in the sum of the two best estimates, 0.5 for a tie, 1 for a sole language. The
 sample is the labelled documents with the least hash of their id, SAMPLE_CHARS characters per
@@ -45,7 +45,7 @@ STRETCH = 1024
 SLICE_CHARS = 1 << 20
 UNKNOWN, BLANK = 0, 1
 UNDECIDED = "und"
-_END = np.int32(-(1 << 31))
+_BEGIN = np.int32(-(1 << 31))
 
 
 def _letter_table() -> np.ndarray:
@@ -126,10 +126,11 @@ class Model:
             table = suffix_automaton([symbol.get(c, UNKNOWN) for c in text], self.alphabet)
             table[:, UNKNOWN] = -1
             first = np.where(table[0] >= 0, table[0], 0)
-            ended = table < 0
-            table = np.where(ended, first[None, :], table) + base
-            # next row of the joined table, with the sign as the mark of an ended phrase
-            parts.append(np.where(ended, (table * self.alphabet) | _END, table * self.alphabet).astype(np.int32))
+            begins = table < 0
+            table = np.where(begins, first[None, :], table) + base
+            begins[0] = True
+            # next row of the joined table, with the sign as the mark of a phrase that begins
+            parts.append(np.where(begins, (table * self.alphabet) | _BEGIN, table * self.alphabet).astype(np.int32))
             self.starts.append(base * self.alphabet)
             self.bits.append(math.log2(max(2, len(text))))
             base += len(table)
@@ -167,15 +168,13 @@ class Model:
             grid[: sizes[r], column] = rows[r]
         alive = np.searchsorted(-sizes[order], -np.arange(1, len(grid) + 1), side="right")
         state = np.repeat(np.array(self.starts, np.int32)[:, None], len(rows), axis=1)
-        ended = np.zeros((len(self.names), len(rows)), np.int32)
-        # the first symbol always opens a phrase, so an end is counted before each later one
+        begun = np.zeros((len(self.names), len(rows)), np.int32)
         for step in range(len(grid)):
             n = int(alive[step])
             to = self.table[state[:, :n] + grid[step, :n]]
-            ended[:, :n] += to < 0
+            begun[:, :n] += to < 0
             state[:, :n] = to & np.int32(0x7FFFFFFF)
-        ended += 1  # the last phrase
-        np.add.at(total, np.array(owners)[order], ended.T)
+        np.add.at(total, np.array(owners)[order], begun.T)
         return total, lengths
 
     def predict(self, texts: list[str], of: np.ndarray) -> tuple[list[str], list[float]]:

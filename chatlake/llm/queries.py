@@ -114,7 +114,7 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op9_relative_lz": r"""
         WITH split AS (
-            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words
+            SELECT doc_id, [w FOR w IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS words
             FROM documents),
         windows AS (
             SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS w

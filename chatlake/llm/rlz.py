@@ -16,8 +16,10 @@ text as one with a smaller id are wholly copied if they have a window at all; th
 apart first, so large groups of copies are neither indexed nor compared.
 
 Null and empty texts have no words, and texts under WINDOW words lose none. Repeated rows
-with one id are one document to each other and lose nothing by that; a null id is larger
-than all others. An empty table gives no rows. Only the id and text columns are read.
+with one id and text are one document to each other and lose nothing by that. A text without
+an id, and every text of an id that has several, is a document behind all that have an id,
+in the order of the hash of its text. An empty table gives no rows. Only the id and text
+columns are read. Ids are below 2^62.
 """
 
 from __future__ import annotations
@@ -28,9 +30,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake.llm.common import text_of
@@ -38,7 +39,8 @@ from chatlake.session import lookup, staged_path
 
 WINDOW = 13
 ANCHOR = 4
-LAST_ID = (1 << 63) - 1
+# Keys from here on stand for texts without an id of their own.
+APART = 1 << 62
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _ODD = np.random.default_rng(20250101).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -80,8 +82,15 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), text_of(text_col).alias("text"))
+def _texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """``id`` (the key by which documents are told apart and ordered), ``own_id`` and ``text``."""
+    base = docs.select(F.col(id_col).cast("long").alias("own_id"), text_of(text_col).alias("text"), *more)
+    hashed = base.where("own_id is not null").select(F.col("own_id").alias("again"), F.xxhash64("text").alias("h"))
+    several = hashed.groupBy("again").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high")
+    several = lookup(_staged(several.select("again"), docs.sparkSession, "ids-of-several-texts"))
+    apart = F.xxhash64("text").bitwiseAND(F.lit(APART - 1)).bitwiseOR(F.lit(APART))
+    key = F.when(F.col("own_id").isNull() | F.col("again").isNotNull(), apart).otherwise(F.col("own_id"))
+    return base.join(several, F.col("own_id") == F.col("again"), "left").withColumn("id", key).drop("again")
 
 
 def copies(texts: DataFrame) -> DataFrame:
@@ -182,7 +191,7 @@ def covered(n: int, pieces: np.ndarray, copy: bool) -> np.ndarray:
 
 def _parsed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     texts = _texts(docs, id_col, text_col)
-    return texts.join(matches(texts), "id", "left")
+    return texts.join(matches(texts.select("id", "text")), "id", "left")
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
@@ -209,13 +218,12 @@ def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 row = len(mask), int(mask.sum()), hashlib.sha256(kept).hexdigest(), list(map(tuple, pieces.tolist()))
                 for column, value in zip(columns, row):
                     column.append(value)
-            ids = pc.if_else(pc.equal(batch.column(0), LAST_ID), pa.scalar(None, pa.int64()), batch.column(0))
-            arrays = [ids, *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.list_(piece))))]
+            arrays = [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.list_(piece))))]
             yield pa.RecordBatch.from_arrays(arrays, [id_col, "n_words", "n_removed", "kept_sha256", "factors"])
 
     piece = pa.struct([("start", pa.int32()), ("words", pa.int32()), ("source", pa.int64()), ("source_start", pa.int32())])
     ddl = f"`{id_col}` long, n_words long, n_removed long, kept_sha256 string, factors array<struct<start:int,words:int,source:long,source_start:int>>"
-    return _parsed(docs, id_col, text_col).select("id", "text", "copy", "found").mapInArrow(work, ddl)
+    return _parsed(docs, id_col, text_col).select("own_id", "text", "copy", "found").mapInArrow(work, ddl)
 
 
 def cut(text: bytes, mask: np.ndarray) -> bytes:
@@ -251,11 +259,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(stays), batch.column(4)], ["__cut", "__stays", "__row"])
 
     names = docs.columns
-    texts = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
-        text_of(text_col).alias("text"),
-        F.struct(*[F.col(f"`{c}`") for c in names if c != text_col], F.col(text_col).isNull().alias("__null")).alias("__row"),
-    )
+    kept = F.struct(*[F.col(f"`{c}`") for c in names if c != text_col], F.col(text_col).isNull().alias("__null"))
+    texts = _texts(docs, id_col, text_col, kept.alias("__row"))
     found = matches(texts.select("id", "text"))
     row = texts.schema["__row"].dataType
     joined = texts.join(found, "id", "left").select("id", "text", "copy", "found", "__row")

@@ -140,8 +140,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
 
 def first_of_each(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id names their component. Rows with equal ids count as one
-    document and stay together; rows without an id stay if their component has no id."""
+    document, which goes only if none of its texts stays; so do the rows without an id, whose
+    texts stay where no member of the component has an id."""
     found = near_duplicates(docs, width, id_col, text_col)
-    later = found.where(F.col(id_col).isNotNull() & (F.col(id_col) != F.col("component_id")) | F.col(id_col).isNull() & F.col("component_id").isNotNull())
-    later = checkpointed(later.select(F.col(id_col).alias("__later")).distinct())
+    names = F.col(id_col).eqNullSafe(F.col("component_id"))
+    later = found.groupBy(F.col(id_col).alias("__later")).agg(F.bool_or(names).alias("stays")).where("not stays")
+    later = checkpointed(later.select("__later"))
     return docs.join(later, F.col(id_col).eqNullSafe(F.col("__later")), "left_anti")

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import xxhash
 
 import __spark_entry__ as entry_points
 from cases import frame, odd_rows, prose, with_clashes, words
@@ -13,8 +14,17 @@ from oracle import difference, duck
 
 
 def masks(rows, window=13):
-    """Which words go; a null id is larger than all others."""
-    key = [(r[0] is None, r[0] or 0) for r in rows]
+    """Which words go; texts without an id, or of an id with several, come last, by their hash."""
+    texts = {}
+    for r in rows:
+        texts.setdefault(r[0], set()).add(r[1] or "")
+
+    def place(r):
+        if r[0] is None or len(texts[r[0]]) > 1:
+            return True, xxhash.xxh64_intdigest((r[1] or "").encode(), 42) & ((1 << 62) - 1)
+        return False, r[0]
+
+    key = [place(r) for r in rows]
     first = {}
     split = [words(r[1]) for r in rows]
     for k, own in zip(key, split):
@@ -75,6 +85,7 @@ def test_factors_are_copies(spark):
 
 def test_odd_documents_and_clashing_names(spark):
     rows = [(r[0], r[1]) for r in odd_rows(random.Random(20))]
+    rows += [(None if i % 2 else 102, t) for i, t in enumerate(t for _, t in planted(random.Random(29))[60:120])]
     docs = with_clashes(frame(spark, rows))
     got = rlz.removal(docs).collect()
     assert sorted([tuple(r)[:4] for r in got], key=repr) == expected(rows)
@@ -82,7 +93,8 @@ def test_odd_documents_and_clashing_names(spark):
 
 
 def test_cut_documents(spark):
-    rows = [(r[0], r[1]) for r in odd_rows(random.Random(21))] + planted(random.Random(21))
+    rows = [(r[0], r[1]) for r in odd_rows(random.Random(21))]
+    rows += [(1000 + k, t) for k, t in planted(random.Random(21))]
     docs = with_clashes(frame(spark, rows))
     got = rlz.without_repeats(docs)
     assert got.columns == docs.columns
