@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatlake import schemas
+from chatlake.functions.jsontext import WHOLE
 
 # The roles a message may have, and those written by the model.
 SUPPORTED_ROLES = ["system", "user", "assistant", "tool", "model"]
@@ -78,7 +79,7 @@ def tool_calls(value: Column | None, data_type: T.DataType | None) -> Column:
         return none
     if isinstance(data_type, T.StringType):
         parsed_type = T._parse_datatype_string(_JSON_CALLS)
-        return tool_calls(F.from_json(value, _JSON_CALLS), parsed_type)
+        return tool_calls(F.from_json(value, _JSON_CALLS, WHOLE), parsed_type)
     if isinstance(data_type, T.StructType):
         return F.when(value.isNotNull(), F.array(_call(value, data_type)))
     if isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, T.StructType):
@@ -109,18 +110,24 @@ def normalize(messages: Column, data_type: T.ArrayType) -> Column:
     return F.transform(messages, entry)
 
 
+# The reasons for which a conversation is not valid.
+NO_ROLE = " missing 'role'"
+BAD_ROLE = " has unsupported role: "
+NO_MESSAGES = "Missing 'messages' field"
+
+
 def role_problem(role: Column, position: Column) -> Column:
     """Why a message at ``position`` is not acceptable, or null."""
     label = F.concat(F.lit("Message "), position.cast("string"))
-    return F.when(role.isNull(), F.concat(label, F.lit(" missing 'role'"))).when(
-        ~role.isin(SUPPORTED_ROLES), F.concat(label, F.lit(" has unsupported role: "), role)
+    return F.when(role.isNull(), F.concat(label, F.lit(NO_ROLE))).when(
+        ~role.isin(SUPPORTED_ROLES), F.concat(label, F.lit(BAD_ROLE), role)
     )
 
 
 def messages_problem(messages: Column) -> Column:
     """First reason why a conversation is invalid, or null when it is valid."""
     problems = F.transform(messages, lambda m, i: role_problem(m.getField("role"), i))
-    return F.when(messages.isNull(), F.lit("Missing 'messages' field")).otherwise(
+    return F.when(messages.isNull(), F.lit(NO_MESSAGES)).otherwise(
         F.try_element_at(F.filter(problems, lambda p: p.isNotNull()), F.lit(1))
     )
 

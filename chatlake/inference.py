@@ -17,6 +17,9 @@ TEMPERATURE = 0.0
 Generate = Callable[..., str]
 
 
+REPLY = "struct<text:string,error:string>"
+
+
 def predict(
     examples: DataFrame,
     load_model: Callable[[], Generate],
@@ -25,28 +28,37 @@ def predict(
     batch_size: int = 64,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``predicted_text`` for each ``prompt``.
+    """Add ``predicted_text`` and ``generation_error`` for each ``prompt``.
 
     ``load_model`` runs once per Python worker and returns a function called as
     ``generate(prompt, max_tokens=..., temperature=...)``. A prompt on which it
-    raises gets a null text, which scores as an empty reply. ``partitions``
+    raises gets a null text, which scores as an empty reply, and the error's text. ``partitions``
     spreads the prompts evenly when the input has few or uneven partitions.
     """
 
     def make_predict():
         generate = load_model()
 
-        def one(prompt: str) -> str | None:
+        def one(prompt: str) -> tuple[str | None, str | None]:
             try:
-                return generate(prompt, max_tokens=max_tokens, temperature=temperature)
-            except Exception:
-                return None
+                return generate(prompt, max_tokens=max_tokens, temperature=temperature), None
+            except Exception as error:
+                return None, f"{type(error).__name__}: {error}"
 
-        def batch(prompts: np.ndarray) -> np.ndarray:
-            return np.array([one(p) for p in prompts], dtype=object)
+        def batch(prompts: np.ndarray) -> dict[str, np.ndarray]:
+            made = [one(p) for p in prompts]
+            return {
+                "text": np.array([m[0] for m in made], dtype=object),
+                "error": np.array([m[1] for m in made], dtype=object),
+            }
 
         return batch
 
-    reply = predict_batch_udf(make_predict, return_type=T.StringType(), batch_size=batch_size)
+    kind = T._parse_datatype_string(REPLY)
+    reply = predict_batch_udf(make_predict, return_type=kind, batch_size=batch_size)
     spread = examples if partitions is None else examples.repartition(partitions)
-    return spread.withColumn("predicted_text", reply(F.col("prompt")))
+    return (
+        spread.withColumn("_reply", reply(F.col("prompt")))
+        .withColumns({"predicted_text": F.col("_reply.text"), "generation_error": F.col("_reply.error")})
+        .drop("_reply")
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatlake.operators.running import BLOCK_ROWS, earlier_blocks, inside_block, spread_by_block, with_keys
@@ -44,7 +44,8 @@ def trace(
     reached, so one running minimum over (loss, place) answers both. ``carried``
     continues runs from an earlier state (see ``carry``).
 
-    Adds ``place`` (1-based), ``best`` (struct) and ``no_improve``.
+    Adds ``place`` (1-based), ``best`` (struct), ``no_improve`` and ``_block``.
+    What a block adds up to stands in its last row, so nothing is aggregated.
     """
     keys = ["run_id"]
     local = inside_block(order)
@@ -54,8 +55,10 @@ def trace(
     placed = spread.withColumn("_local_place", F.count("*").over(local))
     candidate = _best(F.col("val_loss"), F.col("_local_place"), F.col("iter"))
     scanned = placed.withColumn("_local_best", F.min(candidate).over(local))
-    totals = placed.groupBy("_block").agg(
-        F.count("*").alias("_n"), F.max(order).alias("_last"), F.min(candidate).alias("_best")
+    totals = (
+        scanned.withColumn("_next", F.lead(order).over(Window.partitionBy("_block").orderBy(order)))
+        .filter(F.col("_next").isNull())
+        .select("_block", F.col("_local_place").alias("_n"), F.col(order).alias("_last"), F.col("_local_best").alias("_best"))
     )
     before = earlier_blocks(keys)
     counted = with_keys(totals, keys).withColumn("_n_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
@@ -64,10 +67,11 @@ def trace(
     if carried is not None:
         # places of carried bests are zero or negative: validations before this batch
         known = carried.select(
-            "run_id", _best(F.col("best_val_loss"), -F.col("no_improve"), F.col("best_iter")).alias("_known")
+            F.col("run_id").alias("_run"), _best(F.col("best_val_loss"), -F.col("no_improve"), F.col("best_iter")).alias("_known")
         )
         state = (
-            state.join(known, "run_id", "left")
+            state.join(known, state["run_id"].eqNullSafe(known["_run"]), "left")
+            .drop("_run")
             .withColumn("_best_before", F.least("_known", "_best_before"))
             .drop("_known")
         )
@@ -77,7 +81,7 @@ def trace(
         .withColumn("place", F.col("_local_place") + F.col("_n_before"))
         .withColumn("best", best)
         .withColumn("no_improve", F.col("place") - F.col("best.place"))
-        .select("run_id", order, "iter", "val_loss", "place", "best", "no_improve")
+        .select("run_id", order, "iter", "val_loss", "place", "best", "no_improve", "_block")
     )
 
 
@@ -85,23 +89,34 @@ def _shift(best: Column, by: Column) -> Column:
     return _best(best.getField("loss"), best.getField("place") + by, best.getField("iter"))
 
 
-def stop_points(traced: DataFrame, patience: int) -> DataFrame:
+def stop_points(traced: DataFrame, patience: int, order: str = "line_no") -> DataFrame:
     """First validation of each run at which training stops, and the state
-    there; for runs that never stop, the state after the last validation."""
-    state = F.struct(
-        F.col("place"), F.col("iter").alias("at_iter"), F.col("best"), F.col("no_improve")
-    )
+    there; for runs that never stop, the state after the last validation.
+
+    Of every block the first stop and the last row are kept, in the order the
+    block has already, so a run sends few rows on, however long it is.
+    """
     stopped = F.col("no_improve") >= max(patience, 1)
-    ends = traced.groupBy("run_id").agg(
-        F.min(F.when(stopped, state)).alias("_stop"), F.max(state).alias("_end")
+    block = Window.partitionBy("_block").orderBy(order)
+    so_far = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    few = (
+        traced.withColumns(
+            {"_stopped": stopped, "_stops": F.count_if(stopped).over(so_far), "_next": F.lead(order).over(block)}
+        )
+        .filter(F.col("_stopped") & (F.col("_stops") == 1) | F.col("_next").isNull())
     )
-    end = F.coalesce("_stop", "_end")
+    run = Window.partitionBy("run_id")
+    first = run.orderBy(F.col("_stopped").desc(), F.when(F.col("_stopped"), F.col("place")).otherwise(-F.col("place")))
+    ends = few.withColumns(
+        {"_rank": F.row_number().over(first), "_last_line": F.max(order).over(run)}
+    ).filter("_rank = 1")
     return ends.select(
         "run_id",
-        end.getField("best").getField("iter").alias("best_iter"),
-        end.getField("best").getField("loss").alias("best_val_loss"),
-        F.col("_stop.at_iter").alias("stop_iter"),
-        end.getField("no_improve").alias("no_improve"),
+        F.col("best.iter").alias("best_iter"),
+        F.col("best.loss").alias("best_val_loss"),
+        F.when(F.col("_stopped"), F.col("iter")).alias("stop_iter"),
+        "no_improve",
+        F.col("_last_line").cast("long").alias("last_line"),
     )
 
 
@@ -120,7 +135,7 @@ def early_stop(
     the run went to its end.
     """
     traced = trace(losses, order, block_rows=block_rows)
-    return stop_points(traced, patience).drop("no_improve")
+    return stop_points(traced, patience, order).drop("no_improve", "last_line")
 
 
 def runs_without_losses(runs: DataFrame, results: DataFrame) -> DataFrame:

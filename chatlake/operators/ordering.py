@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatlake.session import BROADCAST_LIMIT_BYTES, checkpointed
+from chatlake.session import checkpointed
 
 # monotonically_increasing_id keeps the row number in a partition in its low 33 bits.
 _ROW_BITS = 33
@@ -55,16 +55,22 @@ def index_by_file(files: DataFrame, index: str = "example_index") -> DataFrame:
     """Number the rows of a Parquet scan by file path and position in the file.
 
     ``files`` must be the scan itself, before any filter. Rows are not
-    shuffled: only one offset per file is joined, broadcast when it is small.
+    shuffled. One offset per file is broadcast under a 64-bit hash of the path:
+    16 bytes for each file, of which Spark's driver holds the path and status
+    already. Should two paths share a hash, another seed is taken.
     """
     path = F.col("_metadata.file_path")
-    located = files.select("*", path.alias("_path"), F.col("_metadata.row_index").alias("_row"))
-    counts = files.groupBy(path.alias("_path")).agg(F.count("*").alias("_n"))
-    offsets = counts.select("_path", sum_before("_n", ["_path"]).alias("_offset"))
-    # Spark has listed the files already, so the size of the offsets is known
-    size = sum(len(name) + 64 for name in files.inputFiles())
-    small = F.broadcast(offsets) if size <= BROADCAST_LIMIT_BYTES else offsets
-    return located.join(small, "_path").select(
+    counts = checkpointed(files.groupBy(path.alias("_path")).agg(F.count("*").alias("_n")))
+    seed = 0
+    while True:
+        known = F.xxhash64(F.lit(seed), "_path")
+        all_files, hashes = counts.agg(F.count("*"), F.count_distinct(known)).first()
+        if hashes == all_files:
+            break
+        seed += 1
+    offsets = counts.select(known.alias("_file"), sum_before("_n", ["_path"]).alias("_offset"))
+    located = files.select("*", F.xxhash64(F.lit(seed), path).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return located.join(F.broadcast(offsets), "_file").select(
         *files.columns, (F.col("_offset") + F.col("_row")).alias(index)
     )
 

@@ -14,9 +14,10 @@ def attach_predictions(
     examples: DataFrame, predictions: DataFrame, on: list[str] | None = None
 ) -> DataFrame:
     """Examples with their ``predicted_text``. A missing or null prediction is
-    a failed generation: it is scored as an empty text and flagged."""
+    a failed generation: it is scored as an empty text and flagged. Of several
+    predictions for an example the least text counts, so none is scored twice."""
     keys = on or ["example_index"]
-    replies = predictions.select(*keys, F.col("predicted_text").alias("_reply"))
+    replies = predictions.groupBy(*keys).agg(F.min("predicted_text").alias("_reply"))
     return (
         examples.join(replies, keys, "left")
         .withColumn("generation_failed", F.col("_reply").isNull())
@@ -53,12 +54,18 @@ def score(examples: DataFrame) -> DataFrame:
     )
 
 
-def results(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """The result rows of an evaluation, with the input cut to 500 characters."""
+def cut(column: str, chars: int | None) -> Column:
+    """The first ``chars`` characters, or the whole text for none."""
+    return (F.col(column) if chars is None else F.substring(column, 1, chars)).alias(column)
+
+
+def results(scored: DataFrame, by: list[str] | None = None, input_chars: int | None = INPUT_CHARS) -> DataFrame:
+    """The result rows of an evaluation, with the input cut to ``input_chars``
+    (none: whole)."""
     return scored.select(
         *(by or []),
         "example_index",
-        F.substring("input", 1, INPUT_CHARS).alias("input"),
+        cut("input", input_chars),
         "expected_tool",
         "expected_text",
         F.struct(

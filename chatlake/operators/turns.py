@@ -5,6 +5,10 @@ conversation of ordinary length is exactly one block. A very long one spans
 several, which are processed by different tasks; the text before each block is
 then built by doubling: after k joins on the unique key (conversation, block) a
 block knows the text of the 2^k blocks up to it.
+
+Turns without a position, and with a negative one, stand before all others, in
+the first block. A null conversation is a conversation like any other: the
+conversation is a struct while rows are grouped and joined, which is never null.
 """
 
 from __future__ import annotations
@@ -33,13 +37,19 @@ class TurnColumns:
     role: str = "role"
     text: str = "text"
 
+    def key(self) -> Column:
+        return F.struct(F.col(self.conversation).alias("conversation")).alias("_key")
+
+    def value_of(self, key: str) -> Column:
+        return F.col(key).getField("conversation").alias(self.conversation)
+
 
 @dataclass(frozen=True)
 class TurnBlocks:
-    """Blocks of turns: ``rows`` has the conversation, ``_block`` and the sorted
-    array ``turns``; ``count`` is the number of blocks of the longest
-    conversation, and ``long`` the conversations of several blocks with their
-    ``_last_block``."""
+    """Blocks of turns: ``rows`` has ``_key`` (a struct with the conversation),
+    ``_block`` and the sorted array ``turns``; ``count`` is the number of blocks
+    of the longest conversation, and ``long`` the conversations of several
+    blocks with their ``_last_block``."""
 
     rows: DataFrame
     count: int
@@ -48,7 +58,11 @@ class TurnBlocks:
 
     @property
     def keys(self) -> list[str]:
-        return [self.columns.conversation, "_block"]
+        return ["_key", "_block"]
+
+    @property
+    def conversation(self) -> Column:
+        return self.columns.value_of("_key")
 
 
 def block_count(turns: DataFrame, columns: TurnColumns, block_turns: int) -> int:
@@ -59,6 +73,10 @@ def block_count(turns: DataFrame, columns: TurnColumns, block_turns: int) -> int
     return 1 if longest is None else int(longest) // block_turns + 1
 
 
+def _block_of(turn: str, block_turns: int) -> Column:
+    return F.greatest(F.lit(0), F.floor(F.col(turn) / block_turns)).cast("long")
+
+
 def turn_blocks(
     turns: DataFrame,
     fields: dict[str, Column],
@@ -71,15 +89,14 @@ def turn_blocks(
         F.col(columns.turn).alias("turn"), *[value.alias(name) for name, value in fields.items()]
     )
     collected = F.array_sort(F.collect_list("_entry")).alias("turns")
-    entries = turns.select(columns.conversation, F.col(columns.turn).alias("_turn"), entry.alias("_entry"))
+    entries = turns.select(columns.key(), F.col(columns.turn).alias("_turn"), entry.alias("_entry"))
     if count == 1:
-        grouped = entries.groupBy(columns.conversation).agg(collected).withColumn("_block", F.lit(0).cast("long"))
+        grouped = entries.groupBy("_key").agg(collected).withColumn("_block", F.lit(0).cast("long"))
     else:
-        block = F.floor(F.col("_turn") / block_turns).cast("long")
-        grouped = entries.groupBy(columns.conversation, block.alias("_block")).agg(collected)
+        grouped = entries.groupBy("_key", _block_of("_turn", block_turns).alias("_block")).agg(collected)
     long = (
         turns.filter(F.col(columns.turn) >= block_turns)
-        .groupBy(columns.conversation)
+        .groupBy(columns.key())
         .agg(F.floor(F.max(columns.turn) / block_turns).cast("long").alias("_last_block"))
     )
     return TurnBlocks(grouped, count, columns, long)
@@ -97,13 +114,13 @@ def assemble(
     blocks = turn_blocks(turns, fields, columns)
     rows = blocks.rows
     if blocks.count > 1:
-        rows = rows.groupBy(columns.conversation).agg(
+        rows = rows.groupBy("_key").agg(
             F.array_sort(F.collect_list(F.struct("_block", "turns"))).alias("_blocks")
-        ).select(columns.conversation, F.flatten(F.col("_blocks.turns")).alias("turns"))
+        ).select("_key", F.flatten(F.col("_blocks.turns")).alias("turns"))
     messages = F.transform(
         "turns", lambda t: F.struct(*[t.getField(name).alias(name) for name in fields])
     )
-    return rows.select(columns.conversation, messages.alias("messages"))
+    return rows.select(blocks.conversation, messages.alias("messages"))
 
 
 def rendered_blocks(
@@ -120,14 +137,14 @@ def rendered_blocks(
         "text": template.turn(role, F.coalesce(F.col(columns.text), F.lit(""))),
         "trainable": F.coalesce(trainable, F.lit(False)),
         "reply": is_reply(role),
-        "valid": role_problem(role, F.col(columns.turn)).isNull(),
+        "valid": role_problem(role, F.coalesce(F.col(columns.turn), F.lit(0))).isNull(),
     }
     blocks = turn_blocks(turns, fields, columns, block_turns)
     if blocks.count == 1:
         valid = blocks.rows.filter(F.forall("turns", lambda t: t.getField("valid")))
     else:
-        invalid = lookup(checkpointed(invalid_conversations(turns, columns)))
-        valid = blocks.rows.join(invalid, columns.conversation, "left_anti")
+        invalid = lookup(checkpointed(invalid_conversations(turns, columns).select(columns.key())))
+        valid = blocks.rows.join(invalid, "_key", "left_anti")
     return replace(blocks, rows=valid)
 
 
@@ -142,12 +159,12 @@ def render_turns(
 
 def with_text_before(blocks: TurnBlocks) -> DataFrame:
     """Add ``_before``, the text of all earlier blocks of the conversation."""
-    rows, conversation = blocks.rows, blocks.columns.conversation
+    rows = blocks.rows
     if blocks.count == 1:
         return rows.withColumn("_before", F.lit(""))
     # one row per block of the long conversations, also for blocks without turns
     slots = blocks.long.select(
-        conversation, F.explode(F.sequence(F.lit(0).cast("long"), "_last_block")).alias("_block")
+        "_key", F.explode(F.sequence(F.lit(0).cast("long"), "_last_block")).alias("_block")
     )
     texts = slots.join(
         rows.select(*blocks.keys, F.array_join(F.col("turns.text"), "").alias("_text")),
@@ -159,7 +176,7 @@ def with_text_before(blocks: TurnBlocks) -> DataFrame:
         # each round reads the texts twice, so they are cut from their lineage
         texts = checkpointed(texts)
         earlier = texts.select(
-            conversation, (F.col("_block") + reach).alias("_block"), F.col("_text").alias("_earlier")
+            "_key", (F.col("_block") + reach).alias("_block"), F.col("_text").alias("_earlier")
         )
         texts = texts.join(earlier, blocks.keys, "left").select(
             *blocks.keys,
@@ -167,7 +184,7 @@ def with_text_before(blocks: TurnBlocks) -> DataFrame:
         )
         reach *= 2
     before = texts.select(
-        conversation, (F.col("_block") + 1).alias("_block"), F.col("_text").alias("_before")
+        "_key", (F.col("_block") + 1).alias("_block"), F.col("_text").alias("_before")
     )
     return rows.join(before, blocks.keys, "left").withColumn(
         "_before", F.coalesce("_before", F.lit(""))
@@ -181,11 +198,11 @@ def with_conversation_columns(blocks: TurnBlocks, values: DataFrame) -> TurnBloc
     the join runs on the key the blocks are spread by already and no
     conversation ends up in one task.
     """
-    conversation = blocks.columns.conversation
+    keyed = values.withColumn("_key", blocks.columns.key()).drop(blocks.columns.conversation)
     if blocks.count == 1:
-        return replace(blocks, rows=blocks.rows.join(values, conversation))
+        return replace(blocks, rows=blocks.rows.join(keyed, "_key"))
     slots = F.sequence(F.lit(0).cast("long"), F.coalesce("_last_block", F.lit(0).cast("long")))
-    spread = values.join(blocks.long, conversation, "left").withColumn("_block", F.explode(slots))
+    spread = keyed.join(blocks.long, "_key", "left").withColumn("_block", F.explode(slots))
     return replace(blocks, rows=blocks.rows.join(spread.drop("_last_block"), blocks.keys))
 
 
@@ -194,18 +211,17 @@ def training_rows(blocks: TurnBlocks) -> DataFrame:
 
     Columns attached to the conversations are kept.
     """
-    conversation = blocks.columns.conversation
-    extra = [c for c in blocks.rows.columns if c not in (conversation, "_block", "turns")]
+    extra = [c for c in blocks.rows.columns if c not in ("_key", "_block", "turns")]
     positions = F.filter(
         F.transform("turns", lambda t, i: F.when(t.getField("trainable"), i)), lambda i: i.isNotNull()
     )
     picked = with_text_before(blocks).select(
-        conversation, *extra, "_before", "turns", F.explode(positions).alias("_at")
+        "_key", *extra, "_before", "turns", F.explode(positions).alias("_at")
     )
     turn = F.try_element_at("turns", F.col("_at") + 1)
     context = F.array_join(F.slice(F.col("turns.text"), F.lit(1), F.col("_at")), "")
     return picked.select(
-        conversation,
+        blocks.conversation,
         *extra,
         turn.getField("turn").cast("int").alias("turn_index"),
         F.concat("_before", context).alias("prompt"),
@@ -230,20 +246,51 @@ def split_training_rows(
     return training_rows(with_conversation_columns(blocks, assign_split(index)))
 
 
+def split_counts(
+    turns: DataFrame, trainable: Column, columns: TurnColumns = TurnColumns()
+) -> DataFrame:
+    """Training rows per split, as ``split_training_rows`` would make them. Texts are
+    neither read nor rendered: a conversation sends its number of trainable
+    turns and whether it is valid."""
+    counted = turns.groupBy(columns.conversation).agg(
+        F.count_if(F.coalesce(trainable, F.lit(False))).alias("_rows"),
+        F.bool_and(role_problem(F.col(columns.role), F.coalesce(F.col(columns.turn), F.lit(0))).isNull()).alias("_valid"),
+    )
+    indexed = assign_split(index_by_key(counted, [columns.conversation]))
+    made = indexed.filter(F.col("_valid") & (F.col("_rows") > 0))
+    return made.groupBy("split").agg(F.sum("_rows").alias("examples"))
+
+
 def evaluation_prompts(
     blocks: TurnBlocks, template: Template = CHATML
 ) -> DataFrame:
     """Prompt of each conversation: the turns before its last reply and the
-    start of a reply. Conversations without a reply give no row."""
-    conversation = blocks.columns.conversation
+    start of a reply. Conversations without a reply give no row.
+
+    The block of the last reply is found from the flags; the text of the blocks
+    before it is then put together once, not for every block.
+    """
     last = F.array_max(F.transform("turns", lambda t, i: F.when(t.getField("reply"), i)))
-    rows = with_text_before(blocks).withColumn("_last", last).filter(F.col("_last").isNotNull())
-    if blocks.count > 1:
-        final = rows.groupBy(conversation).agg(F.max("_block").alias("_block"))
-        rows = rows.join(final, blocks.keys)
+    rows = blocks.rows.withColumn("_last", last)
+    if blocks.count == 1:
+        rows = rows.filter(F.col("_last").isNotNull()).withColumn("_before", F.lit(""))
+    else:
+        final = rows.filter(F.col("_last").isNotNull()).groupBy("_key").agg(F.max("_block").alias("_final"))
+        final = final.join(blocks.long.select("_key"), "_key", "left_semi")
+        final = lookup(checkpointed(final))
+        placed = rows.join(final, "_key", "left")
+        short = placed.filter(F.col("_final").isNull() & F.col("_last").isNotNull()).withColumn("_before", F.lit(""))
+        text = F.array_join(F.col("turns.text"), "")
+        before = placed.filter(F.col("_block") < F.col("_final")).groupBy("_key").agg(
+            F.array_join(
+                F.transform(F.array_sort(F.collect_list(F.struct("_block", text.alias("text")))), lambda b: b["text"]), ""
+            ).alias("_before")
+        )
+        ends = placed.filter(F.col("_block") == F.col("_final")).drop("_final").join(before, "_key", "left")
+        rows = short.drop("_final").unionByName(ends.withColumn("_before", F.coalesce("_before", F.lit(""))))
     context = F.array_join(F.slice(F.col("turns.text"), F.lit(1), F.col("_last")), "")
     return rows.select(
-        conversation,
+        blocks.conversation,
         F.try_element_at("turns", F.col("_last") + 1).getField("turn").alias("reply_turn"),
         F.concat("_before", context, F.lit(template.generation)).alias("prompt"),
     )
@@ -254,7 +301,7 @@ def invalid_conversations(
 ) -> DataFrame:
     """Conversations with an unacceptable role, and the first reason. Only the
     offending turns are aggregated."""
-    problem = role_problem(F.col(columns.role), F.col(columns.turn))
+    problem = role_problem(F.col(columns.role), F.coalesce(F.col(columns.turn), F.lit(0)))
     return (
         turns.select(columns.conversation, F.col(columns.turn).alias("_turn"), problem.alias("_problem"))
         .filter(F.col("_problem").isNotNull())

@@ -19,8 +19,9 @@ SPLIT_RULE = f"{TRAIN_TENTHS}-{VALID_TENTHS}"
 
 
 def training_splits(rows: DataFrame, format_name: str, template: Template = CHATML) -> DataFrame:
-    """Training rows with their split. ``rows`` holds all indexed raw rows;
-    rows that cannot be used keep their index and count in the total."""
+    """Training rows with their split. ``rows`` holds all indexed raw rows, as
+    the scans and ``jsonl.parse`` give them; rows that cannot be used keep their
+    index and count in the total."""
     total = rows.count()
     made = load_format(format_name).convert_for_training(rows, template)
     return assign_split(made, total)
@@ -103,29 +104,21 @@ def build_missing(
         "build_key", build_key(F.col("dataset_id"), F.col("format"), template.key(), F.col("digest"))
     )
     todo = pending(requested, read_builds(spark, manifest)).drop("digest")
-    # one row per requested dataset, a list the caller passed in
-    keys = {row.dataset_id: row.build_key for row in todo.collect()}
-    done = spark.createDataFrame(
-        [
-            (keys[d.dataset_id], d.dataset_id, d.format_name, template.name)
-            for d in datasets
-            if d.dataset_id in keys
-        ],
-        BUILDS,
-    )
-    for dataset in datasets:
-        if dataset.dataset_id not in keys:
-            continue
+    # one row per request, a list the caller passed in; equal requests are one
+    keys = {(row.dataset_id, row.format): row.build_key for row in todo.collect()}
+    wanted = {(d.dataset_id, d.format_name): d for d in datasets if (d.dataset_id, d.format_name) in keys}
+    done = spark.createDataFrame([(keys[k], *k, template.name) for k in wanted], BUILDS)
+    for request, dataset in wanted.items():
         rows = training_splits(dataset.rows, dataset.format_name, template)
         (
             rows.select(INDEX, "turn_index", "text", "split")
-            .withColumn("build_key", F.lit(keys[dataset.dataset_id]))
+            .withColumn("build_key", F.lit(keys[request]))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("build_key", "split")
             .parquet(output)
         )
-        done.filter(F.col("dataset_id") == dataset.dataset_id).coalesce(1).write.mode("append").parquet(
+        done.filter(F.col("build_key") == keys[request]).coalesce(1).write.mode("append").parquet(
             manifest
         )
     return done

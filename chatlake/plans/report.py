@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from chatlake.functions.text import percent
 from chatlake.functions.toolcall import call_json
 from chatlake.operators.metrics import SUMMARY_FIELDS
+from chatlake.operators.scoring import cut
 
 # Sizes and wording of the report.
 MAX_FAILURES = 50
@@ -33,29 +34,39 @@ FAILURE = (
 MORE = "*%d more failures not shown — see results.json*"
 
 
-def first_failures(scored: DataFrame, limit: int = MAX_FAILURES) -> DataFrame:
-    """The first failures in index order, with cut input and reply.
+def first_failures(
+    scored: DataFrame,
+    limit: int | None = MAX_FAILURES,
+    input_chars: int | None = INPUT_CHARS,
+    text_chars: int | None = TEXT_CHARS,
+) -> DataFrame:
+    """The first ``limit`` failures in index order, with input and reply cut to
+    so many characters. None means all, and whole texts.
 
     Failures sort before correct examples, so a top-k over both and a filter of
     its result score each example once; a filter in front would be pushed into
     the scoring and repeat it.
     """
-    return (
-        scored.orderBy("correct", "example_index")
-        .limit(limit)
-        .filter(~F.col("correct"))
-        .select(
-            "example_index",
-            F.substring("input", 1, INPUT_CHARS).alias("input"),
-            "expected_tool",
-            "predicted_tool",
-            F.substring("predicted_text", 1, TEXT_CHARS).alias("predicted_text"),
-        )
+    first = scored if limit is None else scored.orderBy("correct", "example_index").limit(limit)
+    return first.filter(~F.col("correct")).select(
+        "example_index",
+        cut("input", input_chars),
+        "expected_tool",
+        "predicted_tool",
+        cut("predicted_text", text_chars),
     )
 
 
-def report(scored: DataFrame, summary: DataFrame, meta: DataFrame) -> DataFrame:
-    """Lines of the report (``part``, ``item``, ``line``).
+def report(
+    scored: DataFrame,
+    summary: DataFrame,
+    meta: DataFrame,
+    limit: int | None = MAX_FAILURES,
+    input_chars: int | None = INPUT_CHARS,
+    text_chars: int | None = TEXT_CHARS,
+) -> DataFrame:
+    """Lines of the report (``part``, ``item``, ``line``); the limits are those
+    of ``first_failures``.
 
     ``summary`` and ``meta`` have one row each; a summary without rows is that
     of an evaluation without examples.
@@ -84,7 +95,7 @@ def report(scored: DataFrame, summary: DataFrame, meta: DataFrame) -> DataFrame:
     def call(name: str):
         return F.coalesce(F.when(F.col(name).isNotNull(), call_json(F.col(name))), F.lit("None"))
 
-    failures = first_failures(scored).select(
+    failures = first_failures(scored, limit, input_chars, text_chars).select(
         F.lit(3).alias("part"),
         F.col("example_index").alias("item"),
         F.format_string(
@@ -92,7 +103,7 @@ def report(scored: DataFrame, summary: DataFrame, meta: DataFrame) -> DataFrame:
         ).alias("line"),
     )
     count = scored.agg(F.count_if(~F.col("correct")).alias("_n"))
-    rest = F.col("_n") - MAX_FAILURES
+    rest = F.lit(0) if limit is None else F.col("_n") - limit
     closing = count.select(
         F.lit(4).alias("part"),
         F.lit(0).cast("long").alias("item"),
@@ -102,5 +113,5 @@ def report(scored: DataFrame, summary: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 def write_report(lines: DataFrame, path: str) -> None:
-    """Write the report in order; it has at most about 70 entries."""
+    """Write the report in order."""
     lines.orderBy("part", "item").select("line").coalesce(1).write.mode("overwrite").text(path)

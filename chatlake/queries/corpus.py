@@ -106,7 +106,7 @@ def example_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.split_counts(R.split_training_rows(_turns(spark, sf_dir), replies()))
+    return R.split_counts(_turns(spark, sf_dir), replies())
 
 
 def eval_examples_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +134,7 @@ def eval_examples_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = load_format(FLAGGED_MESSAGES).convert_for_eval(rows)
     return made.select(
         F.col("example_index").alias("conv_id"),
-        F.length("prompt").cast("long").alias("prompt_chars"),
+        "prompt",
         "expected_text",
         F.col("expected_tool.name").alias("expected_name"),
         F.col("expected_tool.arguments").alias("expected_arguments"),
@@ -276,19 +276,20 @@ ORACLE = {
     "eval_examples_rows": _RENDERED
     + _LAST
     + """, called AS (
-           SELECT conv_id, turn,
-                  CASE WHEN role = 'assistant' THEN
-                    length(chr(10) || '<tool_call>' || chr(10) || '{"name":"tool_' || turn || '","arguments":{"a": 1}}'
-                           || chr(10) || '</tool_call>') - CASE WHEN text = '' THEN 1 ELSE 0 END
-                  ELSE 0 END AS call_chars
+           SELECT conv_id, turn, '<|im_start|>' || role || chr(10) || text
+                  || CASE WHEN role = 'assistant' THEN
+                       CASE WHEN text = '' THEN '' ELSE chr(10) END
+                       || '<tool_call>' || chr(10) || '{"name":"tool_' || turn || '","arguments":{"a": 1}}'
+                       || chr(10) || '</tool_call>' ELSE '' END
+                  || '<|im_end|>' || chr(10) AS called_text
            FROM conversations),
-         sums AS (
-           SELECT conv_id, turn, coalesce(sum(call_chars) OVER (
-             PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chars
+         histories AS (
+           SELECT conv_id, turn, coalesce(string_agg(called_text, '') OVER (
+             PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS history
            FROM called)
-         SELECT conv_id, CAST(length(prompt || '<|im_start|>assistant' || chr(10)) + chars AS BIGINT) AS prompt_chars,
+         SELECT conv_id, history || '<|im_start|>assistant' || chr(10) AS prompt,
                 content AS expected_text, 'tool_' || turn AS expected_name, '{"a": 1}' AS expected_arguments
-         FROM texts JOIN last USING (conv_id, turn) JOIN sums USING (conv_id, turn)""",
+         FROM texts JOIN last USING (conv_id, turn) JOIN histories USING (conv_id, turn)""",
     "eval_examples_flat": """
         SELECT item_id,
                CASE WHEN item_id % 2 = 0 THEN '' ELSE '<|im_start|>system' || chr(10) || '# Tools' || chr(10) || chr(10)

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake.formats import base
+from chatlake.formats.registry import FLAT_CALLS
 from chatlake.functions import messages as M
 from chatlake.functions import toolcall as C
 from chatlake.inference import predict
 from chatlake.operators import metrics
 from chatlake.operators.ordering import first_examples
 from chatlake.operators.scoring import attach_predictions, results, score
+from chatlake.plans.evaluation import evaluate
 from chatlake.plans.report import first_failures, report
 from chatlake.queries.fixtures import SQL, examples, predictions, table
 from chatlake.session import checkpointed, staged_path
@@ -122,7 +124,32 @@ def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2024-01-01 00:00:00").alias("date"),
         F.concat(F.lit("r"), F.col("n").cast("string")).alias("run_id"),
     )
-    return report(scored, metrics.summarize(scored), meta).filter("part <> 3")
+    return report(scored, metrics.summarize(scored), meta)
+
+
+def evaluation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole evaluation of the benchmark, read back from its files: results beside the
+    run's settings and totals."""
+    items = table(spark, sf_dir, "benchmark")
+    rows = items.select(
+        F.col("item_id").alias("example_index"),
+        F.lit("Answer.").alias("instructions"),
+        F.lit("[]").alias("tools"),
+        F.when(F.col("item_id") % 5 != 3, F.col("text")).alias("input"),
+    )
+    replies = items.select(F.col("item_id").alias("example_index"), F.expr(
+        """CASE WHEN item_id % 3 = 0 THEN '<tool_call>{"name":"f"}</tool_call>' ELSE text END"""
+    ).alias("predicted_text"))
+    path = staged_path(spark, "evaluation")
+    evaluate(rows, replies, path, model="m", dataset="benchmark", format_name=FLAT_CALLS, run_id="r", max_tokens=64, input_chars=None)
+    head = spark.read.schema(
+        "meta struct<model:string,max_tokens:int,temperature:double,raw_total:long,scored_total:long,skipped:long>, summary struct<total:long,correct:long>"
+    ).json(f"{path}/summary")
+    made = spark.read.schema("example_index long, score struct<correct:boolean,predicted_text:string>").json(f"{path}/results")
+    # one row, under a constant key
+    run = head.select(F.lit(1).alias("_k"), "meta.*", F.col("summary.total").alias("total"), F.col("summary.correct").alias("total_correct"))
+    rows = made.select(F.lit(1).alias("_k"), "example_index", "score.correct", "score.predicted_text")
+    return rows.join(F.broadcast(run), "_k").drop("_k")
 
 
 def eval_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,6 +232,7 @@ QUERIES = {
     "failure_count": failure_count,
     "failure_report": failure_report,
     "report_text": report_text,
+    "evaluation_files": evaluation_files,
     "eval_limit": eval_limit,
     "running_accuracy": running_accuracy,
     "predict_hook": predict_hook,
@@ -257,9 +285,29 @@ ORACLE = {
           '| false_negative_rate | ' || printf('%.1f', false_negative_rate * 100) || '% |']),
         unnest(range(10)) FROM s
       UNION ALL SELECT 2, chr(10) || '## Failures' || chr(10), 0
+      UNION ALL (SELECT 3, '### Example ' || example_index || chr(10) || '**Input**: ' || input[1:200] || chr(10) || chr(10)
+          || '**Expected tool**: `' || coalesce('{"name":"' || expected_name || '","arguments":' || expected_arguments || '}', 'None')
+          || '`' || chr(10) || chr(10) || '**Predicted tool**: `'
+          || coalesce('{"name":"' || predicted_name || '","arguments":'
+               || CASE WHEN json_type(body, '$.arguments') = 'VARCHAR' THEN json_extract_string(body, '$.arguments')
+                       ELSE CAST(json_extract(body, '$.arguments') AS VARCHAR) END || '}', 'None')
+          || '`' || chr(10) || chr(10) || '**Predicted text**: ' || predicted_text[1:300] || chr(10) || chr(10) || '---' || chr(10),
+          example_index FROM scored WHERE NOT correct ORDER BY example_index LIMIT 50)
       UNION ALL SELECT 4, '*' || (total - correct - 50) || ' more failures not shown — see results.json*', 0
         FROM s WHERE total - correct > 50)
       SELECT CAST(part AS INTEGER) AS part, CAST(item AS BIGINT) AS item, line FROM lines""",
+    "evaluation_files": """
+        WITH answered AS (
+          SELECT item_id AS example_index, item_id % 3 <> 0 AS correct,
+                 CASE WHEN item_id % 3 = 0 THEN '<tool_call>{"name":"f"}</tool_call>' ELSE text END AS predicted_text
+          FROM benchmark WHERE item_id % 5 <> 3)
+        SELECT answered.*, 'm' AS model, 64 AS max_tokens, CAST(0 AS DOUBLE) AS temperature,
+               CAST((SELECT count(*) FROM benchmark) AS BIGINT) AS raw_total,
+               CAST((SELECT count(*) FROM answered) AS BIGINT) AS scored_total,
+               CAST((SELECT count(*) FROM benchmark WHERE item_id % 5 = 3) AS BIGINT) AS skipped,
+               CAST((SELECT count(*) FROM answered) AS BIGINT) AS total,
+               CAST((SELECT count(*) FROM answered WHERE correct) AS BIGINT) AS total_correct
+        FROM answered""",
     "eval_limit": SQL + "SELECT example_index, correct FROM scored WHERE example_index < 500",
     "running_accuracy": SQL
     + """SELECT user_id, example_index,

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.formats.registry import FLAT_CALLS, REPLY_MESSAGES
+from chatlake.formats import load_format
+from chatlake.formats.registry import FLAGGED_MESSAGES, FLAT_CALLS, REPLY_MESSAGES
 from chatlake.functions import text as X
 from chatlake.operators import turns as R
 from chatlake.plans import build
@@ -42,31 +43,80 @@ def jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("example_index", "conv_id", "turn", "role", "text")
 
 
+def _document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a line of a message dataset: whole, with a repeated key, with a list
+    of blocks, with a text that looks like one, broken, or behind a blank line."""
+    docs = table(spark, sf_dir, "documents")
+    kind = F.col("doc_id") % 6
+    text = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("t")))
+    quoted = F.expr("substr(q, 6, length(q) - 6)")
+    looks = F.concat(F.lit('"[note] __end_of_value '), F.expr("substr(quoted, 2)"))
+    content = (
+        F.when(kind == 2, F.concat(F.lit('[{"type":"text","text":'), F.col("quoted"), F.lit("}]")))
+        .when(kind == 3, looks)
+        .otherwise(F.col("quoted"))
+    )
+    head = F.when(kind == 1, F.lit('{"id":0,"messages":[],"messages":')).otherwise(F.lit('{"id":0,"messages":'))
+    line = F.concat(
+        head,
+        F.lit('[{"role":"user","content":'),
+        content,
+        F.lit('},{"role":"assistant","content":"ok"}]'),
+        F.when(kind == 4, F.lit("")).when(kind == 1, F.lit(',"id":1}')).otherwise(F.lit("}")),
+    )
+    value = F.when(kind == 5, F.concat(F.lit("  \n"), line)).otherwise(line)
+    return docs.withColumn("q", text).withColumn("quoted", quoted).select("doc_id", value.alias("value"))
+
+
+def _document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staged_path(spark, "document-lines")
+    lines = _document_lines(spark, sf_dir).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    lines.select("value").write.text(path)
+    return jsonl.parse_format(jsonl.scan(spark, path), load_format(REPLY_MESSAGES))
+
+
+def jsonl_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as message lines of every kind, broken ones and blank ones between."""
+    return _document_rows(spark, sf_dir).select(
+        "example_index",
+        F.col("problem").isNotNull().alias("broken"),
+        F.try_element_at("messages", F.lit(1)).getField("content").alias("content"),
+    )
+
+
+def jsonl_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training splits of lines some of which are broken; those count in the total."""
+    rows = _document_rows(spark, sf_dir)
+    return build.training_splits(rows, REPLY_MESSAGES).select("example_index", "split", "completion")
+
+
 def line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.line_count(spark, _written_lines(spark, sf_dir))
 
 
 def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training splits written as JSON lines and counted as files."""
+    """Training splits written as JSON lines and read back."""
     path = staged_path(spark, "splits")
     write_splits(R.split_training_rows(table(spark, sf_dir, "conversations"), replies()), path)
-    return (
-        spark.read.schema("text string, split string")
-        .json(path)
-        .groupBy("split")
-        .agg(F.count("*").alias("examples"), F.sum(F.length("text")).alias("chars"))
-    )
+    return spark.read.schema("text string, split string").json(path).select("split", "text")
 
 
 def manifest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The input folder against a manifest with one wrong, one absent and one
-    surplus entry."""
-    files = manifest.inventory(spark, sf_dir)
-    wanted = files.filter("file <> 'part.parquet'").select(
-        F.when(F.col("file") == "region.parquet", F.lit("gone.parquet")).otherwise(F.col("file")).alias("file"),
-        F.when(F.col("file") == "nation.parquet", F.col("size") + 1).otherwise(F.col("size")).alias("size"),
+    """One file per document source and language, all with the same name in folders of
+    their own and as long as their number of documents, against a manifest made from the
+    table: too large for languages that start with d, without those that start with f."""
+    sizes = table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count("*").alias("size"))
+    path = staged_path(spark, "inventory")
+    lines = sizes.withColumn("value", F.expr("repeat('x', cast(size - 1 AS int))")).select("source", "lang", "value")
+    lines.repartition("source", "lang").write.partitionBy("source", "lang").text(path)
+    files = manifest.inventory(spark, path, "part-*").select(
+        F.regexp_replace("file", "/part-[^/]*$", "/part").alias("file"), "size"
+    )
+    known = sizes.filter(~F.startswith("lang", F.lit("f"))).select(
+        F.format_string("source=%s/lang=%s/part", "source", "lang").alias("file"),
+        (F.col("size") + F.startswith("lang", F.lit("d")).cast("int")).alias("size"),
     )
-    return manifest.check(files, wanted).select("file", "status")
+    return manifest.check(files, known).select("file", "actual_size", "expected_size", "status")
 
 
 def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,13 +146,33 @@ def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sources(spark, sf_dir).select("dataset_id", "first_doc", key.alias("build_key"))
 
 
-def incremental_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pending_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources that still have to be built, when every second one has been."""
     requests = _requests(spark, sf_dir)
     built = requests.filter(F.col("first_doc") % 2 == 0)
     return build.pending(requests, built).select("dataset_id", "build_key")
 
 
+def incremental_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents built as two formats of one dataset, then once more: the rows that the
+    first run wrote, and how many requests each run built."""
+    messages = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("example_index"),
+        F.array(
+            F.struct(F.lit("user").alias("role"), F.lit("?").alias("content"), F.lit(False).alias("train_on_turn")),
+            F.struct(F.lit("assistant").alias("role"), F.coalesce("text", F.lit("")).alias("content"), (F.col("doc_id") % 2 == 0).alias("train_on_turn")),
+        ).alias("messages"),
+    )
+    out, log = staged_path(spark, "builds"), staged_path(spark, "manifest")
+    wanted = [build.Dataset("documents", name, messages, "d") for name in (FLAGGED_MESSAGES, REPLY_MESSAGES)]
+    first = build.build_missing(spark, wanted, out, log).count()
+    second = build.build_missing(spark, wanted, out, log).count()
+    built = spark.read.parquet(out).join(F.broadcast(build.read_builds(spark, log)), "build_key")
+    return built.select(
+        "format", "example_index", "text", "split", F.lit(first).alias("built_first"), F.lit(second).alias("built_again")
+    )
+
+
 def short_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", X.short_hash(F.col("p_name")).alias("name_hash"))
 
@@ -142,10 +212,13 @@ QUERIES = {
     "file_index": file_index,
     "raw_json_rows": raw_json_rows,
     "jsonl_scan": jsonl_scan,
+    "jsonl_messages": jsonl_messages,
+    "jsonl_splits": jsonl_splits,
     "line_count": line_count,
     "split_files": split_files,
     "manifest_check": manifest_check,
     "format_resolve": format_resolve,
+    "pending_builds": pending_builds,
     "incremental_build": incremental_build,
     "short_hash": short_hash,
     "build_keys": build_keys,
@@ -158,11 +231,13 @@ WITH sources AS (
   SELECT source AS dataset_id, count(*) AS n, min(doc_id) AS first_doc FROM documents GROUP BY source)
 """
 
-_TABLES = [
-    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "gone", "labels",
-    "lineitem", "nation", "orders", "pages", "part", "region", "supplier",
-]
-_STATUS = {"gone": "missing", "part": "unexpected", "region": "unexpected", "nation": "wrong size"}
+_LINES = """
+WITH lines AS (
+  SELECT doc_id, doc_id % 6 AS kind, doc_id % 6 = 4 AS broken,
+         row_number() OVER (ORDER BY doc_id) - 1 AS example_index, count(*) OVER () AS total,
+         CASE WHEN doc_id % 6 = 3 THEN '[note] __end_of_value ' ELSE '' END || coalesce(text, '') AS content
+  FROM documents)
+"""
 
 ORACLE = {
     "file_index": """
@@ -176,27 +251,47 @@ ORACLE = {
                conv_id, turn, role, text
         FROM conversations""",
     "line_count": "SELECT CAST(count(*) AS BIGINT) AS lines FROM conversations",
+    "jsonl_messages": _LINES
+    + """SELECT CAST(example_index AS BIGINT) AS example_index, broken,
+                CASE WHEN NOT broken THEN content END AS content
+         FROM lines""",
+    "jsonl_splits": _LINES
+    + """SELECT CAST(example_index AS BIGINT) AS example_index,
+                CASE WHEN example_index * 10 < total * 8 THEN 'train'
+                     WHEN example_index * 10 < total * 9 THEN 'valid' ELSE 'test' END AS split,
+                '<|im_start|>assistant' || chr(10) || 'ok<|im_end|>' || chr(10) AS completion
+         FROM lines WHERE NOT broken""",
     "split_files": """
         WITH ranked AS (
           SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS i, count(*) OVER () AS total
           FROM (SELECT DISTINCT conv_id FROM conversations)),
-        sized AS (
-          SELECT conv_id, role, sum(length('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)))
-                   OVER (PARTITION BY conv_id ORDER BY turn) AS chars
+        texts AS (
+          SELECT conv_id, role, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '')
+                   OVER (PARTITION BY conv_id ORDER BY turn) AS text
           FROM conversations)
-        SELECT CASE WHEN i * 10 < total * 8 THEN 'train' WHEN i * 10 < total * 9 THEN 'valid' ELSE 'test' END AS split,
-               CAST(count(*) AS BIGINT) AS examples, CAST(sum(chars) AS BIGINT) AS chars
-        FROM sized JOIN ranked USING (conv_id) WHERE role = 'assistant' GROUP BY 1""",
-    "manifest_check": "SELECT * FROM (VALUES "
-    + ", ".join(f"('{t}.parquet', '{_STATUS.get(t, 'ok')}')" for t in _TABLES)
-    + ") v(file, status)",
+        SELECT CASE WHEN i * 10 < total * 8 THEN 'train' WHEN i * 10 < total * 9 THEN 'valid' ELSE 'test' END AS split, text
+        FROM texts JOIN ranked USING (conv_id) WHERE role = 'assistant'""",
+    "manifest_check": """
+        SELECT 'source=' || source || '/lang=' || lang || '/part' AS file, CAST(count(*) AS BIGINT) AS actual_size,
+               CAST(CASE WHEN lang NOT LIKE 'f%' THEN count(*) + CASE WHEN lang LIKE 'd%' THEN 1 ELSE 0 END END AS BIGINT) AS expected_size,
+               CASE WHEN lang LIKE 'f%' THEN 'unexpected' WHEN lang LIKE 'd%' THEN 'wrong size' ELSE 'ok' END AS status
+        FROM documents GROUP BY source, lang""",
     "format_resolve": _SOURCES
     + """SELECT dataset_id, sha256(dataset_id)[1:12] AS dataset_hash,
                 CASE first_doc % 4 WHEN 0 THEN 'allenporter-fc' WHEN 1 THEN 'xml'
                                    WHEN 2 THEN 'allenporter-msg' END AS format,
                 first_doc % 4 IN (0, 2) AS usable
          FROM sources""",
-    "incremental_build": _SOURCES
+    "incremental_build": """
+        SELECT f.format, doc_id AS example_index,
+               '<|im_start|>user' || chr(10) || '?<|im_end|>' || chr(10)
+               || '<|im_start|>assistant' || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS text,
+               CASE WHEN doc_id * 10 < total * 8 THEN 'train' WHEN doc_id * 10 < total * 9 THEN 'valid' ELSE 'test' END AS split,
+               2 AS built_first, 0 AS built_again
+        FROM (SELECT *, count(*) OVER () AS total FROM documents)
+        CROSS JOIN (VALUES ('acon96-v2'), ('allenporter-msg')) f(format)
+        WHERE doc_id % 2 = 0 OR f.format = 'allenporter-msg'""",
+    "pending_builds": _SOURCES
     + """SELECT dataset_id,
                 sha256(dataset_id)[1:12] || '_' || sha256('chatml')[1:12] || '_'
                 || sha256('allenporter-msg|' || n || ':' || first_doc || '|8-9')[1:12] AS build_key

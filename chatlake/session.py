@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,28 +17,42 @@ _FIELD_BYTES = 8
 _ROW_BYTES = 32
 
 
+_folders: dict[str, str] = {}
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     It is the one named in ``spark.checkpoint.dir``. Where that is unset a
-    local folder is made, but only on a local master: executors on other
-    machines could not read it.
+    folder below the warehouse is taken, but only on a local master: nothing
+    tells whether executors on other machines could read it.
     """
     root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(root)
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="chatlake-")
-    spark.sparkContext.setCheckpointDir(root)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        root = _own_folder(spark, spark.conf.get("spark.sql.warehouse.dir"))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+def _own_folder(spark: SparkSession, root: str) -> str:
+    """A folder of this application below ``root``, which its file system
+    removes when the application ends."""
+    key = f"{spark.sparkContext.applicationId} {root}"
+    if key not in _folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_staged-{uuid.uuid4().hex}")
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _folders[key] = path.toString()
+    return _folders[key]
+
+
 def staged_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the staging root."""
-    return f"{staging_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path for a table that lives as long as the application."""
+    return f"{_own_folder(spark, staging_root(spark))}/{label}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -48,14 +62,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _width(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, T.StructType):
+        return reduce(Column.__add__, [_width(value.getField(f.name), f.dataType) for f in kind.fields], F.lit(_FIELD_BYTES))
+    return F.lit(_FIELD_BYTES)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Size of a lookup frame, measured with one distributed aggregate."""
     width = F.lit(_ROW_BYTES)
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
-        else:
-            width = width + F.lit(_FIELD_BYTES)
+        width = width + _width(F.col(f"`{field.name}`"), field.dataType)
     return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
 
 

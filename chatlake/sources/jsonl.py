@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatlake.formats.base import INDEX, Format
-from chatlake.functions.jsontext import with_object
+from chatlake.functions.jsontext import WHOLE, with_object
 from chatlake.functions.text import strip
 from chatlake.operators.ordering import sum_before
 from chatlake.session import checkpointed, lookup, staged_path
 
+NOT_AN_OBJECT = "not one JSON object"
 _BLOCKS = "array<struct<type:string,text:string>>"
 
 
@@ -56,13 +57,17 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
 def parse(lines: DataFrame, fields: str) -> DataFrame:
     """Parse ``raw`` into the columns of ``fields`` (DDL ``name:type`` list).
 
-    Lines that are not one JSON object are dropped after they got their index.
+    A line that is not one JSON object keeps its row and index, with
+    ``problem`` set and all fields null, so that totals count it; the formats
+    then reject it. A field of another type than wanted is null.
     """
     names = T._parse_datatype_string(f"struct<{fields}>").names
-    return (
-        with_object(lines, "_row", F.col("raw"), fields)
-        .filter(F.col("_row").isNotNull())
-        .select(INDEX, "raw", *[F.col("_row").getField(n).alias(n) for n in names])
+    parsed = with_object(lines, "_row", F.col("raw"), fields)
+    return parsed.select(
+        INDEX,
+        "raw",
+        F.when(F.col("_row").isNull(), F.lit(NOT_AN_OBJECT)).alias("problem"),
+        *[F.col("_row").getField(n).alias(n) for n in names],
     )
 
 
@@ -75,25 +80,31 @@ def parse_format(lines: DataFrame, fmt: Format) -> DataFrame:
     rows = parse(lines, fmt.json_fields)
     if "messages" not in rows.columns:
         return rows
-    parsed = F.variant_get(F.try_parse_json("raw"), "$.messages", "array<variant>")
-    kinds = F.transform(parsed, lambda m: F.schema_of_variant(F.variant_get(m, "$.content", "variant")))
-    return rows.withColumn("_kinds", kinds).withColumn(
+    # only what could be the JSON text of another value than a string is looked at again
+    unclear = F.exists("messages", lambda m: _unclear(m.getField("content")))
+    whole = F.from_json("raw", "messages array<string>", WHOLE).getField("messages")
+    return rows.withColumn("_whole", F.when(unclear, whole)).withColumn(
         "messages",
         F.transform(
             "messages",
-            lambda m, i: m.withField(
-                "content", _content(m.getField("content"), F.try_element_at("_kinds", i + 1))
-            ),
+            lambda m, i: m.withField("content", _content(m.getField("content"), F.try_element_at("_whole", i + 1))),
         ),
-    ).drop("_kinds")
+    ).drop("_whole")
 
 
-def _content(text: Column, kind: Column) -> Column:
-    blocks = F.try_element_at(F.from_json(text, _BLOCKS), F.lit(1)).getField("text")
-    unknown = F.when(F.startswith(text, F.lit("[")), blocks).otherwise(text)
-    return F.coalesce(
-        F.when(kind == "STRING", text)
-        .when(F.startswith(kind, F.lit("ARRAY")), blocks)
-        .when(kind.isNull() & text.isNotNull(), unknown),
-        F.lit(""),
-    )
+def _unclear(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"^(\[|\{|-?[0-9]|true$|false$)"), F.lit(False))
+
+
+def _content(text: Column, message: Column) -> Column:
+    """Text of a message whose ``content`` was read as ``text``; what kind of value that was
+    is known from the JSON of the message, in which a value of another kind reads as null."""
+
+    def read_as(kind: str) -> Column:
+        options = {**WHOLE, "allowNonNumericNumbers": "false"}
+        return F.from_json(message, f"content {kind}", options).getField("content")
+
+    first = F.try_element_at(F.from_json(text, _BLOCKS, WHOLE), F.lit(1)).getField("text")
+    other = read_as("map<string,string>").isNotNull() | read_as("double").isNotNull() | read_as("boolean").isNotNull()
+    kept = F.when(~_unclear(text), text).when(read_as("array<string>").isNotNull(), first).when(~other, text)
+    return F.coalesce(kept, F.lit(""))

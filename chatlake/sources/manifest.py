@@ -7,16 +7,20 @@ from pyspark.sql import functions as F
 
 
 def inventory(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """Name and size of the files below ``path``. Their content is not read."""
+    """Files below ``path``, named by their path from there, and their size.
+    Their content is not read."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(path)
     )
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("size")
-    )
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root = system.makeQualified(hadoop).toUri().getPath().rstrip("/") + "/"
+    # paths are listed with scheme and authority in more than one spelling
+    below = F.substring_index("path", root, -1) if root != "/" else F.parse_url("path", F.lit("PATH"))
+    return files.select(below.alias("file"), F.col("length").alias("size"))
 
 
 def check(actual: DataFrame, expected: DataFrame) -> DataFrame:

@@ -58,5 +58,5 @@ def test_index_does_not_gather_the_rows(spark, tmp_path):
     # the one-partition window sees the per-file counts only, and rows stay where they are read
     exchanges = [l for l in plan(indexed).splitlines() if "Exchange" in l]
     assert sum("SinglePartition" in l for l in exchanges) == 1
-    assert sum("hashpartitioning" in l for l in exchanges) == 1
+    assert sum("hashpartitioning" in l for l in exchanges) <= 1
     assert "BroadcastHashJoin" in plan(indexed)
