@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chatlake.operators.losslog import early_stop, parse_losses
 from chatlake.queries.fixtures import LOG_SQL, log_lines, table
-from chatlake.queries.scoring import event_stream
+from chatlake.queries.scoring import in_files
 from chatlake.session import staged_path
 from chatlake.streaming.early_stop import monitor, read_state
 
@@ -24,8 +24,10 @@ def early_stop_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def early_stop_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log comes in four files whose lines are in no order."""
     state = staged_path(spark, "early-stop")
-    monitor(log_lines(event_stream(spark, sf_dir)), state, staged_path(spark, "stream")).awaitTermination()
+    lines = in_files(log_lines(table(spark, sf_dir, "events")), ["line_no"], "log")
+    monitor(lines, state, staged_path(spark, "stream")).awaitTermination()
     return read_state(spark, state)
 
 

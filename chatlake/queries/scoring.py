@@ -17,7 +17,7 @@ from chatlake.plans.evaluation import evaluate
 from chatlake.plans.report import first_failures, report
 from chatlake.queries.fixtures import SQL, examples, predictions, table
 from chatlake.session import checkpointed, staged_path
-from chatlake.streaming.accuracy import accuracy_stream, read_summary
+from chatlake.streaming.accuracy import accuracy_stream, final_summary
 
 FLAGS = ["tool_name_match", "args_match", "false_positive", "false_negative", "correct"]
 
@@ -183,27 +183,21 @@ def predict_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-EVENT_SCHEMA = (
-    "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-)
-
-
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+def in_files(df: DataFrame, spread: list[str], label: str) -> DataFrame:
+    """A stream of ``df``, written in four files in no order and read one file a batch."""
+    path = staged_path(df.sparkSession, label)
+    df.repartition(4, F.xxhash64(*spread)).write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def accuracy_live(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replies arrive as a stream and are joined to the stored examples."""
-    replies = predictions(event_stream(spark, sf_dir))
-    stored = examples(table(spark, sf_dir, "events"))
-    scored = score(
-        replies.withColumn("predicted_text", F.coalesce("predicted_text", F.lit(""))).join(
-            stored, "example_index"
-        )
-    )
-    path = staged_path(spark, "accuracy")
-    accuracy_stream(scored, ["run_id"], path, staged_path(spark, "stream")).awaitTermination()
-    return read_summary(spark, path, ["run_id"])
+    """Replies arrive as a stream and are joined to the stored examples; in the end those
+    without a reply have failed."""
+    events = table(spark, sf_dir, "events")
+    stored, path = examples(events), staged_path(spark, "accuracy")
+    replies = in_files(predictions(events), ["example_index"], "replies")
+    accuracy_stream(replies, stored, ["run_id"], path, staged_path(spark, "stream")).awaitTermination()
+    return final_summary(stored, path, ["run_id"])
 
 
 _SUMMARY = """
@@ -315,10 +309,5 @@ ORACLE = {
                   PARTITION BY user_id ORDER BY example_index ROWS UNBOUNDED PRECEDING), 6) AS accuracy_so_far
          FROM scored""",
     "predict_hook": "SELECT doc_id, 'echo' AS name, CAST(length(text) AS BIGINT) AS n FROM documents",
-    "accuracy_stream": SQL
-    + "SELECT run_id,"
-    + _SUMMARY.replace(
-        "FROM scored", "FROM scored WHERE example_index IN (SELECT example_index FROM replies)"
-    )
-    + "GROUP BY run_id",
+    "accuracy_stream": SQL + "SELECT run_id," + _SUMMARY + "GROUP BY run_id",
 }

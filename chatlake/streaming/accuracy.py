@@ -1,38 +1,100 @@
-"""Live evaluation metrics over a stream of scored examples."""
+"""Live evaluation metrics while replies arrive.
+
+Each micro-batch is joined to the part of the stored examples whose index lies
+in the batch's range, which Parquet statistics prune when the examples are
+stored in the order of their index. Counts are kept in two slots, so a repeated
+batch gives the same counts and nothing piles up but the indexes answered.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from chatlake.operators.metrics import counters, with_rates
+from chatlake.operators.scoring import attach_predictions, score
+
+INDEX = "example_index"
+
+
+def _slot(path: str, batch: int) -> str:
+    return f"{path}/slot_{batch % 2}"
 
 
-def accuracy_stream(scored: DataFrame, by: list[str], path: str, checkpoint: str) -> StreamingQuery:
-    """Start counting a stream of scored examples per group.
+def _names(frame: DataFrame, by: list[str]) -> list[str]:
+    return [c for c in frame.columns if c not in by and c != "batch_id"]
 
-    Spark keeps the counts as streaming state. Each batch writes the groups it
-    changed into a folder of its own, which a repeated batch overwrites.
+
+def accuracy_stream(
+    replies: DataFrame, stored: DataFrame, by: list[str], path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Start counting a stream of replies (``example_index``, ``predicted_text``)
+    to ``stored`` examples, per group.
+
+    A null reply is a failed generation. The first reply to an example counts,
+    within one batch that of the least text; replies to no example are ignored.
+    ``trigger`` holds arguments of the stream's trigger; by default what is
+    available is worked off.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = f"{path}/replies_{batch_id % 2}"
+        batch.groupBy(INDEX).agg(F.min("predicted_text").alias("predicted_text")).write.mode("overwrite").parquet(own)
+        new = spark.read.schema(f"{INDEX} long, predicted_text string").parquet(own)
+        low, high = new.agg(F.min(INDEX), F.max(INDEX)).first()
+        inside = F.col(INDEX).between(F.lit(low), F.lit(high))
+        if batch_id:
+            earlier = answered(spark, path).filter(inside & (F.col("batch") < batch_id))
+            new = new.join(earlier, INDEX, "left_anti")
+        scored = score(new.withColumn("predicted_text", F.coalesce("predicted_text", F.lit(""))).join(stored.filter(inside), INDEX))
+        counts = scored.groupBy(*by).agg(*counters())
+        if batch_id:
+            before = spark.read.schema(T.StructType(counts.schema.fields)).parquet(_slot(path, batch_id - 1))
+            counts = _added(before.unionByName(counts), by)
+        counts.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(_slot(path, batch_id))
+        new.select(INDEX).write.mode("overwrite").parquet(f"{path}/answered/batch={batch_id}")
 
     return (
-        scored.groupBy(*by)
-        .agg(*counters())
-        .writeStream.outputMode("update")
-        .foreachBatch(write)
+        replies.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
+def _added(counts: DataFrame, by: list[str]) -> DataFrame:
+    return counts.groupBy(*by).agg(*[F.sum(c).alias(c) for c in _names(counts, by)])
+
+
+def answered(spark: SparkSession, path: str) -> DataFrame:
+    """Indexes of the replies counted so far, with their batch."""
+    return spark.read.schema(f"{INDEX} long, batch long").parquet(f"{path}/answered")
+
+
+def _counts(spark: SparkSession, path: str) -> DataFrame:
+    slots = spark.read.parquet(f"{path}/slot_*")
+    newest = slots.agg(F.max("batch_id")).first()[0]
+    return slots.filter(F.col("batch_id") == newest).drop("batch_id")
+
+
 def read_summary(spark: SparkSession, path: str, by: list[str]) -> DataFrame:
     """The newest summary of every group."""
-    counts = spark.read.parquet(path)
-    values = [c for c in counts.columns if c not in by and c != "batch_id"]
-    newest = counts.groupBy(*by).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
-    return with_rates(newest.select(*by, "_v.*"), by)
+    return with_rates(_counts(spark, path), by)
+
+
+def pending(stored: DataFrame, path: str, by: list[str]) -> DataFrame:
+    """Examples without a reply so far, per group."""
+    left = stored.join(answered(stored.sparkSession, path), INDEX, "left_anti")
+    return left.groupBy(*by).agg(F.count("*").alias("pending"))
+
+
+def final_summary(stored: DataFrame, path: str, by: list[str]) -> DataFrame:
+    """The summary when no more replies come: examples without one failed."""
+    spark = stored.sparkSession
+    left = stored.join(answered(spark, path), INDEX, "left_anti")
+    none = spark.createDataFrame([], f"{INDEX} long, predicted_text string")
+    missed = score(attach_predictions(left, none)).groupBy(*by).agg(*counters())
+    return with_rates(_added(_counts(spark, path).unionByName(missed), by), by)
