@@ -77,5 +77,5 @@ def _last_values(name: str) -> str:
     keys = f"map_keys(`{name}`)"
     return f"""CASE WHEN size(array_distinct({keys})) < size({keys})
         THEN map_from_entries(filter(map_entries(`{name}`),
-             (e, i) -> array_position(reverse({keys}), e.key) = size({keys}) - i))
+             (_entry, _at) -> array_position(reverse({keys}), _entry.key) = size({keys}) - _at))
         ELSE `{name}` END"""
