@@ -1,0 +1,147 @@
+"""Near-duplicate texts by the Jaccard similarity of their sets of word runs.
+
+Two texts are linked if the sets of their runs of ``width`` words have a similarity of SIMILAR
+(four fifths) or more, counted exactly. Candidates share a bucket: BANDS numbers, each made of
+ROWS minima of the set under independent hash orders. A pair of similarity 0.8 has no common
+bucket with a chance of (1 - 0.8 ** ROWS) ** BANDS, below 1e-9, and closer pairs with less.
+
+No bucket forms all its pairs first. Every member is counted against the least of its bucket;
+then the pairs of buckets that still lie in several components are counted, without those
+inside a component, so large groups of copies cost one count a member. A large bucket whose
+members are all just below the threshold is counted pair by pair, since nothing links it.
+
+Sets are compared by a 64-bit hash of each run, and equal sets by a 64-bit hash of the whole.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from chatlake.llm.common import text_of
+from chatlake.llm.components import components
+from chatlake.session import checkpointed, lookup
+
+SEED = 42
+# Similarity as a fraction, so that the threshold itself counts.
+SIMILAR = (4, 5)
+BANDS, ROWS = 40, 4
+_BLOCK = 1024
+
+_random = np.random.default_rng(SEED)
+_FACTORS = _random.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_OFFSETS = _random.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2)
+
+
+def run_hashes(text: bytes, width: int) -> np.ndarray:
+    """Hash of every run of ``width`` words, in order; a shorter text is one run."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words]).tolist()
+    width = min(width, len(words))
+    starts = [0, *ends[: len(words) - width]]
+    digest, seed = xxhash.xxh64_intdigest, SEED
+    return np.array([digest(joined[a : b - 1], seed) for a, b in zip(starts, ends[width - 1 :])], np.uint64)
+
+
+def name_of(runs: np.ndarray) -> int:
+    """A signed number for a sorted set of hashes; the empty set has zero."""
+    return int(np.uint64(xxhash.xxh64_intdigest(runs.tobytes(), SEED)).astype(np.int64)) if len(runs) else 0
+
+
+def buckets(runs: np.ndarray) -> list[int]:
+    """BANDS signed numbers; none for the empty set, which is like itself only."""
+    if not len(runs):
+        return []
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for a in range(0, len(runs), _BLOCK):
+        np.minimum(least, (_FACTORS[:, None] * runs[None, a : a + _BLOCK] + _OFFSETS[:, None]).min(axis=1), out=least)
+    rows = least.reshape(BANDS, ROWS)
+    found = [xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)]
+    return np.array(found, np.uint64).astype(np.int64).tolist()
+
+
+def sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """``id_col``, ``fp`` (the name of the set), ``size`` and ``slots`` (its buckets)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1)
+            names, sizes, slots = [], [], []
+            for i in range(len(texts)):
+                own = np.unique(run_hashes(texts[i].as_buffer().to_pybytes(), width))
+                names.append(name_of(own))
+                sizes.append(len(own))
+                slots.append(buckets(own))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(slots, pa.list_(pa.int64()))],
+                [id_col, "fp", "size", "slots"],
+            )
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_of(text_col).alias("text")).mapInArrow(work, f"`{id_col}` {kind}, fp long, size long, slots array<long>")
+
+
+def sets(docs: DataFrame, width: int, text_col: str) -> DataFrame:
+    """``fp`` and ``runs``, the hashes of the set, per row."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0)
+            for i in range(len(texts)):
+                # one text at a time: a batch may hold very long ones
+                own = np.unique(run_hashes(texts[i].as_buffer().to_pybytes(), width))
+                runs = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), pa.array(own.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array([name_of(own)], pa.int64()), runs], ["fp", "runs"])
+
+    return docs.select(text_of(text_col).alias("text")).mapInArrow(work, "fp long, runs array<long>")
+
+
+def _sizes_allow(a: Column, b: Column) -> Column:
+    return F.least(a, b) * SIMILAR[1] >= F.greatest(a, b) * SIMILAR[0]
+
+
+def _confirmed(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets in ``known`` are similar enough."""
+    one, two = (known.select(F.col("fp").alias(end), F.col("runs").alias(f"runs_{end}")) for end in "ab")
+    both = pairs.join(one, "a").join(two, "b")
+    common = F.size(F.array_intersect("runs_a", "runs_b"))
+    union = F.size("runs_a") + F.size("runs_b") - common
+    return checkpointed(both.where(common * SIMILAR[1] >= union * SIMILAR[0]).select("a", "b"))
+
+
+def links(marked: DataFrame, docs: DataFrame, width: int, text_col: str = "text") -> DataFrame:
+    """Edges (a, b) that connect all sets of ``marked`` (from ``sketches`` of ``docs``) that are
+    connected by similar pairs."""
+    distinct = marked.select("fp", "size", "slots").dropDuplicates(["fp"])
+    placed = checkpointed(distinct.select("fp", "size", F.explode("slots").alias("slot")))
+    counted = placed.groupBy("slot").agg(F.count("*").alias("members"), F.min(F.struct("fp", "size")).alias("least"))
+    shared = checkpointed(placed.join(counted.where("members > 1").select("slot", "least"), "slot"))
+    wanted = checkpointed(shared.select(F.col("fp").alias("wanted")).distinct())
+    found = sets(docs, width, text_col)
+    known = checkpointed(found.join(lookup(wanted), F.col("fp") == F.col("wanted"), "left_semi").dropDuplicates(["fp"]))
+
+    stars = shared.where((F.col("fp") != F.col("least.fp")) & _sizes_allow(F.col("size"), F.col("least.size")))
+    stars = checkpointed(stars.select(F.col("least.fp").alias("a"), F.col("fp").alias("b")).distinct())
+    close = _confirmed(stars, known)
+
+    # what still lies apart in a bucket is counted against all of its other components
+    of = checkpointed(components(close))
+    now = shared.join(of, shared.fp == of.node, "left").select("slot", "fp", "size", F.coalesce("component", "fp").alias("component"))
+    now = checkpointed(now)
+    parts = now.groupBy("slot", "component").agg(F.count("*").alias("n"))
+    apart = parts.groupBy("slot").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
+    apart = checkpointed(apart.where("parts > 1").select("slot", "main"))
+    mixed = checkpointed(now.join(apart, "slot"))
+    one, two = mixed.where("component <> main").alias("one"), mixed.alias("two")
+    cross = one.join(two, (F.col("one.slot") == F.col("two.slot")) & (F.col("one.component") != F.col("two.component")) & _sizes_allow(F.col("one.size"), F.col("two.size")))
+    cross = cross.select(F.least("one.fp", "two.fp").alias("a"), F.greatest("one.fp", "two.fp").alias("b")).distinct()
+    cross = checkpointed(cross.join(stars, ["a", "b"], "left_anti"))
+    return close.union(_confirmed(cross, known))

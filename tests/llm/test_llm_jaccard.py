@@ -1,0 +1,89 @@
+"""Near duplicates of the pipeline against the Jaccard similarity of all pairs."""
+
+import random
+
+import corpus_pipeline
+import numpy as np
+import pytest
+from cases import frame, prose, words
+from chatlake.llm import jaccard, simhash
+from test_llm_simhash import lower
+
+
+def runs(text, width=5):
+    own = words(lower(text))
+    return {tuple(own[i : i + width]) for i in range(max(1, len(own) - width + 1))} if own else set()
+
+
+def survivors(rows):
+    """Ids that are the least of their component, by comparing all pairs."""
+    own = [runs(r[1]) for r in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(own[i] & own[j])
+            if own[i] == own[j] or 5 * common >= 4 * (len(own[i]) + len(own[j]) - common):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, r in enumerate(rows):
+        least[root(i)] = min(r[0], least.get(root(i), r[0]))
+    return sorted(set(least.values()))
+
+
+def changed(rng, text, n):
+    own = text.split()
+    for i in rng.sample(range(len(own)), n):
+        own[i] = f"new{rng.randrange(10**9)}"
+    return " ".join(own)
+
+
+@pytest.mark.parametrize("n_words, changes", [(200, (1, 2, 4, 5, 6, 9)), (1000, (5, 15, 22, 25, 40)), (20, (0, 1, 2))])
+def test_stage_is_the_brute_force_of_jaccard(spark, n_words, changes):
+    rng = random.Random(31)
+    rows = []
+    for _ in range(12):
+        text = prose(rng, n_words, 100_000)
+        rows.append((len(rows), text))
+        for n in changes:
+            rows.append((len(rows), changed(rng, text, n)))
+    rng.shuffle(rows)
+    got = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, frame(spark, rows), "").collect())
+    assert got == survivors(rows)
+    assert 12 <= len(got) < len(rows)
+
+
+def test_large_bucket_with_parts_that_no_member_joins_to_the_least(spark):
+    """A chain whose ends are unlike, copies of one text, and texts with half of it in common."""
+    rng = random.Random(32)
+    start = prose(rng, 100, 100_000)
+    rows, text = [], start
+    for i in range(12):
+        rows.append((i, text))
+        text = " ".join(text.split()[4:] + prose(rng, 4, 100_000).split())
+    rows += [(100 + i, changed(rng, start, 2)) for i in range(36)]
+    half = start.split()[:60]
+    rows += [(200 + i, " ".join(half + prose(rng, 40, 100_000).split())) for i in range(20)]
+    got = sorted(r["doc_id"] for r in simhash.first_of_each(frame(spark, rows)).collect())
+    assert got == survivors(rows)
+
+
+def test_threshold_itself_counts(spark):
+    words_ = [f"w{i}" for i in range(9)]
+    rows = [(1, " ".join(words_)), (2, " ".join(words_[:8])), (3, " ".join(words_[:7]) + " x y")]
+    assert sorted(r["doc_id"] for r in simhash.first_of_each(frame(spark, rows)).collect()) == survivors(rows) == [1, 3]
+
+
+def test_similar_sets_share_a_bucket():
+    rng = np.random.default_rng(33)
+    for size in (5, 50, 500):
+        for _ in range(100):
+            both = rng.integers(0, 1 << 63, size, np.uint64)
+            one = both[: size - size // 10]
+            two = both[size // 10 :]
+            assert set(jaccard.buckets(np.unique(one))) & set(jaccard.buckets(np.unique(two)))
