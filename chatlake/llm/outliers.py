@@ -36,15 +36,18 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 
 MIN_ROWS = 60
-SUBSET = 0.75
-# Tail probability of about 4e-9 under a normal law of four dimensions.
-CUTOFF = 45.0
+# Half of the rows: an estimate that junk cannot move while it is less than the other half.
+SUBSET = 0.5
+# The 0.9999 quantile of chi-square with four degrees of freedom.
+CUTOFF = 23.51
 MAX_STEPS = 12
 BINS_PER_E = 64
 AXES = ["__x0", "__x1", "__x2", "__x3"]
 # Least standard deviation per statistic: log of the mean word length, log of 1 + symbols per
-# 100 characters, log of 1 + repeated words per 20 words, log of 1 + repeated lines.
-FLOORS = [0.03, 0.3, 0.4, 0.5]
+# 100 characters, log of 1 + repeated words per 20 words, log of 1 + repeated lines. The cutoff
+# is 7.04 of these, so that in a stratum without any 3.1 symbols per 100 characters, 37 percent
+# repeated words or 8 repeated lines are outliers by themselves.
+FLOORS = [0.03, 0.2, 0.3, 0.3]
 
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
