@@ -11,12 +11,13 @@ So a parse is one look-up per character and language, done for many texts side b
 are parsed in stretches of STRETCH characters, which end a phrase; whole texts are read.
 
 Letters are taken to lower case, everything else counts as one blank between words.
-Characters that are not in the sample, or not among the SYMBOLS most frequent letters of all
-samples, are a phrase of their own. ``und`` with score 0 is given for null texts, texts without a letter and
+Every letter of the samples is told apart; one that is in no sample of a language is a phrase of
+its own there. The most frequent letters have a dense table, the transitions by others are found
+by their key in a sorted list; this is layout and does not change a parse. ``und`` with score 0 is given for null texts, texts without a letter and
 when nothing was learned. Ties go to the smaller language name. The score is the part of the
 second best in the sum of the two best estimates, 0.5 for a tie, 1 for a sole language. The
-sample is the labelled documents with the least hash of their id, SAMPLE_CHARS characters per
-language, so repeated rows, the order of rows and their number do not change what is known.
+sample is the labelled documents with the least hash of their id, SAMPLE_CHARS characters for
+every language; room that documents which fit leave is filled from a longer one. So repeated rows, the order of rows and their number do not change what is known.
 """
 
 from __future__ import annotations
@@ -34,11 +35,12 @@ from pyspark.sql import functions as F
 
 from chatlake.llm.common import runs, text_of
 
-# Bounds of the model: characters of the sample per language, and letters told apart. The
-# table has at most 2 * SAMPLE_CHARS * (SYMBOLS + 2) entries per language; more languages
-# than MAX_LANGUAGES share the characters of that many.
+# Characters of the sample per language. The dense table has the SYMBOLS most frequent letters,
+# or as many as keep it below TABLE_ENTRIES. Up to MANY_LANGUAGES, 32 times the sample is drawn.
 SAMPLE_CHARS = 40_000
 SYMBOLS = 46
+TABLE_ENTRIES = 1 << 26
+MANY_LANGUAGES = 16
 MAX_LANGUAGES = 16
 
 STRETCH = 1024
@@ -75,8 +77,8 @@ def _plain(text: str) -> str:
     return codes[keep].astype("<u4").tobytes().decode("utf-32-le")
 
 
-def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """Transitions of the suffix automaton, -1 where there is none; state 0 is the start."""
+def suffix_automaton(symbols: list[int]) -> tuple[int, np.ndarray]:
+    """Number of states, and transitions (state, symbol, next state); state 0 is the start."""
     following: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -103,48 +105,73 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
-    table = np.full((len(following), alphabet), -1, np.int32)
-    for state, steps in enumerate(following):
-        for s, to in steps.items():
-            table[state, s] = to
-    return table
+    steps = [(state, s, to) for state, own in enumerate(following) for s, to in own.items()]
+    return len(following), np.array(steps, np.int64).reshape(-1, 3)
 
 
 class Model:
-    """Names, symbol of each code point, and the joined transition tables."""
+    """Names, symbol of each code point, and the joined transitions: ``table`` by frequent
+    symbols, ``keys`` and ``values`` by the others, ``first`` those from the start by the others."""
 
     def __init__(self, samples: dict[str, str]):
         self.names = sorted(samples)
         counts = Counter(c for text in samples.values() for c in text if c != " ")
-        chosen = sorted(counts, key=lambda c: (-counts[c], c))[:SYMBOLS]
-        self.alphabet = len(chosen) + 2
-        self.chosen = "".join(chosen)
-        symbol = {c: i + 2 for i, c in enumerate(chosen)} | {" ": BLANK}
-        parts, self.starts, self.bits, base = [], [], [], 0
-        for name in self.names:
-            text = samples[name]
-            table = suffix_automaton([symbol.get(c, UNKNOWN) for c in text], self.alphabet)
-            table[:, UNKNOWN] = -1
+        self.chosen = "".join(sorted(counts, key=lambda c: (-counts[c], c)))
+        self.total = len(self.chosen) + 2
+        symbol = {c: i + 2 for i, c in enumerate(self.chosen)} | {" ": BLANK}
+        built = [suffix_automaton([symbol[c] for c in samples[name]]) for name in self.names]
+        rows = sum(n for n, _ in built)
+        self.alphabet = min(self.total, SYMBOLS + 2, max(2, TABLE_ENTRIES // max(1, rows)))
+        rare = self.total - self.alphabet
+        parts, keys, values, self.starts, self.bits, base = [], [], [], [], [], 0
+        self.first = np.zeros((len(self.names), rare), np.int32)
+        for at, (name, (n, steps)) in enumerate(zip(self.names, built)):
+            dense = steps[:, 1] < self.alphabet
+            table = np.full((n, self.alphabet), -1, np.int32)
+            table[steps[dense, 0], steps[dense, 1]] = steps[dense, 2]
             first = np.where(table[0] >= 0, table[0], 0)
             begins = table < 0
             table = np.where(begins, first[None, :], table) + base
             begins[0] = True
             # next row of the joined table, with the sign as the mark of a phrase that begins
             parts.append(np.where(begins, (table * self.alphabet) | _BEGIN, table * self.alphabet).astype(np.int32))
+            state, by, to = steps[~dense].T
+            to = ((to + base) * self.alphabet).astype(np.int32)
+            to = np.where(state == 0, to | _BEGIN, to)
+            self.first[at] = np.int32(base * self.alphabet) | _BEGIN
+            self.first[at, by[state == 0] - self.alphabet] = to[state == 0]
+            keys.append((state + base) * self.total + by)
+            values.append(to)
             self.starts.append(base * self.alphabet)
-            self.bits.append(math.log2(max(2, len(text))))
-            base += len(table)
+            self.bits.append(math.log2(max(2, len(samples[name]))))
+            base += n
         self.table = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
+        self.keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+        order = np.argsort(self.keys, kind="stable")
+        self.keys = self.keys[order]
+        self.values = np.concatenate(values)[order] if values else np.zeros(0, np.int32)
 
     def symbols(self) -> np.ndarray:
         """Symbol of every code point."""
         lower = letters()
-        of = np.zeros(0x110000, np.uint8)
+        of = np.zeros(0x110000, np.uint8 if self.total <= 256 else np.int32)
         of[0x20] = BLANK
         for i, c in enumerate(self.chosen):
             of[ord(c)] = i + 2
         return of[lower]
 
+    def _next(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Transitions of all languages, a row each, by one symbol per column."""
+        seldom = np.flatnonzero(symbols >= self.alphabet)
+        if not len(seldom):
+            return self.table[state + symbols]
+        to = self.table[state + np.where(symbols < self.alphabet, symbols, UNKNOWN)]
+        by = symbols[seldom].astype(np.int64)
+        key = state[:, seldom].astype(np.int64) // self.alphabet * self.total + by
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        to[:, seldom] = np.where(self.keys[at] == key, self.values[at], self.first[:, by - self.alphabet])
+        return to
+
     def phrases(self, texts: list[str], of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Phrases of every text in every language, and its number of symbols."""
         rows, owners = [], []
@@ -163,7 +190,7 @@ class Model:
             return total, lengths
         sizes = np.array([len(r) for r in rows])
         order = np.argsort(-sizes, kind="stable")
-        grid = np.zeros((int(sizes.max()), len(rows)), np.uint8)
+        grid = np.zeros((int(sizes.max()), len(rows)), of.dtype)
         for column, r in enumerate(order.tolist()):
             grid[: sizes[r], column] = rows[r]
         alive = np.searchsorted(-sizes[order], -np.arange(1, len(grid) + 1), side="right")
@@ -171,7 +198,7 @@ class Model:
         begun = np.zeros((len(self.names), len(rows)), np.int32)
         for step in range(len(grid)):
             n = int(alive[step])
-            to = self.table[state[:, :n] + grid[step, :n]]
+            to = self._next(state[:, :n], grid[step, :n])
             begun[:, :n] += to < 0
             state[:, :n] = to & np.int32(0x7FFFFFFF)
         np.add.at(total, np.array(owners)[order], begun.T)
