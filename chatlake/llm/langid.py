@@ -13,11 +13,12 @@ are parsed in stretches of STRETCH characters, which end a phrase; whole texts a
 Letters are taken to lower case, everything else counts as one blank between words.
 Every letter of the samples is told apart; one that is in no sample of a language is a phrase of
 its own there. The most frequent letters have a dense table, the transitions by others are found
-by their key in a sorted list; this is layout and does not change a parse. ``und`` with score 0 is given for null texts, texts without a letter and
-when nothing was learned. Ties go to the smaller language name. The score is the part of the
+by their key in a sorted list; this is layout and does not change a parse. ``und`` with score 0
+is given for null texts, texts without a letter and when nothing was learned. Ties go to the smaller language name. The score is the part of the
 second best in the sum of the two best estimates, 0.5 for a tie, 1 for a sole language. The
 sample is the labelled documents with the least hash of their id, SAMPLE_CHARS characters for
-every language; room that documents which fit leave is filled from a longer one. So repeated rows, the order of rows and their number do not change what is known.
+every language; room that documents which fit leave is filled from a longer one. So repeated
+rows, the order of rows and their number do not change what is known.
 """
 
 from __future__ import annotations
@@ -41,7 +42,6 @@ SAMPLE_CHARS = 40_000
 SYMBOLS = 46
 TABLE_ENTRIES = 1 << 26
 MANY_LANGUAGES = 16
-MAX_LANGUAGES = 16
 
 STRETCH = 1024
 SLICE_CHARS = 1 << 20
@@ -225,31 +225,43 @@ class Model:
 def learn(docs: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Build the model from rows that are ``allowed`` and have text and language.
 
-    First the labelled characters per language are summed over all rows; then documents below
-    a hash threshold that leaves many times the wanted sample are read, and whole ones taken
-    while they fit. A language in which no document fits is known by its shortest ones.
+    First the characters of the documents that fit into a sample are summed per language over
+    all rows; then those below a hash threshold that leaves many times the wanted sample are
+    read, and whole ones taken while they fit. Of every language the document with the least
+    hash is read as well, whatever its length; a stretch of it from its first letter on fills
+    the room that is left, so no language with a letter is missing.
     """
     lang, text = F.col(lang_col), F.col(text_col)
-    labelled = docs.where(allowed & lang.isNotNull() & text.isNotNull()).select(
+    labelled = docs.where(allowed & lang.isNotNull() & text.rlike(r"\p{L}")).select(
         F.col(id_col).cast("string").alias("id"), lang.alias("lang"), text.alias("text")
     )
-    sized = labelled.withColumn("chars", F.length("text"))
-    totals = {r["lang"]: r for r in sized.groupBy("lang").agg(F.sum("chars").alias("all"), F.min("chars").alias("least")).collect()}
+    ticket = F.crc32(F.concat(F.lit("sample-"), F.coalesce("id", F.lit(""))).cast("binary"))
+    sized = labelled.withColumns({"chars": F.length("text"), "ticket": ticket, "hash": F.xxhash64("text")})
+    fitting = F.sum(F.when(F.col("chars") <= SAMPLE_CHARS, F.col("chars"))).alias("fitting")
+    totals = {r["lang"]: r for r in sized.groupBy("lang").agg(fitting, F.min(F.struct("ticket", "hash")).alias("least")).collect()}
     if not totals:
         return Model({})
-    wanted = SAMPLE_CHARS * min(len(totals), MAX_LANGUAGES) // len(totals)
-    ticket = F.crc32(F.concat(F.lit("sample-"), F.coalesce("id", F.lit(""))).cast("binary"))
-    below, fits = F.lit(None), F.lit(None)
+    times = max(4, 32 * MANY_LANGUAGES // max(MANY_LANGUAGES, len(totals)))
+    below, least = F.lit(None), F.lit(False)
     for name, r in totals.items():
-        part = min(1.0, 32 * wanted / max(1, r["all"])) if r["least"] <= wanted else 1.0
+        part = min(1.0, times * SAMPLE_CHARS / max(1, r["fitting"] or 0))
         below = F.when(F.col("lang") == name, int((1 << 32) * part) + 1).otherwise(below)
-        fits = F.when(F.col("lang") == name, max(wanted, r["least"])).otherwise(fits)
-    drawn = sized.withColumn("ticket", ticket).where((F.col("ticket") < below) & (F.col("chars") <= fits))
+        own = (F.col("ticket") == r["least"]["ticket"]) & (F.col("hash") == r["least"]["hash"])
+        least = F.when(F.col("lang") == name, own).otherwise(least)
+    fits = F.col("chars") <= SAMPLE_CHARS
+    stretch = F.substring(F.col("text"), F.regexp_instr("text", F.lit(r"\p{L}")), F.lit(SAMPLE_CHARS))
+    drawn = sized.where(fits & (F.col("ticket") < below)).select("lang", "ticket", "id", "text")
+    longer = sized.where(~fits & least).select("lang", "ticket", "id", stretch.alias("text")).distinct()
     samples: dict[str, list[str]] = {}
     have: Counter = Counter()
-    for r in sorted(drawn.select("lang", "ticket", "id", "text").collect(), key=lambda r: (r["lang"], r["ticket"], r["id"] or "", r["text"])):
+    for r in sorted(drawn.collect(), key=lambda r: (r["lang"], r["ticket"], r["id"] or "", r["text"])):
         plain = _plain(r["text"]).strip()
-        if plain and (not have[r["lang"]] or have[r["lang"]] + len(plain) <= wanted):
+        if plain and have[r["lang"]] + len(plain) <= SAMPLE_CHARS:
+            samples.setdefault(r["lang"], []).append(plain)
+            have[r["lang"]] += len(plain) + 1
+    for r in sorted(longer.collect(), key=lambda r: (r["lang"], r["id"] or "")):
+        plain = _plain(r["text"])[: max(0, SAMPLE_CHARS - have[r["lang"]])].strip()
+        if plain:
             samples.setdefault(r["lang"], []).append(plain)
             have[r["lang"]] += len(plain) + 1
     return Model({name: " ".join(parts) for name, parts in samples.items()})

@@ -30,3 +30,17 @@ def test_every_letter_of_the_samples_is_told_apart(monkeypatch):
         model = langid.Model(samples)
         assert model.phrases(texts, model.symbols())[0].tolist() == want
         assert model.predict(texts, model.symbols())[0] == ["el", "en", "ru", "zh", "zh", "el"]
+
+
+def test_long_documents_do_not_hide_a_language(spark):
+    rng = random.Random(52)
+    long = text_in(rng, LETTERS["en"], 20_000)
+    rows = [(i, long, "en", "s") for i in range(400)] + [(1000 + i, text_in(rng, LETTERS["en"], 25), "en", "s") for i in range(20)]
+    rows += [(2000, "12345 " * 10_000 + text_in(rng, LETTERS["ru"], 15_000), "ru", "s"), (2001, "77 88", "ru", "s")]
+    model = langid.learn(frame(spark, rows), F.lit(True))
+    assert model.names == ["en", "ru"]
+    assert min(model.bits) > 15
+    few = langid.SAMPLE_CHARS // 18
+    many = [(3000 + i, text_in(rng, LETTERS["en"], 1_000), f"x{i:02}", "s") for i in range(18)]
+    learned = langid.learn(frame(spark, many), F.lit(True))
+    assert len(learned.names) == 18 and min(2**b for b in learned.bits) > few
