@@ -10,8 +10,9 @@ an item if its lines hold half of the item's windows, or as many windows as RUN
 
 All work is DataFrame functions. Document windows are joined with a broadcast benchmark if
 that is measured to be small, else by a shuffle. A window with fewer than LITERALS plain
-words is too general and left out; items with fewer words than that cannot be found, items
-shorter than a window are one window. Templates are compared by a 64-bit hash.
+words is too general as a template: it is left out, or, in an item that has no other windows
+(number rows, lists of names), compared by its real values. Items with fewer than LITERALS
+words cannot be found, items shorter than a window are one window. Templates are compared by a 64-bit hash.
 
 Null and empty texts have no words: such documents leak nothing and such items are in no
 document. Repeated documents are reported once per id, repeated items once; a null id of a
@@ -58,14 +59,16 @@ def words(table: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def windows(found: DataFrame, lengths: list[int]) -> DataFrame:
-    """``id``, ``at``, ``h`` (hash of the template) and ``slots`` (values behind its placeholders)."""
+    """``id``, ``at``, ``h`` (hash of the template, of the values where fewer than LITERALS words
+    are plain) and ``slots`` (values behind its placeholders)."""
     arrays = []
     for n in lengths:
-        places = ", ".join(f"get(template, i + {k})" for k in range(n))
+        places, plain = (", ".join(f"get({a}, w.at + {k})" for k in range(n)) for a in ("template", "values"))
         some = f"""filter(slice(values, i + 1, {n}), (v, k) -> get(template, i + k) <> v)"""
         arrays.append(
-            f"""transform(sequence(0, size(values) - {n}), i -> struct(i AS at, xxhash64({n}, {places}) AS h,
-                CASE WHEN typed THEN {some} ELSE plain_slots END AS slots))"""
+            f"""transform(transform(sequence(0, size(values) - {n}), i -> struct(i AS at, CASE WHEN typed THEN {some} ELSE plain_slots END AS slots)),
+                w -> struct(w.at AS at, CASE WHEN {n} - size(w.slots) < {LITERALS} THEN xxhash64(-{n}, {plain}) ELSE xxhash64({n}, {places}) END AS h,
+                w.slots AS slots))"""
         )
     each = [f"CASE WHEN size(values) >= {n} THEN {a} END" for n, a in zip(lengths, arrays)]
     flags = found.withColumns(
@@ -88,10 +91,11 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     every = parts[0]
     for part in parts[1:]:
         every = every.union(part)
-    telling = every.where(F.col("length") - F.size("slots") >= LITERALS)
-    sizes = telling.groupBy("id").agg(F.countDistinct("at").alias("n"))
+    every = every.withColumn("few", F.col("length") - F.size("slots") < LITERALS)
+    sizes = every.groupBy("id").agg(F.countDistinct(F.when(~F.col("few"), F.col("at"))).alias("telling"), F.countDistinct("at").alias("all"))
+    sizes = sizes.select("id", F.when(F.col("telling") > 0, F.col("telling")).otherwise(F.col("all")).alias("n"), (F.col("telling") == 0).alias("bare"))
     sizes = sizes.withColumnRenamed("id", "of")
-    return checkpointed(telling.join(sizes, F.col("id").eqNullSafe(F.col("of"))).select(F.col("id").alias("item"), F.col("at").alias("item_at"), "h", F.col("slots").alias("item_slots"), "n", "length"))
+    return checkpointed(every.join(sizes, F.col("id").eqNullSafe(F.col("of"))).where(~F.col("few") | F.col("bare")).select(F.col("id").alias("item"), F.col("at").alias("item_at"), "h", F.col("slots").alias("item_slots"), "n", "length"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
