@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import bpe, decontam, langid, mixing, outliers, quality_mil, rlz, sharding, simhash, tokenfile
+from chatlake.llm import alignment, bpe, decontam, divergence, divergence_sql, langid, mixing, mixture, outliers, quality_mil, rlz, sharding, simhash, tokenfile
 from chatlake.llm.common import remainder, remove_tree, table, text_of
 from chatlake.session import checkpointed, staged_path
 
@@ -96,6 +96,23 @@ def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.score(docs, trained).withColumn("held_out", held_out)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.Audit(table(spark, sf_dir, "documents")).report()
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.alignment(table(spark, sf_dir, "documents"), *paths)
+
+
+def op13_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = checkpointed(docs.select("doc_id", "source", mixture.word_count().alias("size"), F.xxhash64("text").alias("text_hash")))
+    weights = mixture.cyclic_weights(mixture.source_sizes(sized), [1, 2, 3])
+    mixed = mixture.mix(sized, weights, tie=F.col("text_hash"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "part")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_files": op2_token_files,
@@ -107,11 +124,15 @@ QUERIES = {
     "op8_template_leaks": op8_template_leaks,
     "op9_relative_lz": op9_relative_lz,
     "op10_context_mixing": op10_context_mixing,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_source_mixture": op13_source_mixture,
 }
 
 # The other results cannot be written in SQL; tests/llm compares them with brute force, exact
 # round trips or held-out labels.
 ORACLE: dict[str, str] = {
+    "op11_source_divergence": divergence_sql.SQL,
     "op9_relative_lz": r"""
         WITH split AS (
             SELECT doc_id, [w FOR w IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS words
