@@ -10,9 +10,6 @@ two bits just if flipping at most one bit in each gives the same number, so each
 written with all its one-bit neighbours and the groups of equal neighbours are linked.
 Neither way forms all pairs of a group.
 
-The distance of two bits is the rule of ``near_duplicates`` alone. It finds few copies in which
-words were changed, so ``first_of_each`` links by the similarity of the sets of word runs.
-
 Null and empty texts have the fingerprint zero. Equal texts, and rows with equal ids, have
 equal fingerprints and one component. A null id is a member like any other and never
 names a component that has another id. An empty table gives no rows.
@@ -24,15 +21,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatlake.llm import jaccard
 from chatlake.llm.common import text_of
 from chatlake.llm.components import components
-from chatlake.llm.jaccard import run_hashes
 from chatlake.session import checkpointed
 
+SEED = 42
+# Words in a shingle.
+WIDTH = 3
 SEGMENTS = 16
 SEGMENT_BITS = 64 // SEGMENTS
 DISTANCE = 2
@@ -40,6 +39,19 @@ DISTANCE = 2
 FULL_BUCKET = 32
 
 
+def run_hashes(text: bytes, width: int) -> np.ndarray:
+    """Hash of every run of ``width`` words, in order; a shorter text is one run."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words]).tolist()
+    width = min(width, len(words))
+    starts = [0, *ends[: len(words) - width]]
+    digest, seed = xxhash.xxh64_intdigest, SEED
+    return np.array([digest(joined[a : b - 1], seed) for a, b in zip(starts, ends[width - 1 :])], np.uint64)
+
+
 def fingerprint(text: bytes, width: int) -> int:
     """Majority of the hashes of all runs of ``width`` words, as a signed number."""
     hashes = run_hashes(text, width).astype(">u8")
@@ -117,11 +129,10 @@ def links(distinct: DataFrame) -> DataFrame:
     return close.union(around)
 
 
-def grouped(marked: DataFrame, id_col: str = "doc_id", edges: DataFrame | None = None) -> DataFrame:
-    """``marked`` (an id column and ``fp``) with ``component_id``, the least id reachable by
-    ``edges`` (a, b), which are ``links`` if not given."""
+def grouped(marked: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``marked`` (an id column and ``fp``) with ``component_id``, the least id reachable by ``links``."""
     distinct = checkpointed(marked.groupBy("fp").agg(F.min(id_col).alias("least")))
-    linked = components(links(distinct.select("fp")) if edges is None else edges)
+    linked = components(links(distinct.select("fp")))
     whole = distinct.join(linked, distinct.fp == linked.node, "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
@@ -131,19 +142,16 @@ def grouped(marked: DataFrame, id_col: str = "doc_id", edges: DataFrame | None =
     return marked.join(named, "fp")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``fp`` and ``component_id``."""
     return grouped(checkpointed(fingerprints(docs, width, id_col, text_col)), id_col)
 
 
-def first_of_each(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their component, where texts are linked that have
-    four fifths of their runs of ``width`` words in common (see ``jaccard``). Rows with equal
-    ids count as one document, which goes only if none of its texts stays; so do the rows
-    without an id, whose texts stay where no member of the component has an id."""
-    marked = checkpointed(jaccard.sketches(docs, width, id_col, text_col))
-    edges = jaccard.links(marked, docs, width, text_col)
-    found = grouped(marked.select(id_col, "fp"), id_col, edges)
+def first_of_each(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id names their component. Rows with equal ids count as one
+    document, which goes only if none of its texts stays; so do the rows without an id, whose
+    texts stay where no member of the component has an id."""
+    found = near_duplicates(docs, width, id_col, text_col)
     names = F.col(id_col).eqNullSafe(F.col("component_id"))
     later = found.groupBy(F.col(id_col).alias("__later")).agg(F.bool_or(names).alias("stays")).where("not stays")
     later = checkpointed(later.select("__later"))

@@ -31,7 +31,7 @@ def cut(text, gone):
 
 def brute(rows, items):
     rows = [r for r, (kept, _) in zip(rows, verdicts(rows)[1]) if kept]
-    prints = [fingerprint(r[1], 5) for r in rows]
+    prints = [fingerprint(r[1], 3) for r in rows]
     of = classes(prints)
     least = {}
     for r, p in zip(rows, prints):
