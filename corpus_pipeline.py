@@ -25,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near duplicates (five-word shingles, similarity 0.8 or more), the document with the least id."""
+    """Of every group of documents whose SimHash fingerprints are linked, the one with the least id."""
     return simhash.first_of_each(docs)
 
 
