@@ -1,9 +1,10 @@
 """Audit of how sources differ in their words, after collapsing duplicate texts.
 
-Rows with one language and text are grouped first, with how many rows each source has of it.
-Every distinct text is split into terms once; its counts are added to each of its sources times
-that multiplicity, and its terms get the number of its rows as document frequency. A language
-keeps the terms that ``min_docs`` of its rows have.
+Rows with one language and text are grouped first, by 128 bits of hash, with how many rows each
+source has of the text. Every distinct text is split into terms once; its counts are added to
+each of its sources times that multiplicity, and its terms get the number of its rows as document
+frequency. A task sends one row per language and term, with the sources that have it; these
+are merged in sorted order. A language keeps the terms that ``min_docs`` of its rows have.
 
 Shares are whole numbers: p = 1 + floor(SCALE * (count + 1) / (N + V)), with N the words of the
 group that are kept terms and V the number of kept terms. The divergence of a group from another
@@ -25,15 +26,15 @@ read in pieces, so long ones need memory for their distinct terms only. Other co
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatlake.session import checkpointed, lookup
+from chatlake.session import checkpointed, lookup, staged_path
 
 SCALE = 1_000_000_000
 MIN_DOCS = 3
@@ -41,96 +42,177 @@ TOP_TERMS = 200
 
 # Terms are runs of ASCII letters and code points from 128 on: in UTF-8, of these bytes.
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
-# Bytes of a text split at a time, entries counted in a task before they are sent on, and pairs
-# of sources evaluated at a time.
+# Bytes of a text split at a time, terms counted together, entries that a task holds before they
+# are sent on, and pairs of sources evaluated at a time.
 PIECE_BYTES = 1 << 22
+COUNT_AT_ONCE = 1 << 20
 HELD_ENTRIES = 1 << 20
 PAIRS_AT_ONCE = 1 << 20
+# Counts up to this are scaled in 64 bits.
+_SMALL = (1 << 63) // SCALE - 2
 
+_TERMS = "lang string, term string, docs long, by array<struct<group:long,n:long>>"
 
-def _pieces(data: bytes) -> Iterator[list[bytes]]:
-    at = 0
-    while at < len(data):
-        end = data.find(b" ", at + PIECE_BYTES)
-        end = len(data) if end < 0 else end
-        yield data[at:end].split()
-        at = end
 
+class _Ids(dict):
+    """A number for every term."""
 
-class _Counts:
-    """Words per language and source, and document frequencies per language."""
+    def __missing__(self, term: bytes) -> int:
+        self[term] = len(self)
+        return self[term]
+
+
+def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
+    """Where a run of equal keys begins."""
+    new = np.ones(len(sorted_keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in sorted_keys])
+    return np.flatnonzero(new)
+
+
+def _added(values: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct keys in order and the sums of their values."""
+    if not len(values):
+        return *keys, values
+    order = np.lexsort(keys[::-1])
+    keys = tuple(k[order] for k in keys)
+    at = _starts(*keys)
+    return *(k[at] for k in keys), np.add.reduceat(values[order], at)
+
+
+def _batch(lang: pa.Array, term: pa.Array, docs: np.ndarray, sizes: np.ndarray, group: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    by = pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays([pa.array(group), pa.array(n)], ["group", "n"]))
+    return pa.RecordBatch.from_arrays([lang, term, pa.array(docs), by], ["lang", "term", "docs", "by"])
+
+
+class _Language:
+    """Counts of one language in one task."""
 
     def __init__(self) -> None:
-        self.words: dict[tuple[str, str], Counter] = {}
-        self.documents: dict[str, Counter] = {}
-
-    def add(self, lang: str, sources: list[dict], text: bytes) -> None:
-        documents = self.documents.setdefault(lang, Counter())
-        if len(sources) == 1 and sources[0]["n"] == 1 and len(text) <= PIECE_BYTES:
-            found = text.split()
-            self.words.setdefault((lang, sources[0]["source"]), Counter()).update(found)
-            documents.update(set(found))
+        none = np.zeros(0, np.int64)
+        self.ids = _Ids()
+        self.documents = none, none  # term, rows
+        self.words = none, none, none  # term, group, words
+        self.texts: list[tuple[np.ndarray, np.ndarray | None, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, text: bytes, group: np.ndarray, n: np.ndarray) -> None:
+        find = self.ids.__getitem__
+        if len(text) <= PIECE_BYTES:
+            terms, times = np.array(list(map(find, text.split())), np.int64), None
+        else:
+            terms = times = np.zeros(0, np.int64)
+            at = 0
+            while at < len(text):
+                end = text.find(b" ", at + PIECE_BYTES)
+                end = len(text) if end < 0 else end
+                more = np.array(list(map(find, text[at:end].split())), np.int64)
+                terms, times = _added(np.concatenate([times, np.ones(len(more), np.int64)]), np.concatenate([terms, more]))
+                at = end
+        self.texts.append((terms, times, group, n))
+        self.waiting += len(terms)
+        if self.waiting >= COUNT_AT_ONCE:
+            self.count()
+
+    def count(self) -> None:
+        if not self.texts:
             return
-        own = Counter()
-        for piece in _pieces(text):
-            own.update(piece)
-        total = sum(s["n"] for s in sources)
-        for term in own:
-            documents[term] += total
-        for s in sources:
-            words, n = self.words.setdefault((lang, s["source"]), Counter()), s["n"]
-            for term, count in own.items():
-                words[term] += n * count
-
-    def size(self) -> int:
-        return sum(map(len, self.words.values())) + sum(map(len, self.documents.values()))
-
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        groups = [(lang, source, c) for (lang, source), c in self.words.items()]
-        groups += [(lang, None, c) for lang, c in self.documents.items()]
-        for lang, source, counter in groups:
-            n = len(counter)
-            if n:
-                arrays = [pa.repeat(lang, n), pa.repeat(source, n) if source is not None else pa.nulls(n, pa.string())]
-                arrays += [pa.array(list(counter), pa.binary()).cast(pa.string()), pa.array(list(counter.values()), pa.int64())]
-                yield pa.RecordBatch.from_arrays(arrays, ["lang", "source", "term", "n"])
+        terms = np.concatenate([t[0] for t in self.texts])
+        times = np.concatenate([np.ones(len(t[0]), np.int64) if t[1] is None else t[1] for t in self.texts])
+        text = np.repeat(np.arange(len(self.texts)), [len(t[0]) for t in self.texts])
+        terms, text, times = _added(times, terms, text)
+        group, n = (np.concatenate([t[i] for t in self.texts]) for i in (2, 3))
+        width = np.array([len(t[2]) for t in self.texts])
+        first, total = np.cumsum(width) - width, np.array([t[3].sum() for t in self.texts])
+        self.documents = _added(*map(np.concatenate, ((self.documents[1], total[text]), (self.documents[0], terms))))
+        wide = width[text]
+        at = np.repeat(first[text], wide) + np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)
+        found = np.repeat(terms, wide), group[at], np.repeat(times, wide) * n[at]
+        held = [np.concatenate(x) for x in zip(self.words, found)]
+        self.words = _added(held[2], held[0], held[1])
+        self.texts, self.waiting = [], 0
+
+    def rows(self, lang: str) -> Iterator[pa.RecordBatch]:
+        self.count()
+        names = pa.array(list(self.ids), pa.binary()).cast(pa.string())
+        term, docs = self.documents
+        sizes = np.bincount(self.words[0], minlength=len(names))[term]
+        if len(term):
+            yield _batch(pa.repeat(lang, len(term)), names.take(pa.array(term)), docs, sizes, self.words[1], self.words[2])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, left = _Counts(), HELD_ENTRIES
+    held: dict[str, _Language] = {}
     for batch in batches:
-        langs, sources, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
-        for i, (lang, own) in enumerate(zip(langs, sources)):
+        langs, texts, by = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
+        bounds = by.offsets.to_numpy()
+        group, n = (by.values.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        for i, lang in enumerate(langs):
+            own = slice(bounds[i], bounds[i + 1])
             text = texts[i].as_buffer().to_pybytes().translate(_LOWER)
-            held.add(lang, own, text)
-            left -= len(text) // 6
-            if left < 0:  # may be full
-                left = HELD_ENTRIES - held.size()
-                if left < HELD_ENTRIES // 8:
-                    yield from held.rows()
-                    held, left = _Counts(), HELD_ENTRIES
-    yield from held.rows()
+            held.setdefault(lang, _Language()).add(text, group[own], n[own])
+        if sum(len(x.words[0]) + len(x.ids) for x in held.values()) > HELD_ENTRIES:
+            for lang, own in held.items():
+                yield from own.rows(lang)
+            held = {}
+    for lang, own in held.items():
+        yield from own.rows(lang)
+
+
+def _joined(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows of one term that follow each other, added up to one row."""
+    lang, term, by = batch.column(0), batch.column(1), batch.column(3)
+    change = np.ones(batch.num_rows, bool)
+    change[1:] = pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(term[1:], term[:-1])).to_numpy(zero_copy_only=False)
+    at = np.flatnonzero(change)
+    docs = np.add.reduceat(batch.column(2).to_numpy(), at)
+    bounds = by.offsets.to_numpy()
+    group, n = (by.values.field(i).to_numpy(zero_copy_only=False)[bounds[0] : bounds[-1]] for i in (0, 1))
+    row, group, n = _added(n, np.repeat(np.cumsum(change) - 1, np.diff(bounds)), group)
+    return _batch(lang.take(pa.array(at)), term.take(pa.array(at)), docs, np.bincount(row, minlength=len(at)), group, n)
+
+
+def _merged(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
+    """One row per term that enough documents have, from rows in order of language and term."""
+
+    def kept(rows: pa.RecordBatch) -> pa.RecordBatch:
+        return rows.filter(pc.greater_equal(rows.column(2), min_docs))
+
+    last = None
+    for batch in batches:
+        if batch.num_rows:
+            rows = _joined(pa.concat_batches([last, batch.cast(last.schema)]) if last is not None else batch)
+            yield kept(rows.slice(0, rows.num_rows - 1))
+            last = rows.slice(rows.num_rows - 1)
+    if last is not None:
+        yield kept(last)
 
 
-def collapsed(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``lang``, ``sources`` (structs of source and n, its number of rows with the text) and ``text``,
-    one row per language and distinct text."""
-    plain = docs.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
-    counted = plain.groupBy("lang", "text", "source").agg(F.count("*").alias("n"))
-    return counted.groupBy("lang", "text").agg(F.collect_list(F.struct("source", "n")).alias("sources")).select("lang", "sources", "text")
+def _collapsed(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """``lang``, ``text`` and ``by`` (structs of group and n, its number of rows with the text), one row
+    per language and distinct text. The texts are sent once."""
+    key = ["lang", "h", "g"]
+    counted = docs.groupBy("lang", "source", "h", "g").agg(F.count("*").alias("n")).join(lookup(groups.select("lang", "source", "group")), ["lang", "source"])
+    by = counted.groupBy(*key).agg(F.collect_list(F.struct("group", "n")).alias("by"))
+    return docs.groupBy(*key).agg(F.first("text").alias("text")).join(by, key).select("lang", "text", "by")
 
 
-def term_counts(texts: DataFrame) -> DataFrame:
-    """``lang``, ``source``, ``term`` and ``n``: words of a source, or with a null source the rows of
-    the language that have the term. ``texts`` comes from ``collapsed``."""
-    counted = texts.mapInArrow(_count, "lang string, source string, term string, n long")
-    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+def _plain(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    named = docs.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
+    return named.withColumns({"h": F.xxhash64("text"), "g": F.xxhash64(F.lit(1), "text")})
+
+
+def _staged(df: DataFrame, label: str) -> DataFrame:
+    path = staged_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def share(count: Column, words: Column, terms: Column) -> Column:
     """p of a count, exact for any count."""
-    scaled = (count + 1).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)")
-    return (F.floor(F.call_function("div", scaled, (words + terms).cast("decimal(20,0)"))) + 1).cast("long")
+    wide = (count + 1).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)")
+    wide = F.call_function("div", wide, (words + terms).cast("decimal(20,0)")).cast("long")
+    return F.when(count <= _SMALL, F.call_function("div", (count + 1) * SCALE, words + terms)).otherwise(wide) + 1
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -192,28 +274,30 @@ class Audit:
     """Counts of a corpus, and the reports on them.
 
     ``groups``: group (a number), lang, source, words (N), terms (V), p0.
-    ``kept``: group, lang, source, term, n, p and q (the share of the term in its language)."""
+    ``kept``: one row per kept term with at, lang, term, n (in its language), q and ``by``, its groups."""
 
     def __init__(self, docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = MIN_DOCS) -> None:
-        plain = docs.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"))])
-        occurring = plain.distinct()
-        counts = checkpointed(term_counts(collapsed(docs, text_col, lang_col, source_col)))
-        vocabulary = counts.where("source is null").where(F.col("n") >= min_docs).select("lang", "term")
-        sums = counts.where("source is not null").groupBy("lang", "term").agg(F.sum("n").alias("of_lang"), F.collect_list(F.struct("source", "n")).alias("by"))
-        # one row per term with the sources that have it: at most as many as the language has sources
-        terms = checkpointed(sums.join(vocabulary, ["lang", "term"]).select("lang", "term", "of_lang", "by"))
-        langs = checkpointed(terms.groupBy("lang").agg(F.sum("of_lang").alias("lang_words"), F.count("*").alias("terms")))
-        found = terms.select("lang", F.explode("by").alias("s")).groupBy("lang", "s.source").agg(F.sum("s.n").alias("words"))
-        groups = occurring.join(found, ["lang", "source"], "left").join(langs, "lang", "left")
+        plain = _plain(docs, text_col, lang_col, source_col)
+        occurring = checkpointed(plain.select("lang", "source").distinct().withColumn("group", F.monotonically_increasing_id()))
+        counted = _collapsed(plain, occurring).mapInArrow(_count, _TERMS)
+        ordered = counted.repartition("lang", "term").sortWithinPartitions("lang", "term")
+        merged = ordered.mapInArrow(lambda batches: _merged(batches, min_docs), _TERMS)
+        terms = _staged(merged.select(F.monotonically_increasing_id().alias("at"), "lang", "term", "by"), "kept-terms")
+        terms = terms.withColumn("n", F.expr("aggregate(by, 0L, (s, x) -> s + x.n)"))
+        langs = checkpointed(terms.groupBy("lang").agg(F.sum("n").alias("lang_words"), F.count("*").alias("terms")))
+        words = terms.select(F.inline("by")).groupBy("group").agg(F.sum("n").alias("words"))
+        groups = occurring.join(words, "group", "left").join(langs.drop("lang_words"), "lang", "left")
         numbers = {"words": F.coalesce("words", F.lit(0)), "terms": F.coalesce("terms", F.lit(0))}
         p0 = F.when(F.col("terms") > 0, share(F.lit(0), F.col("words"), F.col("terms")))
-        groups = groups.withColumns(numbers).withColumn("p0", p0).withColumn("group", F.monotonically_increasing_id())
-        self.groups = checkpointed(groups.select("group", "lang", "source", "words", "terms", "p0"))
-        q = share(F.col("of_lang"), F.col("lang_words"), F.col("terms"))
-        each = terms.join(lookup(langs), "lang").select("lang", "term", q.alias("q"), F.explode("by").alias("s"))
-        own = self.groups.select("lang", "source", "group", "words", "terms", "p0")
-        each = each.select("lang", "term", "q", "s.source", "s.n").join(lookup(own), ["lang", "source"])
-        self.kept = checkpointed(each.select("group", "lang", "source", "term", "n", share(F.col("n"), F.col("words"), F.col("terms")).alias("p"), "p0", "q"))
+        self.groups = checkpointed(groups.withColumns(numbers).withColumn("p0", p0).select("group", "lang", "source", "words", "terms", "p0"))
+        q = share(F.col("n"), F.col("lang_words"), F.col("terms"))
+        self.kept = terms.join(lookup(langs), "lang").select("at", "lang", "term", q.alias("q"), "by")
+
+    def _each(self, *columns: str) -> DataFrame:
+        """One row per kept term and group that has it, with its share p and that of a count of zero."""
+        own = self.groups.select("group", "words", "terms", "p0", "source")
+        each = self.kept.select(*columns, F.inline("by")).join(lookup(own), "group")
+        return each.select(*columns, "group", "source", share(F.col("n"), F.col("words"), F.col("terms")).alias("p"), "p0")
 
     def _against(self) -> DataFrame:
         """Every two groups of a language, as ``one`` and ``other`` with their numbers."""
@@ -229,12 +313,12 @@ class Audit:
         pairs = checkpointed(self._against())
         p0, q0 = F.col("one_p0"), F.col("other_p0")
         base = pairs.select(F.col("one_group").alias("one"), F.col("other_group").alias("other"), F.coalesce(F.col("one_terms") * distance(p0, q0).cast(wide), F.lit(0).cast(wide)).alias("value"))
-        levels = checkpointed(self.kept.groupBy("group", "p").agg(F.count("*").alias("m")))
+        levels = checkpointed(self._each().groupBy("group", "p").agg(F.count("*").alias("m")))
         left = levels.join(lookup(pairs), F.col("group") == F.col("one_group"))
         left = left.select(F.col("one_group").alias("one"), F.col("other_group").alias("other"), (F.col("m") * (distance(F.col("p"), q0) - distance(p0, q0)).cast(wide)).alias("value"))
         right = levels.join(lookup(pairs), F.col("group") == F.col("other_group"))
         right = right.select(F.col("one_group").alias("one"), F.col("other_group").alias("other"), (F.col("m") * (distance(p0, F.col("p")) - distance(p0, q0)).cast(wide)).alias("value"))
-        lists = self.kept.groupBy("lang", "term").agg(F.collect_list(F.struct("group", "p", "p0")).alias("by")).where("size(by) > 1").select("by")
+        lists = self._each("at").groupBy("at").agg(F.collect_list(F.struct("group", "p", "p0")).alias("by")).where("size(by) > 1").select("by")
         common = lists.mapInArrow(_common, "one long, other long, value long").withColumn("value", F.col("value").cast(wide))
         every = base.union(left).union(right).union(common)
         values = checkpointed(every.groupBy("one", "other").agg(F.sum("value").cast("long").alias("value")))
@@ -244,7 +328,7 @@ class Audit:
     def terms(self) -> DataFrame:
         """``lang``, ``source``, ``term`` and ``value``: terms that a source has more often than its language."""
         p, q = F.col("p"), F.col("q")
-        return self.kept.where(p > q).select("lang", "source", "term", distance(p, q).alias("value"))
+        return self._each("lang", "term", "q").where(p > q).select("lang", "source", "term", distance(p, q).alias("value"))
 
     def report(self, top_terms: int = TOP_TERMS) -> DataFrame:
         """``lang``, ``source``, ``part``, ``item``, ``value`` and ``rank``: all pairs, and the first terms."""

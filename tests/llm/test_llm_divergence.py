@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry_points
@@ -60,19 +61,39 @@ def sample(rng):
     return rows
 
 
-@pytest.mark.parametrize("pairs, held", [(1 << 20, 1 << 20), (7, 40)])
-def test_audit_is_plain_arithmetic(spark, monkeypatch, pairs, held):
-    monkeypatch.setattr(divergence, "PIECE_BYTES", 64 if pairs == 7 else 1 << 22)
+def test_audit_is_plain_arithmetic(spark):
     rows = sample(random.Random(41))
     docs = with_clashes(frame(spark, rows))
     report = divergence.Audit(docs).report(top_terms=10)
     assert results(report) == expected(rows, 10)
 
 
+@pytest.mark.parametrize("limits", [(1 << 22, 1 << 20, 1 << 20), (16, 5, 40)])
+def test_counts_in_small_steps(monkeypatch, limits):
+    """Pieces of texts, blocks of terms and rows sent early change nothing."""
+    for name, limit in zip(("PIECE_BYTES", "COUNT_AT_ONCE", "HELD_ENTRIES"), limits):
+        monkeypatch.setattr(divergence, name, limit)
+    rng = random.Random(44)
+    texts = [(rng.choice(["en", "fr"]), prose(rng, rng.randrange(40), 30), {g: rng.randrange(1, 5) for g in rng.sample(range(6), rng.randrange(1, 4))}) for _ in range(60)]
+    kind = pa.list_(pa.struct([("group", pa.int64()), ("n", pa.int64())]))
+    by = [[{"group": g, "n": n} for g, n in own.items()] for *_, own in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array([t[0] for t in texts]), pa.array([t[1] for t in texts]), pa.array(by, kind)], ["lang", "text", "by"])
+    counted = pa.Table.from_batches(list(divergence._count(iter([batch.slice(0, 7), batch.slice(7)]))))
+    counted = counted.sort_by([("lang", "ascending"), ("term", "ascending")]).combine_chunks()
+    merged = pa.Table.from_batches(list(divergence._merged(iter(counted.to_batches(max_chunksize=3)), 5)))
+    got = {(r["lang"], r["term"]): (r["docs"], {x["group"]: x["n"] for x in r["by"]}) for r in merged.to_pylist()}
+    docs, words = Counter(), defaultdict(Counter)
+    for lang, text, own in texts:
+        for term, n in Counter(terms_of(text)).items():
+            docs[lang, term] += sum(own.values())
+            for g, times in own.items():
+                words[lang, term][g] += n * times
+    assert got == {k: (n, dict(words[k])) for k, n in docs.items() if n >= 5}
+    assert merged.num_rows == len(got)
+
+
 def test_sums_over_common_terms_in_small_steps(monkeypatch):
     """Blocks of pairs and of held sums change nothing."""
-    import pyarrow as pa
-
     rng = random.Random(42)
     lists = [[{"group": g, "p": rng.randrange(1, 10**9), "p0": 10 + g} for g in rng.sample(range(9), rng.randrange(0, 9))] for _ in range(50)]
     kind = pa.list_(pa.struct([("group", pa.int64()), ("p", pa.int64()), ("p0", pa.int64())]))
@@ -102,9 +123,9 @@ def test_odd_documents(spark):
 
 
 def test_shares_are_exact_for_great_counts(spark):
-    n = 10**15 + 7
-    row = spark.range(1).select(divergence.share(divergence.F.lit(n), divergence.F.lit(3 * n), divergence.F.lit(11)).alias("p")).first()
-    assert row["p"] == 1 + 10**9 * (n + 1) // (3 * n + 11)
+    for n in (0, 5, divergence._SMALL - 1, divergence._SMALL, divergence._SMALL + 1, 10**15 + 7):
+        row = spark.range(1).select(divergence.share(divergence.F.lit(n), divergence.F.lit(3 * n), divergence.F.lit(11)).alias("p")).first()
+        assert row["p"] == 1 + 10**9 * (n + 1) // (3 * n + 11)
 
 
 def test_query_is_its_sql(spark, sf_dir):
