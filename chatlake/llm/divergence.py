@@ -210,6 +210,7 @@ def _staged(df: DataFrame, label: str) -> DataFrame:
 
 def share(count: Column, words: Column, terms: Column) -> Column:
     """p of a count, exact for any count."""
+    count = count.cast("long")
     wide = (count + 1).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)")
     wide = F.call_function("div", wide, (words + terms).cast("decimal(20,0)")).cast("long")
     return F.when(count <= _SMALL, F.call_function("div", (count + 1) * SCALE, words + terms)).otherwise(wide) + 1
