@@ -13,6 +13,8 @@ from chatlake.functions.messages import json_text
 from chatlake.functions.template import CHATML, Template
 
 INDEX = "example_index"
+# Reason that only the JSON of a row tells, such as a value of a wrong kind.
+JSON_PROBLEM = "_json_problem"
 
 
 class Format(ABC):
@@ -28,6 +30,11 @@ class Format(ABC):
     #: layout of a row in a JSON lines file, for ``sources.jsonl.parse``
     json_fields: str
 
+    def read_json(self, rows: DataFrame) -> DataFrame:
+        """Rows parsed by ``json_fields``, with their ``raw`` line, in the layout that the other
+        methods take; JSON_PROBLEM names values of a wrong kind."""
+        return rows
+
     @abstractmethod
     def problem(self, rows: DataFrame) -> Column:
         """Why a row is not valid, or null."""
@@ -42,7 +49,10 @@ class Format(ABC):
 
     def validate(self, rows: DataFrame) -> DataFrame:
         """Rows with the ``reason`` they are rejected for, null for valid ones."""
-        return rows.withColumn("reason", self.problem(rows))
+        reason = self.problem(rows)
+        if JSON_PROBLEM in rows.columns:
+            reason = F.coalesce(F.col(JSON_PROBLEM), reason)
+        return rows.withColumn("reason", reason)
 
     def valid(self, rows: DataFrame) -> DataFrame:
         return self.validate(rows).filter(F.col("reason").isNull()).drop("reason")

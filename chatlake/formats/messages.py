@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatlake import schemas
-from chatlake.formats.base import INDEX, Format, column, empty, raw_text, tools_text
+from chatlake.formats.base import INDEX, JSON_PROBLEM, Format, column, empty, raw_text, tools_text
+from chatlake.functions import jsonkinds as K
 from chatlake.functions import messages as M
+from chatlake.functions.jsontext import WHOLE
 from chatlake.functions.template import CHATML, Template
 from chatlake.operators import examples
 
@@ -20,7 +22,7 @@ class FlaggedMessages(Format):
     """
 
     json_fields = (
-        "messages:array<struct<role:string,content:string,train_on_turn:boolean,"
+        "messages:array<struct<role:string,content:string,train_on_turn:string,"
         "tool_calls:string>>,tools:string"
     )
 
@@ -28,12 +30,32 @@ class FlaggedMessages(Format):
         self.name = name
         self.any_role = any_role
 
+    def read_json(self, rows: DataFrame) -> DataFrame:
+        """Content may be a string or a list of blocks, a flag any value. One element that is no
+        object leaves no list; such lines are read again to name it."""
+        raw, flag = F.col("raw"), "train_on_turn"
+        flags = F.exists("messages", lambda m: K.untrue_form(m.getField(flag))) & K.maybe_text(raw, flag)
+        again = F.exists("messages", lambda m: K.unclear(m.getField("content"))) | flags
+        whole = F.from_json(raw, "messages array<string>", WHOLE).getField("messages")
+
+        def message(m: Column, i: Column) -> Column:
+            own = F.try_element_at("_whole", i + 1)
+            return m.withField("content", K.content(m.getField("content"), own)).withField(flag, K.truth(m.getField(flag), own, flag))
+
+        lost = F.col("messages").isNull() & F.col("problem").isNull()
+        return (
+            rows.withColumn("_whole", F.when(again, whole))
+            .withColumn("messages", F.transform("messages", message))
+            .withColumn(JSON_PROBLEM, F.when(lost, K.list_problem(raw)))
+            .drop("_whole")
+        )
+
     def problem(self, rows: DataFrame) -> Column:
         messages, data_type = column(rows, "messages")
         if messages is None:
-            return F.lit("Missing 'messages' field")
+            return F.lit(M.NO_MESSAGES)
         if not isinstance(data_type, T.ArrayType):
-            return F.lit("'messages' must be a list")
+            return F.lit(M.NO_LIST)
         return M.messages_problem(messages)
 
     def _messages(self, rows: DataFrame) -> Column:

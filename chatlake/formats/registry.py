@@ -11,6 +11,9 @@ FLAGGED_MESSAGES = "acon96-v2"
 FLAT_CALLS = "allenporter-fc"
 REPLY_MESSAGES = "allenporter-msg"
 
+# Fixed value: what users are told about another name.
+UNKNOWN = "Unknown dataset format: '{}'\nSupported formats: {}"
+
 FORMATS: dict[str, Format] = {
     f.name: f
     for f in (
@@ -27,7 +30,5 @@ def list_formats() -> list[str]:
 
 def load_format(name: str) -> Format:
     if name not in FORMATS:
-        raise ValueError(
-            f"Unknown dataset format: '{name}'\nSupported formats: {', '.join(list_formats())}"
-        )
+        raise ValueError(UNKNOWN.format(name, ", ".join(list_formats())))
     return FORMATS[name]

@@ -88,6 +88,23 @@ def tool_calls(value: Column | None, data_type: T.DataType | None) -> Column:
     return none
 
 
+def truthy(value: Column | None, data_type: T.DataType | None) -> Column:
+    """Truth of a value of any type: none, false, zero and empty values are false."""
+    if value is None or isinstance(data_type, T.NullType):
+        return F.lit(False)
+    if isinstance(data_type, T.BooleanType):
+        truth = value
+    elif isinstance(data_type, T.NumericType):
+        truth = value != 0
+    elif isinstance(data_type, T.StringType):
+        truth = value != ""
+    elif isinstance(data_type, (T.ArrayType, T.MapType)):
+        truth = F.size(value) > 0
+    else:
+        truth = value.isNotNull()
+    return F.coalesce(truth, F.lit(False))
+
+
 def normalize(messages: Column, data_type: T.ArrayType) -> Column:
     """Messages in the one layout of ``schemas.MESSAGE``; other keys are dropped."""
     fields = data_type.elementType
@@ -98,8 +115,7 @@ def normalize(messages: Column, data_type: T.ArrayType) -> Column:
                 return None, None
             return message.getField(name), fields[name].dataType
 
-        flag, _ = part("train_on_turn")
-        flag = F.lit(False) if flag is None else F.coalesce(flag.cast("boolean"), F.lit(False))
+        flag = truthy(*part("train_on_turn"))
         return F.struct(
             message.getField("role").alias("role"),
             content_text(*part("content")).alias("content"),
@@ -114,6 +130,7 @@ def normalize(messages: Column, data_type: T.ArrayType) -> Column:
 NO_ROLE = " missing 'role'"
 BAD_ROLE = " has unsupported role: "
 NO_MESSAGES = "Missing 'messages' field"
+NO_LIST = "'messages' must be a list"
 
 
 def role_problem(role: Column, position: Column) -> Column:

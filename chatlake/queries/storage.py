@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake.formats import load_format
+from chatlake.formats.base import Format
 from chatlake.formats.registry import FLAGGED_MESSAGES, FLAT_CALLS, REPLY_MESSAGES
 from chatlake.functions import text as X
 from chatlake.operators import turns as R
@@ -90,6 +91,53 @@ def jsonl_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build.training_splits(rows, REPLY_MESSAGES).select("example_index", "split", "completion")
 
 
+# Values that a field of a line may have, of every JSON kind, by doc_id.
+_FLAGS = ["true", "false", "null", "1", "0", '"yes"', '""', '"0"', '"false"', "[]", "[0]", "{}", "0.0", '" "', "-2.5e3", '"[]"']
+_TOOLS = ["[]", '[{"name":"f"}]', '"[x]"', "5", "null", '["x"]', "{}", '"[]"']
+_ELEMENTS = ["", "", "", '"text"', "5", "null", '["role"]', '"{\\"role\\":\\"user\\"}"', "{}", '{"role":"clown"}', '{"role":7}']
+
+
+def _pick(values: list[str], key: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (key % len(values) + 1).cast("int"))
+
+
+def _kinds_rows(spark: SparkSession, sf_dir: str, name: str) -> tuple[Format, DataFrame]:
+    """Every document as a line of a layout, with fields of mixed JSON kinds."""
+    docs = table(spark, sf_dir, "documents")
+    doc = F.col("doc_id")
+    text = F.expr("substr(q, 6, length(q) - 6)")
+    quoted = docs.withColumn("q", F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("t")))).withColumn("quoted", text)
+    if name == FLAT_CALLS:
+        value = F.when(doc % 5 == 1, doc.cast("string")).when(doc % 5 == 2, F.concat(F.lit("["), "quoted", F.lit("]"))).otherwise(F.col("quoted"))
+        field = F.when(doc % 9 != 3, F.concat(F.lit('"tools": '), _pick(_TOOLS, doc), F.lit(",")))
+        line = F.concat(F.lit('{"instructions":"i",'), F.coalesce(field, F.lit("")), F.lit('"input":'), value, F.lit("}"))
+    else:
+        reply = F.concat(F.lit('{"role":"assistant","train_on_turn": '), _pick(_FLAGS, doc), F.lit(',"content":'), "quoted", F.lit("}"))
+        more = _pick(_ELEMENTS, doc)
+        listed = F.concat(F.lit("["), reply, F.when(more != "", F.concat(F.lit(","), more)).otherwise(F.lit("")), F.lit("]"))
+        value = F.when(doc % 13 == 5, F.col("quoted")).when(doc % 13 == 7, F.lit("{}")).otherwise(listed)
+        line = F.concat(F.lit('{"'), F.when(doc % 17 == 3, F.lit("message")).otherwise(F.lit("messages")), F.lit('":'), value, F.lit("}"))
+    path = staged_path(spark, "kinds")
+    quoted.select("doc_id", line.alias("value")).repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("value").write.text(path)
+    fmt = load_format(name)
+    return fmt, jsonl.parse_format(jsonl.scan(spark, path), fmt)
+
+
+def jsonl_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with flags of every JSON kind and elements that are no messages: the reason of those
+    that are not valid, and the training text of flagged turns."""
+    fmt, rows = _kinds_rows(spark, sf_dir, FLAGGED_MESSAGES)
+    made = fmt.convert_for_training(rows).select("example_index", F.lit(None).cast("string").alias("reason"), "text")
+    return made.unionByName(fmt.rejects(rows).withColumn("text", F.lit(None).cast("string")))
+
+
+def jsonl_flat_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat lines whose tools and input are of every JSON kind: the reason, or the prompt."""
+    fmt, rows = _kinds_rows(spark, sf_dir, FLAT_CALLS)
+    made = fmt.convert_for_eval(rows).select("example_index", F.lit(None).cast("string").alias("reason"), "prompt")
+    return made.unionByName(fmt.rejects(rows).withColumn("prompt", F.lit(None).cast("string")))
+
+
 def line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.line_count(spark, _written_lines(spark, sf_dir))
 
@@ -214,6 +262,8 @@ QUERIES = {
     "jsonl_scan": jsonl_scan,
     "jsonl_messages": jsonl_messages,
     "jsonl_splits": jsonl_splits,
+    "jsonl_types": jsonl_types,
+    "jsonl_flat_types": jsonl_flat_types,
     "line_count": line_count,
     "split_files": split_files,
     "manifest_check": manifest_check,
@@ -261,6 +311,35 @@ ORACLE = {
                      WHEN example_index * 10 < total * 9 THEN 'valid' ELSE 'test' END AS split,
                 '<|im_start|>assistant' || chr(10) || 'ok<|im_end|>' || chr(10) AS completion
          FROM lines WHERE NOT broken""",
+    "jsonl_types": """
+        WITH docs AS (
+          SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS example_index, coalesce(text, '') AS text
+          FROM documents),
+        judged AS (
+          SELECT *, CASE WHEN doc_id % 17 = 3 THEN 'Missing ''messages'' field'
+                         WHEN doc_id % 13 IN (5, 7) THEN '''messages'' must be a list'
+                         WHEN doc_id % 11 IN (3, 4, 5, 6, 7, 8) THEN 'Message 1 missing ''role'''
+                         WHEN doc_id % 11 = 9 THEN 'Message 1 has unsupported role: clown'
+                         WHEN doc_id % 11 = 10 THEN 'Message 1 has unsupported role: 7' END AS reason
+          FROM docs)
+        SELECT example_index, reason, CASE WHEN reason IS NULL
+                 THEN '<|im_start|>assistant' || chr(10) || text || '<|im_end|>' || chr(10) END AS text
+        FROM judged WHERE reason IS NOT NULL OR doc_id % 16 IN (0, 3, 5, 7, 8, 10, 13, 14, 15)""",
+    "jsonl_flat_types": """
+        WITH docs AS (
+          SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS example_index, coalesce(text, '') AS text
+          FROM documents),
+        judged AS (
+          SELECT *, CASE WHEN doc_id % 9 = 3 THEN 'Missing required field: ''tools'''
+                         WHEN doc_id % 8 NOT IN (0, 1, 5) THEN '''tools'' must be a list'
+                         WHEN doc_id % 5 IN (1, 2) THEN '''input'' must be a string' END AS reason
+          FROM docs)
+        SELECT example_index, reason, CASE WHEN reason IS NULL THEN
+                 CASE doc_id % 8 WHEN 0 THEN '' ELSE '<|im_start|>system' || chr(10) || '# Tools' || chr(10) || chr(10) || '<tools>' || chr(10)
+                   || CASE doc_id % 8 WHEN 1 THEN '[{"name":"f"}]' ELSE '["x"]' END || chr(10) || '</tools><|im_end|>' || chr(10) END
+                 || '<|im_start|>system' || chr(10) || 'i<|im_end|>' || chr(10)
+                 || '<|im_start|>user' || chr(10) || text || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) END AS prompt
+        FROM judged""",
     "split_files": """
         WITH ranked AS (
           SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS i, count(*) OVER () AS total

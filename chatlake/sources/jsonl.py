@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatlake.formats.base import INDEX, Format
-from chatlake.functions.jsontext import WHOLE, with_object
+from chatlake.functions.jsontext import with_object
 from chatlake.functions.text import strip
 from chatlake.operators.ordering import sum_before
 from chatlake.session import checkpointed, lookup, staged_path
 
 NOT_AN_OBJECT = "not one JSON object"
-_BLOCKS = "array<struct<type:string,text:string>>"
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -72,39 +71,5 @@ def parse(lines: DataFrame, fields: str) -> DataFrame:
 
 
 def parse_format(lines: DataFrame, fmt: Format) -> DataFrame:
-    """Parse lines into the layout of a format.
-
-    Message content may be a text or a list of blocks in JSON; the blocks are
-    reduced to the text of the first one here, since a column has one type.
-    """
-    rows = parse(lines, fmt.json_fields)
-    if "messages" not in rows.columns:
-        return rows
-    # only what could be the JSON text of another value than a string is looked at again
-    unclear = F.exists("messages", lambda m: _unclear(m.getField("content")))
-    whole = F.from_json("raw", "messages array<string>", WHOLE).getField("messages")
-    return rows.withColumn("_whole", F.when(unclear, whole)).withColumn(
-        "messages",
-        F.transform(
-            "messages",
-            lambda m, i: m.withField("content", _content(m.getField("content"), F.try_element_at("_whole", i + 1))),
-        ),
-    ).drop("_whole")
-
-
-def _unclear(text: Column) -> Column:
-    return F.coalesce(text.rlike(r"^(\[|\{|-?[0-9]|true$|false$)"), F.lit(False))
-
-
-def _content(text: Column, message: Column) -> Column:
-    """Text of a message whose ``content`` was read as ``text``; what kind of value that was
-    is known from the JSON of the message, in which a value of another kind reads as null."""
-
-    def read_as(kind: str) -> Column:
-        options = {**WHOLE, "allowNonNumericNumbers": "false"}
-        return F.from_json(message, f"content {kind}", options).getField("content")
-
-    first = F.try_element_at(F.from_json(text, _BLOCKS, WHOLE), F.lit(1)).getField("text")
-    other = read_as("map<string,string>").isNotNull() | read_as("double").isNotNull() | read_as("boolean").isNotNull()
-    kept = F.when(~_unclear(text), text).when(read_as("array<string>").isNotNull(), first).when(~other, text)
-    return F.coalesce(kept, F.lit(""))
+    """Parse lines into the layout of a format, which judges values by their JSON kind."""
+    return fmt.read_json(parse(lines, fmt.json_fields))
