@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from chatlake.formats import load_format
 from chatlake.formats.base import Format
 from chatlake.formats.registry import FLAGGED_MESSAGES, FLAT_CALLS, REPLY_MESSAGES
 from chatlake.functions import text as X
+from chatlake.functions.template import CHATML
 from chatlake.operators import turns as R
 from chatlake.plans import build
 from chatlake.plans.dispatch import resolve_formats
@@ -16,7 +19,7 @@ from chatlake.queries.corpus import replies
 from chatlake.queries.fixtures import table
 from chatlake.session import staged_path
 from chatlake.sources import jsonl, manifest, parquet
-from chatlake.sources.sinks import write_splits
+from chatlake.sources.sinks import SPLITS, write_splits
 
 
 def file_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,10 +146,15 @@ def line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training splits written as JSON lines and read back."""
+    """Training splits written as JSON lines in several files, and read back with each line's place
+    in its split."""
     path = staged_path(spark, "splits")
-    write_splits(R.split_training_rows(table(spark, sf_dir, "conversations"), replies()), path)
-    return spark.read.schema("text string, split string").json(path).select("split", "text")
+    write_splits(R.split_training_rows(table(spark, sf_dir, "conversations"), replies()), path, examples_per_file=64)
+    splits = []
+    for split in SPLITS:
+        lines = jsonl.parse(jsonl.scan(spark, f"{path}/split={split}"), "text:string")
+        splits.append(lines.select(F.lit(split).alias("split"), F.col("example_index").alias("place"), "text"))
+    return reduce(DataFrame.unionByName, splits)
 
 
 def manifest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,12 +223,40 @@ def incremental_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = [build.Dataset("documents", name, messages, "d") for name in (FLAGGED_MESSAGES, REPLY_MESSAGES)]
     first = build.build_missing(spark, wanted, out, log).count()
     second = build.build_missing(spark, wanted, out, log).count()
-    built = spark.read.parquet(out).join(F.broadcast(build.read_builds(spark, log)), "build_key")
+    built = build.read_built(spark, out, log)
     return built.select(
         "format", "example_index", "text", "split", F.lit(first).alias("built_first"), F.lit(second).alias("built_again")
     )
 
 
+def build_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One dataset in two versions, known by their content: the old one is built, then both are asked
+    for together with another format; the rows under each request's key."""
+    docs = table(spark, sf_dir, "documents")
+    versions = {}
+    for name, question in (("old", "?"), ("new", "!")):
+        ask = F.struct(F.lit("user").alias("role"), F.lit(question).alias("content"))
+        reply = F.struct(F.lit("assistant").alias("role"), F.coalesce("text", F.lit("")).alias("content"))
+        rows = docs.select(F.col("doc_id").alias("example_index"), F.array(ask, reply).alias("messages"))
+        versions[name] = build.Dataset.of("documents", REPLY_MESSAGES, rows)
+    out, log = staged_path(spark, "builds"), staged_path(spark, "manifest")
+    build.build_missing(spark, [versions["old"]], out, log)
+    flagged = build.Dataset("documents", FLAGGED_MESSAGES, versions["new"].rows, versions["new"].digest)
+    second = build.build_missing(spark, [versions["new"], versions["old"], flagged, versions["new"]], out, log).count()
+    asked = [(name, d.dataset_id, d.format_name, d.digest) for name, d in versions.items()]
+    requests = spark.createDataFrame(asked, "version string, dataset_id string, format string, digest string")
+    key = build.build_key(F.col("dataset_id"), F.col("format"), CHATML.key(), F.col("digest"))
+    keys = requests.select("version", key.alias("build_key"))
+    built = build.read_built(spark, out, log).join(F.broadcast(keys), "build_key", "left")
+    return built.select("version", "format", "example_index", "split", "text", F.lit(second).alias("built_second"))
+
+
+def content_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of the documents of each source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    return build.content_digest(docs, "source")
+
+
 def short_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", X.short_hash(F.col("p_name")).alias("name_hash"))
 
@@ -270,6 +306,8 @@ QUERIES = {
     "format_resolve": format_resolve,
     "pending_builds": pending_builds,
     "incremental_build": incremental_build,
+    "build_versions": build_versions,
+    "content_digest": content_digest,
     "short_hash": short_hash,
     "build_keys": build_keys,
     "variant_name": variant_name,
@@ -345,11 +383,13 @@ ORACLE = {
           SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS i, count(*) OVER () AS total
           FROM (SELECT DISTINCT conv_id FROM conversations)),
         texts AS (
-          SELECT conv_id, role, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '')
+          SELECT conv_id, turn, role, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '')
                    OVER (PARTITION BY conv_id ORDER BY turn) AS text
-          FROM conversations)
-        SELECT CASE WHEN i * 10 < total * 8 THEN 'train' WHEN i * 10 < total * 9 THEN 'valid' ELSE 'test' END AS split, text
-        FROM texts JOIN ranked USING (conv_id) WHERE role = 'assistant'""",
+          FROM conversations),
+        placed AS (
+          SELECT CASE WHEN i * 10 < total * 8 THEN 'train' WHEN i * 10 < total * 9 THEN 'valid' ELSE 'test' END AS split, i, turn, text
+          FROM texts JOIN ranked USING (conv_id) WHERE role = 'assistant')
+        SELECT split, CAST(row_number() OVER (PARTITION BY split ORDER BY i, turn) - 1 AS BIGINT) AS place, text FROM placed""",
     "manifest_check": """
         SELECT 'source=' || source || '/lang=' || lang || '/part' AS file, CAST(count(*) AS BIGINT) AS actual_size,
                CAST(CASE WHEN lang NOT LIKE 'f%' THEN count(*) + CASE WHEN lang LIKE 'd%' THEN 1 ELSE 0 END END AS BIGINT) AS expected_size,
@@ -370,6 +410,23 @@ ORACLE = {
         FROM (SELECT *, count(*) OVER () AS total FROM documents)
         CROSS JOIN (VALUES ('acon96-v2'), ('allenporter-msg')) f(format)
         WHERE doc_id % 2 = 0 OR f.format = 'allenporter-msg'""",
+    "build_versions": """
+        SELECT v.version, v.format, doc_id AS example_index,
+               CASE WHEN doc_id * 10 < total * 8 THEN 'train' WHEN doc_id * 10 < total * 9 THEN 'valid' ELSE 'test' END AS split,
+               '<|im_start|>user' || chr(10) || v.question || '<|im_end|>' || chr(10)
+               || '<|im_start|>assistant' || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS text,
+               2 AS built_second
+        FROM (SELECT *, count(*) OVER () AS total FROM documents)
+        CROSS JOIN (VALUES ('old', 'allenporter-msg', '?'), ('new', 'allenporter-msg', '!')) v(version, format, question)""",
+    "content_digest": """
+        WITH hashed AS (
+          SELECT source, md5(CAST(to_json({'doc_id': doc_id, 'source': source, 'lang': lang, 'text': text}) AS VARCHAR)) AS h
+          FROM documents),
+        sums AS (
+          SELECT source, count(*) AS rows, sum(CAST('0x' || h[1:16] AS UBIGINT)::HUGEINT) % 18446744073709551616 AS a,
+                 sum(CAST('0x' || h[17:32] AS UBIGINT)::HUGEINT) % 18446744073709551616 AS b
+          FROM hashed GROUP BY source)
+        SELECT source, rows || '-' || format('{:016x}', a::UBIGINT) || format('{:016x}', b::UBIGINT) AS digest, rows FROM sums""",
     "pending_builds": _SOURCES
     + """SELECT dataset_id,
                 sha256(dataset_id)[1:12] || '_' || sha256('chatml')[1:12] || '_'
