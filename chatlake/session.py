@@ -65,6 +65,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def _width(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         return F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, T.BinaryType):
+        return F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        each = F.transform(value, lambda v: _width(v, kind.elementType).cast("long"))
+        return F.lit(_FIELD_BYTES) + F.coalesce(F.aggregate(each, F.lit(0).cast("long"), lambda a, b: a + b), F.lit(0))
     if isinstance(kind, T.StructType):
         return reduce(Column.__add__, [_width(value.getField(f.name), f.dataType) for f in kind.fields], F.lit(_FIELD_BYTES))
     return F.lit(_FIELD_BYTES)

@@ -78,6 +78,11 @@ def test_lookup_is_broadcast_only_when_small(spark):
     assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
 
 
+def test_arrays_and_binary_count_in_the_estimate(spark):
+    rows = spark.createDataFrame([([(1, "ab"), (2, None)], bytearray(5), None)], "a array<struct<x:int,t:string>>, b binary, c array<long>")
+    assert session.estimated_bytes(rows) == 32 + (8 + 2 * (8 + 8) + 2) + 5 + 8
+
+
 def test_staging_needs_a_shared_folder(spark, monkeypatch):
     class Context:
         master = "spark://host:7077"
