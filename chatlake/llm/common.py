@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatlake.session import staged_path
+
 # Code points that separate words, as a character class for Java regular expressions.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\f\r"
@@ -32,6 +35,22 @@ def remove_tree(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back."""
+    path = staged_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, *done: DataFrame) -> None:
+    """Delete staged tables that are read no more, and let Spark delete the files of shuffles that
+    nothing refers to, which it does when the driver collects garbage."""
+    for path in {f.rsplit("/", 1)[0] for df in done for f in df.inputFiles()}:
+        remove_tree(spark, path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def runs(sizes: list[int], budget: int) -> Iterator[tuple[int, int]]:
     """Consecutive index ranges whose sizes add up to ``budget`` at most, one item at least."""
     start, total = 0, 0

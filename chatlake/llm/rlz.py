@@ -1,20 +1,25 @@
 """Substring deduplication by relative Lempel-Ziv parsing.
 
-Every document is parsed against the documents with smaller ids. A factor is a longest run
-of words copied from one place there; factors shorter than WINDOW words are literals. The
-index of the references has one entry per window of WINDOW words, with its first document
-and place. To index only text that can occur twice, each window is represented by its
-anchor, the run of ANCHOR words in it with the least hash: equal windows have equal anchors,
-so windows whose anchor stands in one document only cannot be copied and are never sent.
-Greedy parsing walks the matched windows of a document: while source and place go on by
-one word the factor grows, else a new one starts. A window across the boundary of two
-factors counts only if the index has it too, so removal follows the windows exactly.
-
-Words are runs of bytes other than space and the five control characters behind tab. A
-window is known by a 64-bit sum of word hashes times odd constants. Documents with the same
+Every document is parsed against the blocks of the documents with smaller ids. A block is a run of
+words whose windows of WINDOW words stand nowhere before, so each window is indexed once, with
+its first document and place. Parsing is greedy: where the window at a word is indexed, the factor
+is the longest run of words that goes on inside that block, and the next factor starts at the first
+window beyond it; words outside all factors are literals. Neighbouring factors may overlap
+by less than a window: a window across their boundary counts just if the index has it, so removal
+follows the windows exactly.
+
+To index only text that can occur twice, each window is represented by its anchor, the run of ANCHOR
+words in it with the least hash: equal windows have equal anchors, so windows whose anchor stands
+in one document only cannot be copied and are never sent.
+
+Words are runs of bytes other than space and the five control characters behind tab. A window is
+known by 96 bits of two sums of word hashes times odd constants. Documents with the same
 text as one with a smaller id are wholly copied if they have a window at all; they are set
 apart first, so large groups of copies are neither indexed nor compared.
 
+What one step leaves for the next is written, and the files of finished steps go before the next
+one begins: at most one shuffle of texts and those of the windows are on disk at a time.
+
 Null and empty texts have no words, and texts under WINDOW words lose none. Repeated rows
 with one id and text are one document to each other and lose nothing by that. A text without
 an id, and every text of an id that has several, is a document behind all that have an id,
@@ -34,16 +39,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm.common import text_of
-from chatlake.session import lookup, staged_path
+from chatlake.llm.common import release, staged, text_of
+from chatlake.session import lookup
 
 WINDOW = 13
 ANCHOR = 4
 # Keys from here on stand for texts without an id of their own.
 APART = 1 << 62
+FACTORS = "factors array<struct<start:int,words:int,source:long,source_start:int>>"
+_FACTOR = pa.struct([("start", pa.int32()), ("words", pa.int32()), ("source", pa.int64()), ("source_start", pa.int32())])
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _ODD = np.random.default_rng(20250101).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# Constants of the second hash of a window start here.
+_CHECK = 32
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -87,17 +96,17 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFr
     base = docs.select(F.col(id_col).cast("long").alias("own_id"), text_of(text_col).alias("text"), *more)
     hashed = base.where("own_id is not null").select(F.col("own_id").alias("again"), F.xxhash64("text").alias("h"))
     several = hashed.groupBy("again").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high")
-    several = lookup(_staged(several.select("again"), docs.sparkSession, "ids-of-several-texts"))
+    several = lookup(staged(several.select("again"), "ids-of-several-texts"))
     apart = F.xxhash64("text").bitwiseAND(F.lit(APART - 1)).bitwiseOR(F.lit(APART))
     key = F.when(F.col("own_id").isNull() | F.col("again").isNotNull(), apart).otherwise(F.col("own_id"))
     return base.join(several, F.col("own_id") == F.col("again"), "left").withColumn("id", key).drop("again")
 
 
 def copies(texts: DataFrame) -> DataFrame:
-    """``id`` of every document that has the text of one with a smaller id."""
+    """``id`` of every document that has the text of one with a smaller id, and ``copy_of``, the least of these."""
     hashed = texts.select("id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g"))
     first = hashed.groupBy("h", "g").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    return hashed.join(first.select("h", "g", "first"), ["h", "g"]).where("id > first").select("id").distinct()
+    return hashed.join(first.select("h", "g", "first"), ["h", "g"]).where("id > first").select("id", F.col("first").alias("copy_of")).distinct()
 
 
 def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,42 +141,63 @@ def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             grams, place = _anchors(words)
             shared = known[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
             at = np.flatnonzero(np.isin(grams[place], shared))
-            yield pa.RecordBatch.from_arrays(
-                [_signed(_grams(words, WINDOW)[at]), pa.array(np.full(len(at), key, np.int64)), pa.array(at.astype(np.int32))],
-                ["w", "id", "at"],
-            )
+            whole, check = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
+            for k in range(WINDOW):
+                word = words[at + k]
+                whole += word * _ODD[k]
+                check += word * _ODD[_CHECK + k]
+            spot = (at.astype(np.uint64) << np.uint64(32)) | (_mixed(check) >> np.uint64(32))
+            yield pa.RecordBatch.from_arrays([_signed(_mixed(whole)), pa.array(np.full(len(at), key, np.int64)), _signed(spot)], ["w", "id", "spot"])
+
+
+def _shared_anchors(texts: DataFrame, copied: DataFrame) -> DataFrame:
+    """``id`` and ``anchors``: those that stand in another document too. Copies are left out."""
+    anchors = texts.join(lookup(copied), "id", "left_anti").mapInArrow(_emit_anchors, "id long, anchor long")
+    found = anchors.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    # both sides of the join are plain exchanges, so an anchor in very many documents is split
+    found = staged(found.select("anchor"), "shared-anchors")
+    release(texts.sparkSession)
+    lists = staged(anchors.join(found, "anchor", "left_semi").groupBy("id").agg(F.collect_list("anchor").alias("anchors")), "anchor-lists")
+    release(texts.sparkSession, found)
+    return lists
+
 
+def _windows(texts: DataFrame, lists: DataFrame) -> DataFrame:
+    """``w``, ``id`` and ``spot`` (place, and a second hash in the low half) of windows with a shared anchor."""
+    made = staged(texts.join(lists, "id").select("id", "text", "anchors").mapInArrow(_emit_windows, "w long, id long, spot long"), "windows")
+    release(texts.sparkSession, lists)
+    return made.select("w", F.col("spot").bitwiseAND((1 << 32) - 1).alias("check"), "id", F.shiftright("spot", 32).cast("int").alias("at"))
 
-def _staged(df: DataFrame, spark: SparkSession, label: str) -> DataFrame:
-    path = staged_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = batch.column(1)
+        bounds = found.offsets.to_numpy()
+        at, source, there = (found.values.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
+        pieces = [factors(at[a:b], source[a:b], there[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([list(map(tuple, p.tolist())) for p in pieces], pa.list_(_FACTOR))], ["id", "factors"])
 
 
 def matches(texts: DataFrame) -> DataFrame:
-    """``id``, ``copy`` (whether the whole text is a copy) and ``found``: the windows of a document
-    that start in one with a smaller id, as structs of place, source and place there."""
+    """``id``, ``copy_of`` (the first document with the whole text, if it is a copy) and the ``factors``
+    of a document, as structs of start, words, source and start there."""
     spark = texts.sparkSession
-    copied = _staged(copies(texts), spark, "copies")
-    own = texts.join(lookup(copied), "id", "left_anti")
-    anchors = own.mapInArrow(_emit_anchors, "id long, anchor long")
-    shared = anchors.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    # both sides of the join are plain exchanges, so an anchor in very many documents is split
-    shared = _staged(shared.select("anchor"), spark, "shared-anchors")
-    indexed = _staged(anchors.join(shared, "anchor", "left_semi"), spark, "indexed-anchors")
-    lists = indexed.groupBy("id").agg(F.collect_list("anchor").alias("anchors"))
-    windows = texts.join(lists, "id").select("id", "text", "anchors").mapInArrow(_emit_windows, "w long, id long, at int")
-    first = windows.groupBy("w").agg(F.min("id").alias("source"), F.min_by("at", "id").alias("source_at"), F.max("id").alias("last"))
+    copied = staged(copies(texts), "copies")
+    windows = _windows(texts, _shared_anchors(texts, copied))
+    first = windows.groupBy("w", "check").agg(F.min("id").alias("source"), F.min_by("at", "id").alias("source_at"), F.max("id").alias("last"))
     # joined by another key than they were grouped by: again two plain exchanges
     turned = F.bitwise_not("w").alias("v")
-    first = first.where("source < last").select(turned, "source", "source_at")
-    found = windows.select(turned, "id", "at").join(first, "v").where("id > source")
+    first = first.where("source < last").select(turned, "check", "source", "source_at")
+    found = windows.select(turned, "check", "id", "at").join(first, ["v", "check"]).where("id > source")
     found = found.groupBy("id").agg(F.collect_list(F.struct("at", "source", "source_at")).alias("found"))
-    return found.join(copied.withColumn("copy", F.lit(True)), "id", "full").select("id", F.coalesce("copy", F.lit(False)).alias("copy"), "found")
+    parsed = staged(found.mapInArrow(_parse, f"id long, {FACTORS}"), "factors")
+    release(spark, windows)
+    return parsed.join(copied, "id", "full").select("id", "copy_of", "factors")
 
 
 def factors(at: np.ndarray, source: np.ndarray, there: np.ndarray) -> np.ndarray:
-    """Greedy factors, as rows of start, words, source and start there, from matched windows."""
+    """Greedy factors, as rows of start, words, source and start there, from the indexed windows of a
+    document: each goes on while the next word continues the same block."""
     at, first = np.unique(at, return_index=True)
     if not len(at):
         return np.zeros((0, 4), np.int64)
@@ -179,51 +209,49 @@ def factors(at: np.ndarray, source: np.ndarray, there: np.ndarray) -> np.ndarray
     return np.stack([at[begin], words, source[begin], there[begin]], axis=1)
 
 
-def covered(n: int, pieces: np.ndarray, copy: bool) -> np.ndarray:
+def covered(n: int, pieces: list[dict]) -> np.ndarray:
     """Which of ``n`` words go."""
     mask = np.zeros(n, bool)
-    if copy and n >= WINDOW:
-        mask[:] = True
-    for start, words in pieces[:, :2].tolist():
-        mask[start : start + words] = True
+    for piece in pieces:
+        mask[piece["start"] : piece["start"] + piece["words"]] = True
     return mask
 
 
-def _parsed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    texts = _texts(docs, id_col, text_col)
-    return texts.join(matches(texts.select("id", "text")), "id", "left")
+def _parsed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    texts = _texts(docs, id_col, text_col, *more)
+    return texts.join(lookup(matches(texts.select("id", "text"))), "id", "left")
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
-    """Text, factors and mask of the words that go, for each row of id, text, copy, found."""
-    texts, copy, found = batch.column(1), batch.column(2).to_pylist(), batch.column(3)
-    bounds = found.offsets.to_numpy()
-    at, source, there = (found.values.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[dict], np.ndarray]]:
+    """Text, factors and mask of the words that go, for each row of id, text, copy_of, factors."""
+    texts, copy = batch.column(1), batch.column(2).to_pylist()
     for i in range(batch.num_rows):
-        own = slice(bounds[i], bounds[i + 1])
         text = texts[i].as_buffer().to_pybytes()
-        pieces = factors(at[own], source[own], there[own])
-        yield text, pieces, covered(len(text.split()), pieces, bool(copy[i]))
+        n = len(text.split())
+        pieces = batch.column(3)[i].as_py() or []
+        if copy[i] is not None:
+            pieces = [{"start": 0, "words": n, "source": copy[i], "source_start": 0}] if n >= WINDOW else []
+        yield text, pieces, covered(n, pieces)
 
 
 def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, n_words, n_removed, kept_sha256 and the ``factors`` as structs of
-    start, words, source and source_start (none for a whole copy)."""
+    start, words, source and source_start. Sources without an id of their own have a number from
+    2^62 on."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: tuple[list, ...] = ([], [], [], [])
             for text, pieces, mask in _rows(batch):
                 kept = b" ".join([w for w, gone in zip(text.split(), mask.tolist()) if not gone])
-                row = len(mask), int(mask.sum()), hashlib.sha256(kept).hexdigest(), list(map(tuple, pieces.tolist()))
+                row = len(mask), int(mask.sum()), hashlib.sha256(kept).hexdigest(), pieces
                 for column, value in zip(columns, row):
                     column.append(value)
-            arrays = [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.list_(piece))))]
+            arrays = [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.list_(_FACTOR))))]
             yield pa.RecordBatch.from_arrays(arrays, [id_col, "n_words", "n_removed", "kept_sha256", "factors"])
 
-    piece = pa.struct([("start", pa.int32()), ("words", pa.int32()), ("source", pa.int64()), ("source_start", pa.int32())])
-    ddl = f"`{id_col}` long, n_words long, n_removed long, kept_sha256 string, factors array<struct<start:int,words:int,source:long,source_start:int>>"
-    return _parsed(docs, id_col, text_col).select("own_id", "text", "copy", "found").mapInArrow(work, ddl)
+    ddl = f"`{id_col}` long, n_words long, n_removed long, kept_sha256 string, {FACTORS}"
+    return _parsed(docs, id_col, text_col).select("own_id", "text", "copy_of", "factors").mapInArrow(work, ddl)
 
 
 def cut(text: bytes, mask: np.ndarray) -> bytes:
@@ -260,10 +288,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     names = docs.columns
     kept = F.struct(*[F.col(f"`{c}`") for c in names if c != text_col], F.col(text_col).isNull().alias("__null"))
-    texts = _texts(docs, id_col, text_col, kept.alias("__row"))
-    found = matches(texts.select("id", "text"))
-    row = texts.schema["__row"].dataType
-    joined = texts.join(found, "id", "left").select("id", "text", "copy", "found", "__row")
+    joined = _parsed(docs, id_col, text_col, kept.alias("__row")).select("id", "text", "copy_of", "factors", "__row")
+    row = joined.schema["__row"].dataType
     done = joined.mapInArrow(work, f"__cut string, __stays boolean, __row {row.simpleString()}").where("__stays")
     new = F.when(~F.col("__row.__null"), F.col("__cut"))
     columns = [new.alias(c) if c == text_col else F.length("__cut").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"__row.`{c}`").alias(c) for c in names]

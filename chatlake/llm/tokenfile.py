@@ -11,8 +11,9 @@ whole tasks only: each line is one frame and the line separator is an empty skip
 frame, which the sizes in the seek table include. Behind the seek table stands one
 separator more.
 
-Null texts count as empty. An empty text still has the end id. Documents are in
-ascending order of id, a null id first, equal ids in order of text. No documents
+Null texts count as empty. An empty text still has the end id. The names of special tokens inside a
+text are taken for these tokens, as the library does unless told otherwise. Documents are in
+ascending order of id, a null id first, equal ids in order of the hash of their text. No documents
 give no data frames. Only the id and text columns are read.
 """
 
@@ -51,6 +52,8 @@ SEPARATOR = struct.pack("<II", SKIPPABLE_EMPTY, 0)
 
 # Marks that may combine with an ASCII letter before the tokenizer takes letters to lower case.
 _COMBINING = re.compile("[\u0300-\u036f]")
+# Special tokens of such vocabularies begin with this; texts that have it are encoded whole.
+_SPECIAL = "<|"
 _PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -93,14 +96,19 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        self.words = Words(tokenizer)
+        self.tokenizer = Tokenizer.from_file(path)
+        if any(not t.content.startswith(_SPECIAL) for t in self.tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("an added token of this vocabulary could stand in words that are encoded apart")
+        self.words = Words(self.tokenizer)
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         end, get = struct.pack("<I", end_id), self.words.__getitem__
         out = []
         for text in texts:
+            if _SPECIAL in text:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                out.append(struct.pack(f"<{len(ids)}I", *ids) + end)
+                continue
             data = text.encode()
             if not _COMBINING.search(text):
                 data = data.lower()  # ASCII letters only
@@ -175,7 +183,8 @@ def write(docs: DataFrame, tokenizer_path: str, out: str, end_id: int, id_col: s
         for row in _file_rows(documents()):
             yield pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], ["frame"])
 
-    ordered = texts.repartitionByRange(files, "id", "text").sortWithinPartitions("id", "text")
+    # the sample of the ranges holds hashes, not texts
+    ordered = texts.withColumn("h", F.xxhash64("text")).repartitionByRange(files, "id", "h").sortWithinPartitions("id", "h", "text").drop("h")
     (
         ordered.mapInArrow(work, "frame binary")
         .select(F.col("frame").cast("string").alias("value"))

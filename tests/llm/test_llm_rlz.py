@@ -73,14 +73,40 @@ def test_planted_passages(spark):
 def test_factors_are_copies(spark):
     rows = planted(random.Random(19))
     texts = {k: words(t) for k, t in rows}
-    n = 0
+    n = copied = 0
     for r in rlz.removal(frame(spark, rows)).collect():
         for f in r["factors"]:
             n += 1
+            copied += f["words"] == len(texts[r["doc_id"]])
             assert f["words"] >= rlz.WINDOW and f["source"] < r["doc_id"]
             own = texts[r["doc_id"]][f["start"] : f["start"] + f["words"]]
             assert own == texts[f["source"]][f["source_start"] : f["source_start"] + f["words"]]
-    assert n > 50
+    assert n > 50 and copied >= 40
+
+
+def test_no_factor_can_go_on_in_its_block(spark):
+    """The window behind a factor is not the next one of the block, nor the one before."""
+    rows = planted(random.Random(22))
+    texts = {k: words(t) for k, t in rows}
+    first = {}
+    for k in sorted(texts):
+        for i in range(len(texts[k]) - rlz.WINDOW + 1):
+            first.setdefault(tuple(texts[k][i : i + rlz.WINDOW]), (k, i))
+    for r in rlz.removal(frame(spark, rows)).collect():
+        own = texts[r["doc_id"]]
+
+        def block(i):
+            return first.get(tuple(own[i : i + rlz.WINDOW])) if 0 <= i <= len(own) - rlz.WINDOW else None
+
+        for f in r["factors"]:
+            if f["words"] == len(own):
+                continue
+            for i in (f["start"] - 1, f["start"] + f["words"] - rlz.WINDOW + 1):
+                found = block(i)
+                source = texts[f["source"]]
+                there = f["source_start"] + i - f["start"]
+                inside = 0 <= there and source[there : there + rlz.WINDOW] == own[i : i + rlz.WINDOW]
+                assert not (found and inside and found == (f["source"], there))
 
 
 def test_odd_documents_and_clashing_names(spark):

@@ -7,6 +7,7 @@ import zlib
 
 import public_tokenizers
 import pytest
+import xxhash
 import zstandard
 from tokenizers import Tokenizer
 
@@ -19,9 +20,15 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    own = Tokenizer.from_file(PATH)
-    own.encode_special_tokens = True
-    return own
+    return Tokenizer.from_file(PATH)
+
+
+SPECIAL = ["<|endoftext|>", "a<|endoftext|>b <|startoftext|>", "<|ENDOFTEXT|> <|end", "x <| endoftext|>", "<<|endoftext|>>\n<|endoftext|><|endoftext|>", "pipe | less < more"]
+
+
+def hash_of(text):
+    h = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
 
 
 def ids_of(tokenizer, text):
@@ -30,7 +37,8 @@ def ids_of(tokenizer, text):
 
 
 def test_files_hold_all_documents_in_order(spark, tokenizer, tmp_path):
-    rows = sorted(((r[0], r[1]) for r in odd_rows(random.Random(2))), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    rows = [(r[0], r[1]) for r in odd_rows(random.Random(2))] + [(i, t) for i, t in enumerate(SPECIAL, 500)]
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hash_of(r[1])))
     out = str(tmp_path / "files")
     tokenfile.write(with_clashes(frame(spark, rows)), PATH, out, end_id=1)
     want = [ids_of(tokenizer, t) for _, t in rows]
@@ -55,6 +63,13 @@ def test_only_the_frame_asked_for_is_opened_and_damage_is_found():
         file.document(int(list(file.frames).index(1)))
 
 
+def test_names_of_special_tokens_in_texts(tokenizer):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices([*SPECIAL, " ", "word", "İ", "e\u0301", "'s", "<", "|", ">"], k=rng.randrange(1, 12))) for _ in range(2000)]
+    assert tokenfile.encoder(PATH).encode(texts, 1) == [ids_of(tokenizer, t) for t in texts]
+    assert 49407 in tokenizer.encode("<|endoftext|>", add_special_tokens=False).ids
+
+
 def test_empty_table(spark, tmp_path):
     out = str(tmp_path / "none")
     tokenfile.write(frame(spark, []), PATH, out, end_id=1)
