@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,12 +44,16 @@ from chatlake.session import checkpointed, estimated_bytes, staged_path
 # The code points that Unicode calls white space.
 _WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CUT = re.compile(f"(?<=[^{_WHITE}]) (?=[\\s\\S])")
+# Blanks behind other white space; texts without them are cut at every blank.
+_RUNS = [chr(c) + " " for c in [*range(9, 14), 32, 133, 160, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]]
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 # The mark of sentencepiece for a blank.
 _BLANK = "\u2581"
 
 PIECE_CHARS = 1 << 19
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
+# Words of letters below this are one piece of A's first step, so its model alone encodes them.
+_LATIN = "\u0250"
 COUNT_AT_ONCE = 1 << 22
 # Counts are broadcast up to this size.
 COUNTS_BYTES = 64 << 20
@@ -72,14 +77,22 @@ class ByteLevel:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         of = _byte_characters()
+        self.written = {b: c for c, b in of.items()}
         vocabulary = self.tokenizer.get_vocab()
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes[i] = bytes(map(of.__getitem__, token)) if all(c in of for c in token) else token.encode()
 
-    def encode(self, unit: str) -> list[int]:
-        """Ids of a unit behind its blank."""
-        return self.tokenizer.encode(" " + unit, add_special_tokens=False).ids
+    def encode(self, units: list[str]) -> list[list[int]]:
+        """Ids of units, each behind its blank."""
+        model, written, out = self.tokenizer.model, self.written, []
+        for unit in units:
+            if unit.isalpha() and max(unit) < _LATIN:
+                whole = (" " + unit).encode().decode("latin-1").translate(written)
+                out.append([t.id for t in model.tokenize(whole)])
+            else:
+                out.append(self.tokenizer.encode(" " + unit, add_special_tokens=False).ids)
+        return out
 
 
 class Pieces:
@@ -94,25 +107,41 @@ class Pieces:
         if any(_BLANK in p.lstrip(_BLANK) for p in pieces):
             raise ValueError("pieces of this model go across blanks, so its texts cannot be encoded in units")
 
-    def encode(self, unit: str) -> list[int]:
-        return self.model.encode(unit)
+    def encode(self, units: list[str]) -> list[list[int]]:
+        return self.model.encode(units, num_threads=1)
 
 
-class _Units(dict):
-    """Ids of both sides for a unit, packed; a full memory is emptied."""
+class Units(dict):
+    """Ids of both sides for a unit, packed, or None where they do not give its bytes; in two
+    generations, of which the older one goes when the newer is full."""
 
     def __init__(self, a: ByteLevel, b: Pieces) -> None:
         self.a, self.b = a, b
+        self.older: dict[str, tuple[bytes, bytes] | None] = {}
 
-    def __missing__(self, unit: str) -> tuple[bytes, bytes] | None:
-        whole = b" " + unit.encode()
-        found = [side.encode(unit) for side in (self.a, self.b)]
-        same = all(b"".join(map(side.bytes.__getitem__, ids)) == whole for side, ids in zip((self.a, self.b), found))
-        packed = tuple(np.array(ids, "<u4").tobytes() for ids in found) if same else None
-        if len(self) >= REMEMBERED:
+    def learn(self, units: set[str]) -> None:
+        """Encode the units that are not known."""
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        self[unit] = packed
-        return packed
+        older, new = self.older, []
+        for unit in units.difference(self):
+            if unit in older:
+                self[unit] = older[unit]
+            else:
+                new.append(unit)
+        bytes_a, bytes_b = self.a.bytes, self.b.bytes
+        for unit, ids_a, ids_b in zip(new, self.a.encode(new), self.b.encode(new) if new else []):
+            whole = b" " + unit.encode()
+            same = b"".join([bytes_a[i] for i in ids_a]) == whole and b"".join([bytes_b[i] for i in ids_b]) == whole
+            self[unit] = (array("I", ids_a).tobytes(), array("I", ids_b).tobytes()) if same else None
+
+
+def _cut(text: str) -> list[str]:
+    """The units of a text without the blank before each."""
+    if text[:1] == " " or text[-1:] == " " or any(run in text for run in _RUNS):
+        return _CUT.split(text)
+    return text.split(" ")
 
 
 def _pieces(text: str) -> Iterator[list[str]]:
@@ -121,7 +150,7 @@ def _pieces(text: str) -> Iterator[list[str]]:
     while at <= len(text):
         cut = _CUT.search(text, at + PIECE_CHARS) if len(text) - at > PIECE_CHARS else None
         end = cut.start() if cut else len(text)
-        yield _CUT.split(text[at:end])
+        yield _cut(text[at:end])
         at = end + 1
 
 
@@ -130,7 +159,7 @@ class Aligner:
 
     def __init__(self, a_path: str, b_path: str) -> None:
         a, b = ByteLevel(a_path), Pieces(b_path)
-        self.units = _Units(a, b)
+        self.units = Units(a, b)
         self.lengths = [np.array(list(map(len, side.bytes)), np.int64) for side in (a, b)]
         self.n_b = len(b.bytes)
         # how ids are written: the last token of A in a group ends with |, that of B with ;
@@ -147,12 +176,20 @@ class Aligner:
         starts = [frame["start"].to_numpy() for frame in (one, two)]
         return b_of_a, a_of_b, starts[0] == starts[1][b_of_a], starts[1] == starts[0][a_of_b]
 
-    def batch(self, units: list[list[str]]) -> list[tuple[int, int, int, bytes, bytes]]:
-        """Per list of units, none of them unknown: number of tokens of A and B and of groups, groups as
-        text with a semicolon behind each, links as packed numbers."""
-        packed = [list(zip(*map(self.units.__getitem__, own))) for own in units]
-        a, b = (np.frombuffer(b"".join([x for own in packed for x in own[side]]), "<u4").astype(np.int64) for side in (0, 1))
-        sizes = [np.cumsum([0, *[sum(map(len, own[side])) // 4 for own in packed]]) for side in (0, 1)]
+    def packed(self, texts: list[list[str]]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of both sides for texts given as units; None where a unit does not give its bytes."""
+        self.units.learn(set().union(*texts))
+        out = []
+        for units in texts:
+            found = list(map(self.units.__getitem__, units))
+            out.append(None if None in found else (b"".join([f[0] for f in found]), b"".join([f[1] for f in found])))
+        return out
+
+    def batch(self, packed: list[tuple[bytes, bytes]]) -> list[tuple[int, int, int, bytes, bytes]]:
+        """Per text, as packed ids of both sides: number of tokens of A and B and of groups, groups
+        as text with a semicolon behind each, links as packed numbers."""
+        a, b = (np.frombuffer(b"".join([own[side] for own in packed]), "<u4").astype(np.int64) for side in (0, 1))
+        sizes = [np.cumsum([0, *[len(own[side]) // 4 for own in packed]]) for side in (0, 1)]
         b_of_a, a_of_b, new_a, new_b = self.align(a, b)
         group_a, group_b = np.cumsum(new_a) - 1, np.cumsum(new_b) - 1
         per_a, per_b = np.bincount(group_a), np.bincount(group_b)
@@ -167,7 +204,7 @@ class Aligner:
         links = a * self.n_b + b[b_of_a], a[a_of_b[more]] * self.n_b + b[more]
         cuts = np.searchsorted(more, sizes[1])
         out = []
-        for i in range(len(units)):
+        for i in range(len(packed)):
             (la, ra), (lb, rb) = (s[i : i + 2] for s in sizes)
             own = np.concatenate([links[0][la:ra], links[1][cuts[i] : cuts[i + 1]]]).astype("<u8")
             groups = int(group_a[ra - 1] - group_a[la] + 1)
@@ -187,26 +224,22 @@ def aligner(a_path: str, b_path: str) -> Aligner:
 def align_texts(own: Aligner, texts: list[str]) -> Iterator[tuple[int, int, int, int, str, bytes]]:
     """n_a, n_b, n_groups, n_links, groups_sha256 and packed links of each text."""
     nothing = 0, 0, 0, 0, "", b""
-    short: list[list[str] | None] = []
-    for text in texts:
-        if text and len(text) <= PIECE_CHARS:
-            units = _CUT.split(text)
-            short.append(units if all(map(own.units.__getitem__, units)) else None)
-        else:
-            short.append(None)
-    found = iter(own.batch([u for u in short if u is not None])) if any(short) else iter(())
-    for text, units in zip(texts, short):
-        if units is not None:
+    short = [i for i, text in enumerate(texts) if 0 < len(text) <= PIECE_CHARS]
+    packed = dict(zip(short, own.packed([_cut(texts[i]) for i in short])))
+    known = [p for p in packed.values() if p is not None]
+    found = iter(own.batch(known) if known else [])
+    for i, text in enumerate(texts):
+        if packed.get(i) is not None:
             n_a, n_b, groups, written, links = next(found)
             yield n_a, n_b, groups, len(links) // 8, hashlib.sha256(written[:-1]).hexdigest(), links
-        elif len(text) > PIECE_CHARS and all(all(map(own.units.__getitem__, piece)) for piece in _pieces(text)):
-            digest, sums, packed = hashlib.sha256(), [0, 0, 0], []
+        elif len(text) > PIECE_CHARS and all(own.packed([piece])[0] is not None for piece in _pieces(text)):
+            digest, sums, parts = hashlib.sha256(), [0, 0, 0], []
             for piece in _pieces(text):
-                n_a, n_b, groups, written, links = own.batch([piece])[0]
-                digest.update(b";" * bool(packed) + written[:-1])
-                packed.append(links)
+                n_a, n_b, groups, written, links = own.batch(own.packed([piece]))[0]
+                digest.update(b";" * bool(parts) + written[:-1])
+                parts.append(links)
                 sums = [x + y for x, y in zip(sums, (n_a, n_b, groups))]
-            links = b"".join(packed)
+            links = b"".join(parts)
             yield *sums, len(links) // 8, digest.hexdigest(), links
         else:
             yield nothing
