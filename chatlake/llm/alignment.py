@@ -51,7 +51,7 @@ _BYTE = re.compile("<0x([0-9A-F]{2})>")
 _BLANK = "\u2581"
 
 PIECE_CHARS = 1 << 19
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
 # Words of letters below this are one piece of A's first step, so its model alone encodes them.
 _LATIN = "\u0250"
 COUNT_AT_ONCE = 1 << 22
