@@ -4,8 +4,8 @@ Every document gets counts of words, symbols and repetitions. Four transformed s
 of the documents that pass the base rules are judged per language and source against a
 minimum-covariance-determinant estimate: centre and covariance of the h documents that lie
 closest together, found by concentration steps from two starts (mean and covariance of all;
-medians and quartiles), of which the smaller determinant wins. A document is rejected if
-its squared Mahalanobis distance is over CUTOFF.
+medians and quartiles), of which the smaller determinant wins. Steps go on until the determinant
+grows no smaller. A document is rejected if its squared Mahalanobis distance is over CUTOFF.
 
 All work is DataFrame functions. Groups are never brought together: each step sends sums
 and counted bins of distances, so a source with a third of all rows costs no more than
@@ -17,7 +17,8 @@ Languages and sources with fewer than MIN_ROWS documents are pooled by language,
 over all together; a pool that is still smaller rejects nothing beyond the base rules.
 Null languages and sources are values of their own. A null or empty text has no words and
 fails the base rules. Equal texts of one group get equal verdicts; repeated rows count
-each. An empty table gives no rows. Further columns pass through; where one is named like a
+each. An empty table gives no rows. The windows of a text are an array in its row, of some 40 bytes
+a word, so a row needs memory in proportion to its text. Further columns pass through; where one is named like a
 column of the result, the result's stands in its place.
 """
 
@@ -28,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatlake.llm.common import SPACE_CLASS, SPACES, text_of
+from chatlake.llm.common import SPACE_CLASS, SPACES, staged, text_of
 from chatlake.session import checkpointed, lookup
 
 MIN_WORDS = 50
@@ -40,8 +41,11 @@ MIN_ROWS = 60
 SUBSET = 0.5
 # The 0.9999 quantile of chi-square with four degrees of freedom.
 CUTOFF = 23.51
-MAX_STEPS = 12
 BINS_PER_E = 64
+# Bins per unit in which quartiles are counted.
+QUARTILE_BINS = 256
+# A step counts as smaller from this share of the log determinant on.
+SETTLED = 1e-9
 AXES = ["__x0", "__x1", "__x2", "__x3"]
 # Least standard deviation per statistic: log of the mean word length, log of 1 + symbols per
 # 100 characters, log of 1 + repeated words per 20 words, log of 1 + repeated lines. The cutoff
@@ -164,12 +168,18 @@ def _estimates(rows: DataFrame) -> DataFrame:
 
 
 def _quartile_start(rows: DataFrame) -> DataFrame:
-    quartiles = [F.percentile_approx(a, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000)).alias(f"q{i}") for i, a in enumerate(AXES)]
-    found = rows.groupBy("stratum").agg(*quartiles)
-    columns = {f"m{i}": F.col(f"q{i}")[1] for i in range(len(AXES))}
+    """Centre and factor from quartiles, read off counted bins, so that they do not depend on how rows are divided."""
+    bins = [F.struct(F.lit(i).alias("axis"), F.floor(F.col(a) * QUARTILE_BINS).alias("bin")) for i, a in enumerate(AXES)]
+    counts = rows.select("stratum", F.explode(F.array(*bins)).alias("b")).groupBy("stratum", "b.axis", "b.bin").agg(F.count("*").alias("n"))
+    whole = Window.partitionBy("stratum", "axis")
+    upto = counts.withColumns({"upto": F.sum("n").over(whole.orderBy("bin")), "all": F.sum("n").over(whole)})
+    middle = (F.col("bin") + 0.5) / QUARTILE_BINS
+    quartile = {(i, k): F.min(F.when((F.col("axis") == i) & (F.col("upto") >= F.ceil(F.col("all") * k / 4)), middle)).alias(f"q{i}{k}") for i in range(len(AXES)) for k in (1, 2, 3)}
+    found = upto.groupBy("stratum").agg(*quartile.values())
+    columns = {f"m{i}": F.col(f"q{i}2") for i in range(len(AXES))}
     for i in range(len(AXES)):
         for j in range(i + 1):
-            spread = (F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349
+            spread = (F.col(f"q{i}3") - F.col(f"q{i}1")) / 1.349
             columns[f"s{i}{j}"] = spread * spread + FLOORS[i] ** 2 if i == j else F.lit(0.0)
     return _with_cholesky(found.select("stratum", F.lit(1).alias("start"), *[c.alias(n) for n, c in columns.items()]))
 
@@ -196,19 +206,25 @@ def fit(rows: DataFrame) -> DataFrame:
     total = rows.groupBy("stratum").agg(F.count("*").alias("rows"))
     total = checkpointed(total.where(F.col("rows") >= MIN_ROWS))
     params = checkpointed(_estimates(rows.withColumn("start", F.lit(0))).unionByName(_quartile_start(rows)).join(total, "stratum"))
-    before: float | None = None
-    for _ in range(MAX_STEPS):
+    settled, first = None, True
+    while not params.isEmpty():
         near = rows.join(lookup(params), "stratum").withColumn("bin", F.floor(F.log(_distance() + 1e-9) * BINS_PER_E))
         counts = near.groupBy("stratum", "start", "rows", "bin").agg(F.count("*").alias("n"))
         along = Window.partitionBy("stratum", "start").orderBy("bin")
         reached = counts.withColumn("upto", F.sum("n").over(along)).where(F.col("upto") >= F.ceil(F.col("rows") * SUBSET))
         edge = checkpointed(reached.groupBy("stratum", "start").agg(F.min("bin").alias("edge")))
         inner = near.join(lookup(edge), ["stratum", "start"]).where("bin <= edge")
-        params = checkpointed(_estimates(inner.select("stratum", "start", *AXES)).join(total, "stratum"))
-        now = params.agg(F.sum("log_det")).first()[0]
-        if now is None or before is not None and abs(now - before) < 1e-9 * max(1.0, abs(now)):
-            break
-        before = now
+        new = _estimates(inner.select("stratum", "start", *AXES)).join(total, "stratum")
+        if first:  # the starts are no estimates of a subset
+            params, first = checkpointed(new), False
+            continue
+        old = params.select("stratum", "start", F.col("log_det").alias("__old"))
+        smaller = F.col("log_det") < F.col("__old") - SETTLED * F.greatest(F.lit(1.0), F.abs("__old"))
+        better = checkpointed(new.join(lookup(old), ["stratum", "start"]).where(smaller).drop("__old"))
+        done = params.join(lookup(better.select("stratum", "start")), ["stratum", "start"], "left_anti")
+        settled = done if settled is None else settled.unionByName(done)
+        params = better
+    params = params if settled is None else settled
     best = params.groupBy("stratum").agg(F.min_by(F.struct("*"), F.struct("log_det", "start")).alias("b"))
     return checkpointed(best.select("b.*").drop("start", "rows"))
 
@@ -240,9 +256,8 @@ class Rules:
 
 
 def passing(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns. The counts are made twice, once
-    for the estimates and once beside the text, so the texts are not shuffled."""
+    """The rows of ``docs`` that pass, with their own columns. The counts are written beside the
+    rows, so texts are read once and not shuffled; the estimates read only the counts."""
     packed = docs.select("lang", "source", F.col(text_col).alias("text"), F.struct("*").alias("__document"))
-    counted = with_statistics(packed)
-    slim = checkpointed(counted.select("lang", "source", *STATISTICS, "base_failed"))
-    return Rules(slim).judge(counted).where("kept").select("__document.*")
+    counted = staged(with_statistics(packed).drop("text"), "counted")
+    return Rules(counted.drop("__document")).judge(counted).where("kept").select("__document.*")

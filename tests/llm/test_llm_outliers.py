@@ -46,14 +46,19 @@ def distances(x, centre, covariance):
 def estimate(x):
     """Concentration steps from both starts; the smaller determinant wins."""
     h = math.ceil(len(x) * outliers.SUBSET)
-    q = np.quantile(x, [0.25, 0.5, 0.75], axis=0, method="inverted_cdf")
+    q = (np.quantile(np.floor(x * outliers.QUARTILE_BINS), [0.25, 0.5, 0.75], axis=0, method="inverted_cdf") + 0.5) / outliers.QUARTILE_BINS
     starts = [moments(x), (q[1], np.diag(((q[2] - q[0]) / 1.349) ** 2 + np.square(outliers.FLOORS)))]
     best = []
     for centre, covariance in starts:
-        for _ in range(outliers.MAX_STEPS):
+        least = math.inf
+        while True:
             bins = np.floor(np.log(distances(x, centre, covariance) + 1e-9) * outliers.BINS_PER_E)
-            centre, covariance = moments(x[bins <= np.sort(bins)[h - 1]])
-        best.append((np.linalg.slogdet(covariance)[1], centre, covariance))
+            new = moments(x[bins <= np.sort(bins)[h - 1]])
+            size = np.linalg.slogdet(new[1])[1]
+            if least < math.inf and not size < least - outliers.SETTLED * max(1, abs(least)):
+                break
+            least, (centre, covariance) = size, new
+        best.append((least, centre, covariance))
     return min(best, key=lambda b: b[0])[1:]
 
 
