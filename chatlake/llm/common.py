@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,8 +48,11 @@ def release(spark: SparkSession, *done: DataFrame) -> None:
     nothing refers to, which it does when the driver collects garbage."""
     for path in {f.rsplit("/", 1)[0] for df in done for f in df.inputFiles()}:
         remove_tree(spark, path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    # Python's references are dropped with the next call into the JVM, whose cleaner works beside
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def runs(sizes: list[int], budget: int) -> Iterator[tuple[int, int]]:
