@@ -50,11 +50,11 @@ _BYTE = re.compile("<0x([0-9A-F]{2})>")
 # The mark of sentencepiece for a blank.
 _BLANK = "\u2581"
 
-PIECE_CHARS = 1 << 19
+PIECE_CHARS = 1 << 18
 REMEMBERED = 1 << 17
 # Words of letters below this are one piece of A's first step, so its model alone encodes them.
 _LATIN = "\u0250"
-COUNT_AT_ONCE = 1 << 22
+COUNT_AT_ONCE = 1 << 20
 # Counts are broadcast up to this size.
 COUNTS_BYTES = 64 << 20
 DIGEST = ["n_a", "n_b", "n_groups", "n_links"]
@@ -154,6 +154,11 @@ def _pieces(text: str) -> Iterator[list[str]]:
         at = end + 1
 
 
+def link_kind(n_a: int, n_b: int) -> str:
+    """How links are packed: little-endian, in as many bytes as the vocabularies need."""
+    return "<u4" if n_a * n_b < 1 << 32 else "<u8"
+
+
 class Aligner:
     """Both tokenizers and what is needed to align tokens of a batch."""
 
@@ -162,6 +167,7 @@ class Aligner:
         self.units = Units(a, b)
         self.lengths = [np.array(list(map(len, side.bytes)), np.int64) for side in (a, b)]
         self.n_b = len(b.bytes)
+        self.kind = link_kind(len(a.bytes), self.n_b)
         # how ids are written: the last token of A in a group ends with |, that of B with ;
         self.written = np.array([b"%d%s" % (i, end) for i in range(len(a.bytes)) for end in (b",", b"|")] + [b"%d%s" % (i, end) for i in range(self.n_b) for end in (b",", b";")], object)
         self.b_written = 2 * len(a.bytes)
@@ -206,7 +212,7 @@ class Aligner:
         out = []
         for i in range(len(packed)):
             (la, ra), (lb, rb) = (s[i : i + 2] for s in sizes)
-            own = np.concatenate([links[0][la:ra], links[1][cuts[i] : cuts[i + 1]]]).astype("<u8")
+            own = np.concatenate([links[0][la:ra], links[1][cuts[i] : cuts[i + 1]]]).astype(self.kind)
             groups = int(group_a[ra - 1] - group_a[la] + 1)
             out.append((int(ra - la), int(rb - lb), groups, b"".join(words[la + lb : ra + rb].tolist()), own.tobytes()))
         return out
@@ -223,7 +229,7 @@ def aligner(a_path: str, b_path: str) -> Aligner:
 
 def align_texts(own: Aligner, texts: list[str]) -> Iterator[tuple[int, int, int, int, str, bytes]]:
     """n_a, n_b, n_groups, n_links, groups_sha256 and packed links of each text."""
-    nothing = 0, 0, 0, 0, "", b""
+    nothing, width = (0, 0, 0, 0, "", b""), int(own.kind[2])
     short = [i for i, text in enumerate(texts) if 0 < len(text) <= PIECE_CHARS]
     packed = dict(zip(short, own.packed([_cut(texts[i]) for i in short])))
     known = [p for p in packed.values() if p is not None]
@@ -231,7 +237,7 @@ def align_texts(own: Aligner, texts: list[str]) -> Iterator[tuple[int, int, int,
     for i, text in enumerate(texts):
         if packed.get(i) is not None:
             n_a, n_b, groups, written, links = next(found)
-            yield n_a, n_b, groups, len(links) // 8, hashlib.sha256(written[:-1]).hexdigest(), links
+            yield n_a, n_b, groups, len(links) // width, hashlib.sha256(written[:-1]).hexdigest(), links
         elif len(text) > PIECE_CHARS and all(own.packed([piece])[0] is not None for piece in _pieces(text)):
             digest, sums, parts = hashlib.sha256(), [0, 0, 0], []
             for piece in _pieces(text):
@@ -240,14 +246,14 @@ def align_texts(own: Aligner, texts: list[str]) -> Iterator[tuple[int, int, int,
                 parts.append(links)
                 sums = [x + y for x, y in zip(sums, (n_a, n_b, groups))]
             links = b"".join(parts)
-            yield *sums, len(links) // 8, digest.hexdigest(), links
+            yield *sums, len(links) // width, digest.hexdigest(), links
         else:
             yield nothing
 
 
 def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, n_a, n_b, n_groups, n_links, groups_sha256 and ``links``: numbers a * size of B's
-    vocabulary + b as little-endian unsigned 64-bit integers, one for each two tokens that overlap."""
+    vocabulary + b, packed as ``link_kind`` says, one for each two tokens that overlap."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(a_path, b_path)
@@ -264,30 +270,34 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
     return docs.select(id_col, text_of(text_col).alias("text")).mapInArrow(work, ddl)
 
 
-def _link_lists(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
-    """All links of a batch and how many each row has."""
-    packed = batch.column(column)
-    sizes = pc.binary_length(packed).to_numpy(zero_copy_only=False) // 8
-    return np.frombuffer(b"".join(packed.to_pylist()), "<u8").astype(np.int64), sizes.astype(np.int64)
+def _link_lists(batch: pa.RecordBatch, kind: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """A bounded number of rows at a time (one at least): the rows, all their links, how many each has.
+    The links are the last column."""
+    width = int(kind[2])
+    sizes = pc.binary_length(batch.columns[-1]).to_pylist()
+    for start, end in runs(sizes, width * COUNT_AT_ONCE):
+        part = batch.slice(start, end - start)
+        links = np.frombuffer(b"".join(part.columns[-1].to_pylist()), kind)
+        yield part, links, np.array(sizes[start:end], np.int64) // width
 
 
-def pair_counts(rows: DataFrame, n_b: int) -> DataFrame:
+def pair_counts(rows: DataFrame, n_b: int, kind: str) -> DataFrame:
     """``pair``, ``n`` (links with these two ids in all rows) and ``best`` (whether no pair with the same
     token of B has more)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
             pairs, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n.astype(np.int64))], ["pair", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(pairs.astype(np.int64)), pa.array(n.astype(np.int64))], ["pair", "n"])
 
         held, size = [], 0
         for batch in batches:
-            links, _ = _link_lists(batch, 0)
-            held.append(links)
-            size += len(links)
-            if size >= COUNT_AT_ONCE:
-                yield out()
-                held, size = [], 0
+            for _, links, _ in _link_lists(batch, kind):
+                held.append(links)
+                size += len(links)
+                if size >= COUNT_AT_ONCE:
+                    yield out()
+                    held, size = [], 0
         if size:
             yield out()
 
@@ -297,34 +307,32 @@ def pair_counts(rows: DataFrame, n_b: int) -> DataFrame:
     return checkpointed(joined.select("pair", "n", (F.col("n") == F.col("most")).alias("best")))
 
 
-def _by_broadcast(rows: DataFrame, counts: DataFrame) -> DataFrame:
+def _by_broadcast(rows: DataFrame, counts: DataFrame, kind: str) -> DataFrame:
     known = counts.orderBy("pair").toArrow()
     table = rows.sparkSession.sparkContext.broadcast(
-        (known["pair"].to_numpy().copy(), known["n"].to_numpy().copy(), known["best"].to_numpy().copy())
+        (known["pair"].to_numpy().astype(kind), known["n"].to_numpy().copy(), known["best"].to_numpy().copy())
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, n, best = table.value
         for batch in batches:
-            for start, end in runs(pc.binary_length(batch.column(1)).to_pylist(), 8 * COUNT_AT_ONCE):
-                part = batch.slice(start, end - start)
-                links, sizes = _link_lists(part, 1)
+            for part, links, sizes in _link_lists(batch, kind):
                 at = np.searchsorted(pairs, links)
                 after = np.cumsum(sizes)
-                sums = [np.concatenate([[0], np.cumsum(x[at])]) for x in (best.astype(np.int64), n)]
+                sums = [np.concatenate([[0], np.cumsum(x[at], dtype=np.int64)]) for x in (best, n)]
                 arrays = [part.column(0), *[pa.array(s[after] - s[after - sizes]) for s in sums]]
                 yield pa.RecordBatch.from_arrays(arrays, ["row", "n_best", "count_sum"])
 
     return rows.select("row", "links").mapInArrow(work, "row long, n_best long, count_sum long")
 
 
-def _by_join(rows: DataFrame, counts: DataFrame) -> DataFrame:
+def _by_join(rows: DataFrame, counts: DataFrame, kind: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows_of, links = batch.column(0).to_numpy(), batch.column(1)
             for i in range(batch.num_rows):
-                pairs, n = np.unique(np.frombuffer(links[i].as_buffer(), "<u8").astype(np.int64), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.repeat(rows_of[i], len(pairs)), pa.array(pairs), pa.array(n.astype(np.int64))], ["row", "pair", "times"])
+                pairs, n = np.unique(np.frombuffer(links[i].as_buffer(), kind), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.repeat(rows_of[i], len(pairs)), pa.array(pairs.astype(np.int64)), pa.array(n.astype(np.int64))], ["row", "pair", "times"])
 
     each = rows.select("row", "links").mapInArrow(work, "row long, pair long, times long")
     joined = each.join(counts, "pair")
@@ -343,9 +351,11 @@ def alignment(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id",
     found = aligned(docs, a_path, b_path, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     found.write.option("compression", "zstd").parquet(path)
     rows = spark.read.parquet(path)
-    counts = pair_counts(rows, len(Pieces(b_path).bytes))
+    n_a, n_b = len(ByteLevel(a_path).bytes), len(Pieces(b_path).bytes)
+    kind = link_kind(n_a, n_b)
+    counts = pair_counts(rows, n_b, kind)
     small = estimated_bytes(counts) <= counts_bytes
-    sums = checkpointed((_by_broadcast if small else _by_join)(rows, counts))
+    sums = checkpointed((_by_broadcast if small else _by_join)(rows, counts, kind))
     digest = checkpointed(rows.drop("links"))
     remove_tree(spark, path)
     return digest.join(sums, "row").select(id_col, *DIGEST, "n_best", "count_sum", "groups_sha256")

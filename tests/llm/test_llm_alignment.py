@@ -120,9 +120,10 @@ def test_very_long_text_is_aligned_in_pieces(sides):
 
 
 def test_ties_count_as_best(spark):
-    rows = spark.createDataFrame([(bytearray(alignment.np.array([7, 7, 17, 17, 3], "<u8").tobytes()),)], "links binary")
-    found = {r["pair"]: (r["n"], r["best"]) for r in alignment.pair_counts(rows, 10).collect()}
-    assert found == {7: (2, True), 17: (2, True), 3: (1, True)}
+    for kind in ("<u4", "<u8"):
+        rows = spark.createDataFrame([(bytearray(alignment.np.array(own, kind).tobytes()),) for own in ([7, 7, 17], [], [17, 3])], "links binary")
+        found = {r["pair"]: (r["n"], r["best"]) for r in alignment.pair_counts(rows, 10, kind).collect()}
+        assert found == {7: (2, True), 17: (2, True), 3: (1, True)}
 
 
 def test_query(spark, sides, sf_dir):

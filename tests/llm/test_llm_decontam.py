@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import regex
 
@@ -16,55 +17,79 @@ NUMBER = regex.compile(r"[0-9]")
 def templates(text):
     spaced = regex.sub(r"[\x20\x09-\x0D]+", " ", text or "")
     marked = regex.sub(r"(?<=[^ .!?:] )(?=\p{Lu}\p{Ll})", MARK, spaced)
-    plain = regex.sub(rf"[^\p{{L}}\p{{N}} {MARK}.,]|(?<![0-9])[.,]|[.,](?![0-9])", "", marked.lower())
-    values = [w for w in plain.split(" ") if w]
-    out = []
-    for i, v in enumerate(values):
-        if NUMBER.match(v):
-            out.append("<number>")
-        elif v.startswith(MARK):
-            out.append("<name>")
-        elif v in decontam.UNITS and i and NUMBER.match(values[i - 1]):
-            out.append("<unit>")
-        else:
-            out.append(v)
+    plain = regex.sub(rf"[^\p{{L}}\p{{N}} {MARK}.,/]|(?<![0-9])[.,/]|[.,/](?![0-9])", "", marked.lower())
+    values, out = [], []
+    for w in plain.split(" "):
+        # letters behind digits are words of their own
+        for k, v in enumerate(x for x in regex.split(r"(?<=[0-9])(?=\p{L})", w) if x):
+            before = values[-1] if values else ""
+            if NUMBER.match(v):
+                out.append("<number>")
+            elif v.startswith(MARK):
+                out.append("<name>")
+            elif k or v in decontam.UNITS and NUMBER.match(before):
+                out.append("<unit>")
+            else:
+                out.append(v)
+            values.append(v)
     return values, out
 
 
 def windows(text, n):
+    """Place, key and values in slots of all windows of n words."""
     values, template = templates(text)
+    if n < decontam.LITERALS and len(values) != n:
+        return
     for i in range(len(values) - n + 1):
         slots = [v for v, t in zip(values[i : i + n], template[i : i + n]) if v != t]
-        yield i, tuple(template[i : i + n]), slots
+        few = n - len(slots) < decontam.LITERALS
+        yield i, (n, few, tuple(values[i : i + n] if few else template[i : i + n])), slots
 
 
-def expected(docs, items):
-    """(doc, item, windows, found, changed) of all leaks."""
-    known = []
+def classes(items):
+    """Items of one form: length of windows, least id, ids, windows of the first, values of all."""
+    found = {}
     for key, text in items:
-        size = len(templates(text)[0])
-        if size < decontam.LITERALS:
+        values, template = templates(text)
+        if not values:
             continue
-        n = min(size, decontam.WINDOW)
-        own = [w for w in windows(text, n) if n - len(w[2]) >= decontam.LITERALS]
-        if own:
-            known.append((key, n, own))
+        n = min(len(values), decontam.WINDOW)
+        own = list(windows(text, n))
+        slots = [v for v, t in zip(values, template) if v != t]
+        form = tuple(w[1] for w in own), tuple(map(slots.index, slots))
+        entry = found.setdefault(form, (n, set(), own, {}))
+        entry[1].add(key)
+        for at, _, s in own:
+            entry[3].setdefault(at, set()).add(tuple(s))
+    return found.values()
+
+
+def expected(docs, items):
+    """(doc, least item, items, windows, found, changed) of all leaks."""
     out = set()
-    for doc, text in docs:
-        for key, n, own in known:
+    for n, keys, own, values in classes(items):
+        telling = sum(not w[1][1] for w in own)
+        for doc, text in docs:
             here = {}
             for i, t, slots in windows(text, n):
                 here.setdefault(t, []).append((i, slots))
             lines = {}
             for at, t, slots in own:
-                for i, values in here.get(t, []):
-                    line = lines.setdefault(i - at, (set(), set()))
-                    line[0].add(at)
-                    line[1].update(zip(slots, values))
-            held = [(places, pairs) for places, pairs in lines.values() if len(pairs) == len({p[0] for p in pairs})]
-            found = set().union(*[places for places, _ in held])
-            if found and len(found) >= min(decontam.RUN - decontam.WINDOW + 1, math.ceil(len(own) * decontam.SHARE)):
-                out.add((doc, key, len(own), len(found), any(a != b for _, pairs in held for a, b in pairs)))
+                for i, met in here.get(t, []):
+                    lines.setdefault(i - at, []).append((at, list(zip(slots, met)), tuple(met) in values[at]))
+            found, changed = set(), False
+            for line in lines.values():
+                votes = Counter(p for _, pairs, _ in line for p in pairs)
+                won = {}
+                for (a, b), c in votes.items():
+                    won[a] = max(won.get(a, (0, False, "")), (c, a == b, b))
+                for at, pairs, exact in line:
+                    if exact or all(won[a][2] == b for a, b in pairs):
+                        found.add(at)
+                        changed |= not exact
+            if found and len(found) >= min(decontam.RUN - decontam.WINDOW + 1, math.ceil((telling or len(own)) * decontam.SHARE)):
+                known = [k for k in keys if k is not None]
+                out.add((doc, min(known) if known else None, len(keys), len(own), len(found), changed))
     return sorted(out, key=repr)
 
 
@@ -89,14 +114,21 @@ def test_planted_questions(spark):
         (14, prose(rng, 200)),
         (15, around(" ".join(QUESTION.split()[:10]))),
         (16, around("so what is it")),
+        (17, around("a train of 3/4 leaves nothing behind")),
+        (18, around(QUESTION.replace("reach", "Clara reaches"))),
+        (19, " 5, 7! "),
+        (20, around("5 7")),
     ]
     got = decontam.leaks(frame(spark, docs), items_of(spark, items))
-    assert got.columns == ["doc_id", "item_id", "n_windows", "n_found", "reparameterised"]
+    assert got.columns == ["doc_id", "item_id", "n_items", "n_windows", "n_found", "reparameterised"]
     found = sorted(map(tuple, got.collect()), key=repr)
     assert found == expected(docs, items)
-    pairs = {(r[0], r[1]): r[4] for r in found}
+    pairs = {(r[0], r[1]): r[5] for r in found}
     assert pairs[10, 1] is False and pairs[12, 1] is True and (16, 3) in pairs
-    assert not {13, 14, 15} & {d for d, _ in pairs}
+    # one value that contradicts the others costs its own windows only
+    assert (13, 2) in pairs and (18, 1) in pairs
+    assert not {14, 15, 17} & {d for d, _ in pairs}
+    assert (19, 6) in pairs and (20, 6) not in pairs
     stay = decontam.without_leaks(with_clashes(frame(spark, docs)), items_of(spark, items))
     assert sorted(r["doc_id"] for r in stay.collect()) == [d for d, _ in docs if d not in {p[0] for p in pairs}]
 
@@ -115,6 +147,31 @@ def test_odd_documents_and_items(spark):
     assert decontam.leaks(frame(spark, []), items_of(spark, items)).count() == 0
 
 
+def test_numbers_with_units_and_fractions(spark):
+    assert templates("5kg of 3/4 cup, 1,000.5 km") == (["5", "kg", "of", "3/4", "cup", "1,000.5", "km"], ["<number>", "<unit>", "of", "<number>", "cup", "<number>", "<unit>"])
+    row = decontam.words(frame(spark, [(1, "5kg of 3/4 cup, 1,000.5 km in Berlin 7 Jahre")]), "doc_id", "text").first()
+    assert (row["values"], row["template"]) == templates("5kg of 3/4 cup, 1,000.5 km in Berlin 7 Jahre")
+    items = [(1, "wer 5kg Mehl mit 3/4 Liter Wasser mischt braucht wie viele Minuten")]
+    docs = [(1, items[0][1]), (2, items[0][1].replace("5kg", "12 lb").replace("3/4", "2")), (3, items[0][1].replace("Minuten", "tage"))]
+    got = {r["doc_id"]: r["reparameterised"] for r in decontam.leaks(frame(spark, docs), items_of(spark, items)).collect()}
+    assert got == {1: False, 2: True, 3: False}
+
+
+def test_items_of_one_template_are_one_class(spark):
+    form = "how many of the {} apples are left when {} takes {} of them and gives back {} to the tree".format
+    rng = random.Random(31)
+    items = [(i, form(rng.randrange(10, 99), rng.choice(["Anna", "Peter"]), 5, 7)) for i in range(60)] + [(99, form(4, "Otto", 4, 4))]
+    docs = [(i, f"{prose(rng, 20)} x {form(100 + i, 'Maria', 50, 70)} {prose(rng, 20)}") for i in range(20)]
+    docs += [(50, f"{prose(rng, 9)} {items[3][1]}"), (51, f"{prose(rng, 9)} {form(8, 'Uwe', 8, 8)}")]
+    found = sorted(map(tuple, decontam.leaks(frame(spark, docs), items_of(spark, items)).collect()), key=repr)
+    assert found == expected(docs, items)
+    of = {}
+    for doc, item, n, *_, changed in found:
+        of.setdefault(doc, {})[item] = n, changed
+    assert all(of[i] == {0: (60, True)} for i in range(20))
+    assert of[50][0] == (60, False) and of[51][99] == (1, True)
+
+
 def test_query(spark, sf_dir):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
