@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatlake.llm.common import SPACE_CLASS, SPACES, staged, text_of
-from chatlake.session import checkpointed, lookup
+from chatlake.session import BROADCAST_LIMIT_BYTES, checkpointed, estimated_bytes, lookup
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -205,28 +205,31 @@ def fit(rows: DataFrame) -> DataFrame:
     """Best estimate per stratum from ``rows`` (``stratum`` and AXES); few rows result."""
     total = rows.groupBy("stratum").agg(F.count("*").alias("rows"))
     total = checkpointed(total.where(F.col("rows") >= MIN_ROWS))
-    params = checkpointed(_estimates(rows.withColumn("start", F.lit(0))).unionByName(_quartile_start(rows)).join(total, "stratum"))
-    settled, first = None, True
-    while not params.isEmpty():
-        near = rows.join(lookup(params), "stratum").withColumn("bin", F.floor(F.log(_distance() + 1e-9) * BINS_PER_E))
-        counts = near.groupBy("stratum", "start", "rows", "bin").agg(F.count("*").alias("n"))
-        along = Window.partitionBy("stratum", "start").orderBy("bin")
+    starts = _estimates(rows.withColumn("start", F.lit(0))).unionByName(_quartile_start(rows)).join(total, "stratum")
+    params = checkpointed(starts.withColumn("moving", F.lit(True)))
+    keys = ["stratum", "start"]
+    values = [c for c in params.columns if c not in (*keys, "rows", "moving")]
+    # all frames joined below are as many rows or fewer, and as wide
+    hint = F.broadcast if estimated_bytes(params) <= BROADCAST_LIMIT_BYTES else lambda frame: frame
+    first = moving = not params.isEmpty()
+    while moving:
+        near = rows.join(hint(params.where("moving")), "stratum").withColumn("bin", F.floor(F.log(_distance() + 1e-9) * BINS_PER_E))
+        counts = near.groupBy(*keys, "rows", "bin").agg(F.count("*").alias("n"))
+        along = Window.partitionBy(*keys).orderBy("bin")
         reached = counts.withColumn("upto", F.sum("n").over(along)).where(F.col("upto") >= F.ceil(F.col("rows") * SUBSET))
-        edge = checkpointed(reached.groupBy("stratum", "start").agg(F.min("bin").alias("edge")))
-        inner = near.join(lookup(edge), ["stratum", "start"]).where("bin <= edge")
-        new = _estimates(inner.select("stratum", "start", *AXES)).join(total, "stratum")
-        if first:  # the starts are no estimates of a subset
-            params, first = checkpointed(new), False
-            continue
-        old = params.select("stratum", "start", F.col("log_det").alias("__old"))
-        smaller = F.col("log_det") < F.col("__old") - SETTLED * F.greatest(F.lit(1.0), F.abs("__old"))
-        better = checkpointed(new.join(lookup(old), ["stratum", "start"]).where(smaller).drop("__old"))
-        done = params.join(lookup(better.select("stratum", "start")), ["stratum", "start"], "left_anti")
-        settled = done if settled is None else settled.unionByName(done)
-        params = better
-    params = params if settled is None else settled
+        edge = checkpointed(reached.groupBy(*keys).agg(F.min("bin").alias("edge")))
+        inner = near.join(hint(edge), keys).where("bin <= edge")
+        new = _estimates(inner.select(*keys, *AXES)).select(*keys, F.struct(*values).alias("new"))
+        least = F.col("log_det") - SETTLED * F.greatest(F.lit(1.0), F.abs("log_det"))
+        # the starts are no estimates of a subset, so the first step always counts
+        taken = F.lit(True) if first else F.col("new.log_det") < least
+        taken = F.coalesce(F.col("moving") & F.col("new").isNotNull() & taken, F.lit(False))
+        joined = params.join(hint(new), keys, "left").withColumn("taken", taken)
+        kept = [F.when(F.col("taken"), F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in values]
+        params = checkpointed(joined.select(*keys, "rows", *kept, F.col("taken").alias("moving")))
+        first, moving = False, params.agg(F.max("moving")).first()[0]
     best = params.groupBy("stratum").agg(F.min_by(F.struct("*"), F.struct("log_det", "start")).alias("b"))
-    return checkpointed(best.select("b.*").drop("start", "rows"))
+    return checkpointed(best.select("b.*").drop("start", "rows", "moving"))
 
 
 class Rules:
