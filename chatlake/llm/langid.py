@@ -7,10 +7,13 @@ estimate is c * log2(N) / n bits per character, and the language with the least
 
 The automaton is completed to a table of transitions in which a character that cannot go on
 leads to the state after that character from the start, marked as the beginning of a phrase.
-So a parse is one look-up per character and language, done for many texts side by side. Texts
-are parsed in stretches of STRETCH characters, which end a phrase; whole texts are read.
+So a parse is one look-up per character and language, done for many stretches of STRETCH
+characters side by side. A stretch that does not begin a text is parsed once more from the state
+in which the one before it ended, until no such state changes: the phrases are those of the
+text parsed as a whole.
 
-Letters are taken to lower case, everything else counts as one blank between words.
+Texts are composed (NFC), letters taken to lower case, marks kept with their letter; everything else
+counts as one blank between words.
 Every letter of the samples is told apart; one that is in no sample of a language is a phrase of
 its own there. The most frequent letters have a dense table, the transitions by others are found
 by their key in a sorted list; this is layout and does not change a parse. ``und`` with score 0
@@ -51,16 +54,30 @@ _BEGIN = np.int32(-(1 << 31))
 
 
 def _letter_table() -> np.ndarray:
-    """Code point of the lower-case form of every letter, a blank for everything else."""
+    """Code point of the lower-case form of every letter, that of every mark, a blank for everything else."""
     lower = np.full(0x110000, 0x20, np.uint32)
     for cp in range(0x110000):
         char = chr(cp)
-        if unicodedata.category(char)[0] == "L":
+        kind = unicodedata.category(char)[0]
+        if kind == "L":
             small = char.lower()
             lower[cp] = ord(small[0])
+        elif kind == "M":
+            lower[cp] = cp
     return lower
 
 
+def _codes(text: str) -> np.ndarray:
+    """Code points of the composed text."""
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text)
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def has_letter(text: str) -> bool:
+    return any(unicodedata.category(c)[0] == "L" for c in text)
+
+
 _letters: list[np.ndarray] = []
 
 
@@ -72,7 +89,7 @@ def letters() -> np.ndarray:
 
 def _plain(text: str) -> str:
     """The text in lower-case letters with single blanks."""
-    codes = letters()[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+    codes = letters()[_codes(text)]
     keep = (codes != 0x20) | np.append(True, codes[:-1] != 0x20)
     return codes[keep].astype("<u4").tobytes().decode("utf-32-le")
 
@@ -177,7 +194,7 @@ class Model:
         rows, owners = [], []
         lengths = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            s = of[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+            s = of[_codes(text)]
             keep = np.ones(len(s), bool)
             keep[1:] = (s[1:] != BLANK) | (s[:-1] != BLANK)
             s = s[keep]
@@ -194,23 +211,42 @@ class Model:
         for column, r in enumerate(order.tolist()):
             grid[: sizes[r], column] = rows[r]
         alive = np.searchsorted(-sizes[order], -np.arange(1, len(grid) + 1), side="right")
-        state = np.repeat(np.array(self.starts, np.int32)[:, None], len(rows), axis=1)
-        begun = np.zeros((len(self.names), len(rows)), np.int32)
+        entered = np.repeat(np.array(self.starts, np.int32)[:, None], len(rows), axis=1)
+        left, begun = self._parse(grid, alive, entered)
+        # columns of the stretches that go on from another, and of those before them
+        column = np.argsort(order)
+        later = np.flatnonzero(np.diff(owners) == 0) + 1
+        after, before = column[later], column[later - 1]
+        while len(after):
+            changed = np.flatnonzero((left[:, before] != entered[:, after]).any(axis=0))
+            if not len(changed):
+                break
+            redo = after[changed]
+            entered[:, redo] = left[:, before[changed]]
+            redo = np.sort(redo)
+            longest = int(sizes[order[redo[0]]])
+            now = np.searchsorted(redo, alive[:longest])
+            left[:, redo], begun[:, redo] = self._parse(grid[:longest, redo], now, entered[:, redo])
+        np.add.at(total, np.array(owners)[order], begun.T)
+        return total, lengths
+
+    def _parse(self, grid: np.ndarray, alive: np.ndarray, entered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Last states, and phrases begun, of stretches in the columns of ``grid``, longest first: ``alive``
+        columns have a symbol at each step."""
+        state, begun = entered.copy(), np.zeros(entered.shape, np.int32)
         for step in range(len(grid)):
             n = int(alive[step])
             to = self._next(state[:, :n], grid[step, :n])
             begun[:, :n] += to < 0
             state[:, :n] = to & np.int32(0x7FFFFFFF)
-        np.add.at(total, np.array(owners)[order], begun.T)
-        return total, lengths
+        return state, begun
 
     def predict(self, texts: list[str], of: np.ndarray) -> tuple[list[str], list[float]]:
         phrases, lengths = self.phrases(texts, of)
         names, scores = [], []
-        lower = letters()
         estimates = phrases * np.array(self.bits)
         for i, text in enumerate(texts):
-            if not self.names or not lengths[i] or not (lower[np.frombuffer(text.encode("utf-32-le"), np.uint32)] != 0x20).any():
+            if not self.names or not lengths[i] or not has_letter(text):
                 names.append(UNDECIDED)
                 scores.append(0.0)
                 continue

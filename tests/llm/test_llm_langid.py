@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
@@ -33,12 +34,26 @@ def test_automaton_counts_longest_phrases():
     assert lengths.tolist() == [len(t) for t in texts]
 
 
-def test_long_texts_are_parsed_in_stretches():
-    model = langid.Model({"p": "abcabc", "q": "xyz"})
-    text = "abc" * 2000
-    whole = model.phrases([text], model.symbols())[0][0]
-    pieces = [text[a : a + langid.STRETCH] for a in range(0, len(text), langid.STRETCH)]
-    assert whole.tolist() == np.sum([[phrases("abcabc", s), phrases("xyz", s)] for s in pieces], axis=0).tolist()
+@pytest.mark.parametrize("stretch", [1, 3, 50, langid.STRETCH])
+def test_long_texts_are_parsed_as_a_whole(monkeypatch, stretch):
+    monkeypatch.setattr(langid, "STRETCH", stretch)
+    rng = random.Random(10)
+    samples = {"p": "abcabc" * 5, "q": "xyz", "r": " ".join("".join(rng.choice("abc") for _ in range(300)).split())}
+    texts = ["abc" * 2000, "", "a", "".join(rng.choice("abcxyz") for _ in range(3000)), "ab" * 75, "cab" * 17]
+    model = langid.Model(samples)
+    got = model.phrases(texts, model.symbols())[0]
+    assert got.tolist() == [[phrases(samples[k], t) if t else 0 for k in sorted(samples)] for t in texts]
+
+
+def test_marks_stay_with_their_letters(spark):
+    hindi, split = "हिन्दी भाषा में लिखा", "re\u0301sume\u0301 de\u0301compose\u0301"
+    assert langid._plain(hindi) == hindi and langid._plain(split) == "résumé décomposé"
+    assert langid._plain("ÉTÉ 1 a\u0327b") == "été a\u0327b"
+    rows = [(i, hindi, "hi", "s") for i in range(3)] + [(10 + i, split, "fr", "s") for i in range(3)]
+    model = langid.learn(frame(spark, rows), F.lit(True))
+    texts = [(1, "भाषा में"), (2, "décomposé"), (3, "\u0301\u0301 12"), (4, "de\u0301compose\u0301")]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame(spark, texts), model).collect()}
+    assert got == {1: "hi", 2: "fr", 3: "und", 4: "fr"}
 
 
 def test_odd_documents(spark):
