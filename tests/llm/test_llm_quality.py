@@ -1,6 +1,8 @@
 """Quality scores: gradients, held-out ranking, odd inputs."""
 
+import math
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -18,6 +20,51 @@ def test_passages_are_whole():
     assert not quality_mil.encode(b"").any()
 
 
+def test_buckets_are_shares_of_words_and_byte_runs():
+    rows = quality_mil.encode(b"a b a c")
+    own = rows[0, quality_mil._COUNTS : quality_mil._COUNTS + quality_mil.BUCKETS]
+    assert own[zlib.crc32(b"a") % quality_mil.BUCKETS] == np.float32(0.5**0.5) and np.isclose((own**2).sum(), 1)
+    runs = rows[0, quality_mil._COUNTS + quality_mil.BUCKETS :]
+    assert np.isclose((runs**2).sum(), 1) and (runs > 0).sum() > 2
+    assert quality_mil.encode(b"a").shape == quality_mil.encode(b"ab").shape == (1, quality_mil.WIDTH)
+
+
+def test_forward_pass_and_gradient():
+    rng = np.random.default_rng(3)
+    x, starts, labels = rng.normal(0, 1, (9, quality_mil.WIDTH)), np.array([0, 1, 4]), np.array([1.0, 0.0, 0.3])
+    model = quality_mil.Model()
+    for v in model.p.values():
+        v += rng.normal(0, 0.3, v.shape)
+
+    def plain():
+        out = []
+        for a, b in ((0, 1), (1, 4), (4, 9)):
+            codes, weights = [], []
+            for row in x[a:b]:
+                h = np.tanh(row @ model.p["E"] + model.p["e"])
+                codes.append(h)
+                weights.append(math.exp(sum(model.p["w"] * np.tanh(h @ model.p["V"]) / (1 + np.exp(-h @ model.p["U"])))))
+            z = sum(w * h for w, h in zip(weights, codes)) / sum(weights)
+            out.append(1 / (1 + math.exp(-(z @ model.p["o"] + model.p["b"][0]))))
+        return np.array(out)
+
+    def loss():
+        y = plain()
+        return -np.mean(labels * np.log(y) + (1 - labels) * np.log(1 - y))
+
+    assert np.allclose(model._forward(x, starts)[-1], plain())
+    grad = model._gradient(x, starts, labels)
+    for name, v in model.p.items():
+        for i in rng.choice(v.size, min(6, v.size), replace=False).tolist():
+            before = v.flat[i]
+            v.flat[i] = before + 1e-5
+            up = loss()
+            v.flat[i] = before - 1e-5
+            down = loss()
+            v.flat[i] = before
+            assert math.isclose((up - down) / 2e-5, grad[name].flat[i], rel_tol=1e-4, abs_tol=1e-8), name
+
+
 def test_fit_lowers_the_loss_by_attention():
     rng = np.random.default_rng(1)
     bags, labels = [], []
