@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +20,9 @@ Generate = Callable[..., str]
 
 
 REPLY = "struct<text:string,error:string>"
+COMMITTED = "example_index long, predicted_text string, generation_error string"
+# Prompts whose replies are stored together, and the most such parts of one run.
+PROMPTS_PER_COMMIT, MOST_COMMITS = 100_000, 1000
 
 
 def predict(
@@ -62,3 +67,54 @@ def predict(
         .withColumns({"predicted_text": F.col("_reply.text"), "generation_error": F.col("_reply.error")})
         .drop("_reply")
     )
+
+
+def read_predictions(spark: SparkSession, output: str) -> DataFrame:
+    """Replies stored by ``generate``: ``example_index``, ``predicted_text`` (null if every attempt
+    failed), ``generation_error`` (of a failed one, if all are) and ``attempts``. Where several writers
+    made a reply, that of the least text counts."""
+    try:
+        stored = spark.read.schema(COMMITTED).parquet(f"{output}/part_*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = spark.createDataFrame([], COMMITTED)
+    reply = F.min("predicted_text")
+    return stored.groupBy("example_index").agg(
+        reply.alias("predicted_text"),
+        F.when(reply.isNull(), F.min("generation_error")).alias("generation_error"),
+        F.count("*").alias("attempts"),
+    )
+
+
+def generate(
+    examples: DataFrame,
+    load_model: Callable[[], Generate],
+    output: str,
+    attempts: int = 1,
+    prompts_per_commit: int = PROMPTS_PER_COMMIT,
+    **options,
+) -> DataFrame:
+    """Replies to all ``examples`` (``example_index``, ``prompt``), stored below ``output`` as they are made.
+
+    The prompts are worked off in parts of consecutive indexes, and the replies of a part are stored
+    by one job. A run that broke off goes on when called again: only prompts without a stored
+    reply, and failed ones with fewer than ``attempts`` attempts, are given to the model. Nothing
+    stored is changed, so rows that a broken job left are used, and two runs at once only do work
+    twice. ``options`` are those of ``predict``. Examples without an index are left out.
+    """
+    spark = examples.sparkSession
+    known = examples.filter(F.col("example_index").isNotNull()).select("example_index", "prompt")
+    while True:
+        stored = read_predictions(spark, output)
+        settled = stored.filter(F.col("predicted_text").isNotNull() | (F.col("attempts") >= attempts))
+        left = known.join(settled.select("example_index"), "example_index", "left_anti")
+        low, high, n = left.agg(F.min("example_index"), F.max("example_index"), F.count("*")).first()
+        if not n:
+            return stored
+        width = max(prompts_per_commit, -(-(high - low + 1) // MOST_COMMITS))
+        part = F.floor((F.col("example_index") - low) / width)
+        for (at,) in sorted(left.select(part.alias("part")).distinct().collect()):
+            inside = F.col("example_index").between(low + at * width, low + (at + 1) * width - 1)
+            made = predict(left.filter(inside), load_model, **options)
+            made.select("example_index", "predicted_text", "generation_error").write.parquet(f"{output}/part_{uuid.uuid4().hex}")

@@ -9,7 +9,7 @@ from chatlake.formats import base
 from chatlake.formats.registry import FLAT_CALLS
 from chatlake.functions import messages as M
 from chatlake.functions import toolcall as C
-from chatlake.inference import predict
+from chatlake.inference import generate, predict
 from chatlake.operators import metrics
 from chatlake.operators.ordering import first_examples
 from chatlake.operators.scoring import attach_predictions, results, score
@@ -183,6 +183,29 @@ def predict_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def predict_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies to all documents, by a model that breaks off, goes on, and fails for ever on some
+    prompts: in the end each prompt has its reply or its last error, and how often it was tried."""
+    path = staged_path(spark, "replies")
+    prompts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("example_index"), F.col("text").alias("prompt"))
+
+    def model(broken):
+        def load_model():
+            def reply(prompt, max_tokens, temperature):
+                if len(prompt) % 5 == 0 or broken and len(prompt) % 3 == 0:
+                    raise ValueError(f"length {len(prompt)}")
+                return f"{len(prompt)}"
+
+            return reply
+
+        return load_model
+
+    # the first run saw the first documents only, and failed on more of them
+    generate(prompts.filter("example_index % 2 = 0"), model(True), path, prompts_per_commit=1000)
+    made = generate(prompts, model(False), path, attempts=3, prompts_per_commit=1000)
+    return made.select("example_index", "predicted_text", "generation_error", F.col("attempts").cast("int").alias("attempts"))
+
+
 def in_files(df: DataFrame, spread: list[str], label: str) -> DataFrame:
     """A stream of ``df``, written in four files in no order and read one file a batch."""
     path = staged_path(df.sparkSession, label)
@@ -230,6 +253,7 @@ QUERIES = {
     "eval_limit": eval_limit,
     "running_accuracy": running_accuracy,
     "predict_hook": predict_hook,
+    "predict_resume": predict_resume,
     "accuracy_stream": accuracy_live,
 }
 
@@ -308,6 +332,11 @@ ORACLE = {
                 round(avg(CAST(correct AS DOUBLE)) OVER (
                   PARTITION BY user_id ORDER BY example_index ROWS UNBOUNDED PRECEDING), 6) AS accuracy_so_far
          FROM scored""",
+    "predict_resume": """
+        SELECT doc_id AS example_index, CASE WHEN length(text) % 5 <> 0 THEN CAST(length(text) AS VARCHAR) END AS predicted_text,
+               CASE WHEN length(text) % 5 = 0 THEN 'ValueError: length ' || length(text) END AS generation_error,
+               CASE WHEN length(text) % 5 = 0 THEN 3 WHEN doc_id % 2 = 0 AND length(text) % 3 = 0 THEN 2 ELSE 1 END AS attempts
+        FROM documents""",
     "predict_hook": "SELECT doc_id, 'echo' AS name, CAST(length(text) AS BIGINT) AS n FROM documents",
     "accuracy_stream": SQL + "SELECT run_id," + _SUMMARY + "GROUP BY run_id",
 }

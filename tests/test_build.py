@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from chatlake import session
 from chatlake.formats.registry import REPLY_MESSAGES
-from chatlake.inference import predict
+from chatlake.inference import generate, predict, read_predictions
 from chatlake.plans.build import Dataset, build_missing, inventory_digest, read_builds
 from chatlake.sources import manifest, parquet
 from chatlake.sources.sinks import write_splits
@@ -69,6 +69,54 @@ def test_failed_generation_gives_null(spark):
     assert got == {"x": "x:512:0.0", "bad": None, "y": "y:512:0.0"}
 
 
+def test_a_broken_run_goes_on(spark, tmp_path):
+    out, log = str(tmp_path / "replies"), tmp_path / "asked"
+    log.mkdir()
+    rows = spark.createDataFrame([(i, f"p{i}") for i in range(40)] + [(None, "no index"), (10**9, "far")], "example_index long, prompt string")
+
+    def model(run, fails):
+        def load_model():
+            def reply(prompt, max_tokens, temperature):
+                with open(log / f"{run}-{prompt}", "a") as f:
+                    f.write("x")
+                if prompt in fails:
+                    raise RuntimeError(prompt)
+                return f"{run}:{prompt}"
+
+            return reply
+
+        return load_model
+
+    class Broken(Exception):
+        pass
+
+    writes = []
+    real = type(rows.write).parquet
+
+    def parquet(self, path, *more, **options):
+        writes.append(path)
+        if len(writes) == 3:
+            raise Broken
+        return real(self, path, *more, **options)
+
+    type(rows.write).parquet = parquet
+    try:
+        with pytest.raises(Broken):
+            generate(rows.filter("example_index < 100"), model(1, {"p3"}), out, prompts_per_commit=10)
+    finally:
+        type(rows.write).parquet = real
+    first = {r.example_index: r.predicted_text for r in read_predictions(spark, out).collect()}
+    assert set(first) == set(range(20))
+    done = {r.example_index: r for r in generate(rows, model(2, {"p3", "p5", "p39"}), out, attempts=2, prompts_per_commit=10).collect()}
+    assert set(done) == {*range(40), 10**9}
+    assert {i for i, r in done.items() if r.predicted_text is None} == {3, 39}
+    assert (done[3].generation_error, done[3].attempts, done[39].attempts, done[7].attempts) == ("RuntimeError: p3", 2, 2, 1)
+    assert all(done[i].predicted_text == t for i, t in first.items() if t is not None)
+    assert not list(log.glob("2-p7")) and list(log.glob("2-p25")) and not list(log.glob("*-no index"))
+    asked = len(list(log.glob("3-*")))
+    assert generate(rows, model(3, set()), out, attempts=2).count() == 41 and len(list(log.glob("3-*"))) == asked == 0
+
+
 def test_lookup_is_broadcast_only_when_small(spark):
     rows = spark.range(1000).select(F.col("id"), F.repeat(F.lit("x"), 100).alias("t"))
     big = rows.join(session.lookup(rows, limit_bytes=1000).alias("l"), "id")
