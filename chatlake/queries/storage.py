@@ -84,14 +84,14 @@ def jsonl_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _document_rows(spark, sf_dir).select(
         "example_index",
         F.col("problem").isNotNull().alias("broken"),
-        F.try_element_at("messages", F.lit(1)).getField("content").alias("content"),
+        F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n").alias("conversation"),
     )
 
 
 def jsonl_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training splits of lines some of which are broken; those count in the total."""
+    """Training splits of lines some of which are broken; those count in the total. Whole texts."""
     rows = _document_rows(spark, sf_dir)
-    return build.training_splits(rows, REPLY_MESSAGES).select("example_index", "split", "completion")
+    return build.training_splits(rows, REPLY_MESSAGES).select("example_index", "split", "text")
 
 
 # Values that a field of a line may have, of every JSON kind, by doc_id.
@@ -341,13 +341,14 @@ ORACLE = {
     "line_count": "SELECT CAST(count(*) AS BIGINT) AS lines FROM conversations",
     "jsonl_messages": _LINES
     + """SELECT CAST(example_index AS BIGINT) AS example_index, broken,
-                CASE WHEN NOT broken THEN content END AS content
+                CASE WHEN NOT broken THEN 'user: ' || content || chr(10) || 'assistant: ok' END AS conversation
          FROM lines""",
     "jsonl_splits": _LINES
     + """SELECT CAST(example_index AS BIGINT) AS example_index,
                 CASE WHEN example_index * 10 < total * 8 THEN 'train'
                      WHEN example_index * 10 < total * 9 THEN 'valid' ELSE 'test' END AS split,
-                '<|im_start|>assistant' || chr(10) || 'ok<|im_end|>' || chr(10) AS completion
+                '<|im_start|>user' || chr(10) || content || '<|im_end|>' || chr(10)
+                || '<|im_start|>assistant' || chr(10) || 'ok<|im_end|>' || chr(10) AS text
          FROM lines WHERE NOT broken""",
     "jsonl_types": """
         WITH docs AS (
