@@ -219,7 +219,8 @@ def covered(n: int, pieces: list[dict]) -> np.ndarray:
 
 def _parsed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     texts = _texts(docs, id_col, text_col, *more)
-    return texts.join(lookup(matches(texts.select("id", "text"))), "id", "left")
+    # not by broadcast where factors are few: what a text costs is the same at every size
+    return texts.join(matches(texts.select("id", "text")), "id", "left")
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[dict], np.ndarray]]:
