@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chatlake.session import remove_tree, staged_path
+
 # Generation defaults, greedy decoding.
 MAX_TOKENS = 512
 TEMPERATURE = 0.0
@@ -21,8 +23,9 @@ Generate = Callable[..., str]
 
 REPLY = "struct<text:string,error:string>"
 COMMITTED = "example_index long, predicted_text string, generation_error string"
-# Prompts whose replies are stored together, and the most such parts of one run.
-PROMPTS_PER_COMMIT, MOST_COMMITS = 100_000, 1000
+# Prompts whose replies are stored together, the most parts of consecutive indexes that a run is
+# divided into, and the most jobs that work them off.
+PROMPTS_PER_COMMIT, MOST_COMMITS, MOST_JOBS = 100_000, 1000, 16
 
 
 def predict(
@@ -97,14 +100,19 @@ def generate(
 ) -> DataFrame:
     """Replies to all ``examples`` (``example_index``, ``prompt``), stored below ``output`` as they are made.
 
-    The prompts are worked off in parts of consecutive indexes, and the replies of a part are stored
-    by one job. A run that broke off goes on when called again: only prompts without a stored
-    reply, and failed ones with fewer than ``attempts`` attempts, are given to the model. Nothing
-    stored is changed, so rows that a broken job left are used, and two runs at once only do work
-    twice. ``options`` are those of ``predict``. Examples without an index are left out.
+    The prompts are worked off in parts of consecutive indexes, a job for each of them or, where they
+    are many, for some that follow each other. A task takes about ``prompts_per_commit`` prompts at
+    most and stores their replies when it ends, so a job that breaks off leaves those of its
+    finished tasks; a round has MOST_COMMITS such tasks or as many as there are cores. A run that broke off goes on when called again: only prompts
+    without a stored reply, and failed ones with fewer than ``attempts`` attempts, are given to the
+    model. Nothing stored is changed, so rows that a broken job left are used, and two runs at once
+    only do work twice. ``options`` are those of ``predict``. Examples without an index are left out.
+
+    What is left is looked up once a round and staged by job, so that no job reads the prompts of another.
     """
     spark = examples.sparkSession
     known = examples.filter(F.col("example_index").isNotNull()).select("example_index", "prompt")
+    spread = options.pop("partitions", None) or spark.sparkContext.defaultParallelism
     while True:
         stored = read_predictions(spark, output)
         settled = stored.filter(F.col("predicted_text").isNotNull() | (F.col("attempts") >= attempts))
@@ -113,8 +121,24 @@ def generate(
         if not n:
             return stored
         width = max(prompts_per_commit, -(-(high - low + 1) // MOST_COMMITS))
+        together = max(prompts_per_commit, -(-n // MOST_COMMITS))
         part = F.floor((F.col("example_index") - low) / width)
-        for (at,) in sorted(left.select(part.alias("part")).distinct().collect()):
-            inside = F.col("example_index").between(low + at * width, low + (at + 1) * width - 1)
-            made = predict(left.filter(inside), load_model, **options)
-            made.select("example_index", "predicted_text", "generation_error").write.parquet(f"{output}/part_{uuid.uuid4().hex}")
+        parts = sorted(left.groupBy(part.alias("part")).count().collect())
+        each = -(-len(parts) // MOST_JOBS)
+        jobs = [parts[i : i + each] for i in range(0, len(parts), each)]
+        begins = F.array(*[F.lit(job[0]["part"]) for job in jobs])
+        staged = staged_path(spark, "prompts")
+        # as many cells as keep all cores busy and hold a part each
+        cells = max(-(-spread // len(jobs)), -(-n // (len(jobs) * together)))
+        placed = left.withColumn("_job", F.size(F.filter(begins, lambda b: b <= part)) - 1)
+        placed = placed.repartition("_job", F.pmod(F.xxhash64("example_index"), F.lit(cells)))
+        placed.write.partitionBy("_job").format("parquet").save(staged)
+        for at, job in enumerate(jobs):
+            prompts = spark.read.schema(left.schema).parquet(f"{staged}/_job={at}")
+            tasks = max(spread, -(-sum(p["count"] for p in job) // together))
+            made = predict(prompts, load_model, partitions=tasks, **options)
+            made = made.select("example_index", "predicted_text", "generation_error")
+            # under this version a task's file is in place when the task ends
+            keeping = made.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+            keeping.parquet(f"{output}/part_{uuid.uuid4().hex}")
+        remove_tree(spark, staged)
