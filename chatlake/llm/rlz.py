@@ -18,7 +18,8 @@ text as one with a smaller id are wholly copied if they have a window at all; th
 apart first, so large groups of copies are neither indexed nor compared.
 
 What one step leaves for the next is written, and the files of finished steps go before the next
-one begins: at most one shuffle of texts and those of the windows are on disk at a time.
+one begins: at most one shuffle of texts and those of the windows are on disk at a time. Texts go to
+Python in batches of bounded bytes, so an executor needs little memory besides its heap.
 
 Null and empty texts have no words, and texts under WINDOW words lose none. Repeated rows
 with one id and text are one document to each other and lose nothing by that. A text without
@@ -39,11 +40,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm.common import release, staged, text_of
+from chatlake.llm.common import release, small_batches, staged, text_of
 from chatlake.session import lookup
 
 WINDOW = 13
 ANCHOR = 4
+# Rows of windows that a task hands on at once, or more if one text has more.
+WINDOW_ROWS = 1 << 16
 # Keys from here on stand for texts without an id of their own.
 APART = 1 << 62
 FACTORS = "factors array<struct<start:int,words:int,source:long,source_start:int>>"
@@ -134,6 +137,13 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    made: list[tuple[np.ndarray, ...]] = []
+    size = 0
+
+    def out() -> pa.RecordBatch:
+        w, own, spot = (np.concatenate(c) for c in zip(*made))
+        return pa.RecordBatch.from_arrays([_signed(w), pa.array(own), _signed(spot)], ["w", "id", "spot"])
+
     for batch in batches:
         ids, texts, known = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
         for i, key in enumerate(ids):
@@ -147,7 +157,13 @@ def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 whole += word * _ODD[k]
                 check += word * _ODD[_CHECK + k]
             spot = (at.astype(np.uint64) << np.uint64(32)) | (_mixed(check) >> np.uint64(32))
-            yield pa.RecordBatch.from_arrays([_signed(_mixed(whole)), pa.array(np.full(len(at), key, np.int64)), _signed(spot)], ["w", "id", "spot"])
+            made.append((_mixed(whole), np.full(len(at), key, np.int64), spot))
+            size += len(at)
+            if size > WINDOW_ROWS:
+                yield out()
+                made, size = [], 0
+    if size:
+        yield out()
 
 
 def _shared_anchors(texts: DataFrame, copied: DataFrame) -> DataFrame:
@@ -182,16 +198,17 @@ def matches(texts: DataFrame) -> DataFrame:
     """``id``, ``copy_of`` (the first document with the whole text, if it is a copy) and the ``factors``
     of a document, as structs of start, words, source and start there."""
     spark = texts.sparkSession
-    copied = staged(copies(texts), "copies")
-    windows = _windows(texts, _shared_anchors(texts, copied))
-    first = windows.groupBy("w", "check").agg(F.min("id").alias("source"), F.min_by("at", "id").alias("source_at"), F.max("id").alias("last"))
-    # joined by another key than they were grouped by: again two plain exchanges
-    turned = F.bitwise_not("w").alias("v")
-    first = first.where("source < last").select(turned, "check", "source", "source_at")
-    found = windows.select(turned, "check", "id", "at").join(first, ["v", "check"]).where("id > source")
-    found = found.groupBy("id").agg(F.collect_list(F.struct("at", "source", "source_at")).alias("found"))
-    parsed = staged(found.mapInArrow(_parse, f"id long, {FACTORS}"), "factors")
-    release(spark, windows)
+    with small_batches(spark):
+        copied = staged(copies(texts), "copies")
+        windows = _windows(texts, _shared_anchors(texts, copied))
+        first = windows.groupBy("w", "check").agg(F.min("id").alias("source"), F.min_by("at", "id").alias("source_at"), F.max("id").alias("last"))
+        # joined by another key than they were grouped by: again two plain exchanges
+        turned = F.bitwise_not("w").alias("v")
+        first = first.where("source < last").select(turned, "check", "source", "source_at")
+        found = windows.select(turned, "check", "id", "at").join(first, ["v", "check"]).where("id > source")
+        found = found.groupBy("id").agg(F.collect_list(F.struct("at", "source", "source_at")).alias("found"))
+        parsed = staged(found.mapInArrow(_parse, f"id long, {FACTORS}"), "factors")
+        release(spark, windows)
     return parsed.join(copied, "id", "full").select("id", "copy_of", "factors")
 
 
@@ -252,7 +269,9 @@ def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             yield pa.RecordBatch.from_arrays(arrays, [id_col, "n_words", "n_removed", "kept_sha256", "factors"])
 
     ddl = f"`{id_col}` long, n_words long, n_removed long, kept_sha256 string, {FACTORS}"
-    return _parsed(docs, id_col, text_col).select("own_id", "text", "copy_of", "factors").mapInArrow(work, ddl)
+    done = _parsed(docs, id_col, text_col).select("own_id", "text", "copy_of", "factors").mapInArrow(work, ddl)
+    with small_batches(docs.sparkSession):
+        return staged(done, "removal")
 
 
 def cut(text: bytes, mask: np.ndarray) -> bytes:
