@@ -26,8 +26,8 @@ and names in some languages, to which a caller may add.
 Null and empty texts have no words: such documents leak nothing and such items are in no
 document. Repeated documents are reported once per id, repeated items once; a null id of a
 document or item is an id like any other. An empty table gives no rows. Other columns are not
-read. The windows of a text are an array in its row, of some 100 bytes a word, so a row needs
-memory in proportion to its text.
+read. The words of a text are arrays in its row, so a row needs memory in proportion to its
+text; its windows are rows, made from their places one after the other.
 """
 
 from __future__ import annotations
@@ -83,23 +83,20 @@ def words(table: DataFrame, id_col: str, text_col: str, units: list[str] = UNITS
 def windows(found: DataFrame, lengths: list[int]) -> DataFrame:
     """``id``, ``at``, ``h`` (hash of the template, of the values where fewer than LITERALS words
     are plain) and ``slots`` (values behind its placeholders)."""
-    arrays = []
+    out = None
     for n in lengths:
-        places, plain = (", ".join(f"get({a}, w.at + {k})" for k in range(n)) for a in ("template", "values"))
-        some = f"""filter(slice(values, i + 1, {n}), (v, k) -> get(template, i + k) <> v)"""
-        arrays.append(
-            f"""transform(transform(sequence(0, size(values) - {n}), i -> struct(i AS at, CASE WHEN typed THEN {some} ELSE plain_slots END AS slots)),
-                w -> struct(w.at AS at, CASE WHEN {n} - size(w.slots) < {LITERALS} THEN xxhash64(-{n}, {plain}) ELSE xxhash64({n}, {places}) END AS h,
-                w.slots AS slots))"""
+        # shorter than LITERALS words, only a whole text counts
+        fits = F.size("values") >= n if n >= LITERALS else F.size("values") == n
+        placed = found.select("id", "values", "template", F.explode(F.when(fits, F.sequence(F.lit(0), F.size("values") - n))).alias("at"))
+        places, plain = ([F.get(a, F.col("at") + k) for k in range(n)] for a in ("template", "values"))
+        # without lambdas, so that a window costs compiled code only, and its slots only if it is matched
+        n_slots = sum((F.when(t != v, 1).otherwise(0) for t, v in zip(places, plain)), F.lit(0))
+        part = placed.select(
+            "id",
+            "at",
+            F.when(F.lit(n) - n_slots < LITERALS, F.xxhash64(F.lit(-n), *plain)).otherwise(F.xxhash64(F.lit(n), *places)).alias("h"),
+            F.array_remove(F.array(*(F.when(t != v, v).otherwise("") for t, v in zip(places, plain))), "").alias("slots"),
         )
-    # shorter than LITERALS words, only a whole text counts
-    each = [f"CASE WHEN size(values) {'>=' if n >= LITERALS else '='} {n} THEN {a} END" for n, a in zip(lengths, arrays)]
-    flags = found.withColumns(
-        {"typed": F.expr("exists(template, t -> t >= '<' AND t < '=')"), "plain_slots": F.expr("cast(array() AS array<string>)")}
-    )
-    out = None
-    for expression in each:
-        part = flags.select("id", F.explode(F.expr(expression)).alias("w")).select("id", "w.at", "w.h", "w.slots")
         out = part if out is None else out.union(part)
     return out
 
