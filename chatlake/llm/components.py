@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatlake.session import checkpointed
+from chatlake.session import checkpointed, gathered
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step of alternating stars over edges (a, b) with a > b: neighbours are hung on
+def _star(edges: DataFrame, large: bool, n: int) -> DataFrame:
+    """One step of alternating stars over ``n`` edges (a, b) with a > b, or fewer: neighbours are hung on
     the least node around; in a large step those above a node, in a small one those below."""
     if large:
         around = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -17,14 +17,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         around = edges
     # stored first, so that both sides of the join come from plain exchanges and a node with
     # very many neighbours can be split among tasks
-    least = checkpointed(around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).where("m < a"))
+    least = gathered(around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).where("m < a"), n)
     if large:
         joined = around.where("b > a").join(least, "a", "left")
         moved = joined.select(F.col("b").alias("a"), F.coalesce("m", "a").alias("b"))
     else:
         joined = around.join(least, "a")
         moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-    return checkpointed(moved.where("a > b").distinct())
+    return gathered(moved.where("a > b").distinct(), n if large else 2 * n)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,13 +34,13 @@ def components(edges: DataFrame) -> DataFrame:
     component's size."""
     known = edges.where("a is not null and b is not null and a <> b")
     current = checkpointed(known.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = None
+    mark, n = None, current.count()
     while True:
-        current = _star(_star(current, large=True), large=False)
+        current = _star(_star(current, large=True, n=n), large=False, n=n)
         hashed = F.xxhash64("a", "b").cast("decimal(20,0)")
         new = tuple(current.agg(F.count("*"), F.sum(hashed)).first())
         if new == mark or new[0] == 0:
             break
-        mark = new
+        mark, n = new, new[0]
     centres = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(centres)

@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatlake.session import checkpointed, lookup
+from chatlake.session import checkpointed, gathered, lookup
 
 WINDOW = 8
 LITERALS = 3
@@ -113,21 +113,22 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
         part = windows(found.where(of_length).select(F.col("row").alias("id"), "values", "template"), [n]).withColumn("length", F.lit(n))
         every = part if every is None else every.union(part)
     every = checkpointed(every.withColumnRenamed("id", "row"))
+    total = every.count()
     # equal values in the same places: the place where each value of a slot comes first
     slots = F.expr("filter(values, (v, i) -> get(template, i) <> v)")
     pattern = F.transform(slots, lambda v: F.array_position(slots, v))
     forms = every.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "h"))).alias("form"))
     named = found.select("row", "id", pattern.alias("pattern")).join(forms, "row")
-    named = checkpointed(named.select("row", "id", F.xxhash64("form", "pattern").alias("class"), F.xxhash64(F.lit(1), "pattern", "form").alias("check")))
+    named = gathered(named.select("row", "id", F.xxhash64("form", "pattern").alias("class"), F.xxhash64(F.lit(1), "pattern", "form").alias("check")), total)
     classes = named.groupBy("class", "check").agg(F.min("row").alias("row"), F.min("id").alias("item"), F.count_distinct(F.struct("id")).alias("n_items"))
     few = F.col("length") - F.size("slots") < LITERALS
     sizes = every.groupBy("row").agg(F.count_if(~few).alias("telling"), F.count("*").alias("n_windows"))
     sizes = sizes.withColumn("n", F.when(F.col("telling") > 0, F.col("telling")).otherwise(F.col("n_windows")))
     first = classes.join(sizes, "row").join(every, "row")
-    known = checkpointed(first.select(F.col("row").alias("class"), "item", "n_items", "n", "n_windows", F.col("at").alias("item_at"), "h", F.col("slots").alias("item_slots"), "length"))
+    known = gathered(first.select(F.col("row").alias("class"), "item", "n_items", "n", "n_windows", F.col("at").alias("item_at"), "h", F.col("slots").alias("item_slots"), "length"), total)
     members = named.select("row", "class", "check").join(classes.select("class", "check", F.col("row").alias("of")), ["class", "check"])
     values = every.join(members, "row").select(F.col("of").alias("class"), F.col("at").alias("item_at"), F.xxhash64("slots").alias("own")).distinct()
-    return known, checkpointed(values)
+    return known, gathered(values, total)
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

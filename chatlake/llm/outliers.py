@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatlake.llm.common import SPACE_CLASS, SPACES, staged, text_of
-from chatlake.session import BROADCAST_LIMIT_BYTES, checkpointed, estimated_bytes, lookup
+from chatlake.session import BROADCAST_LIMIT_BYTES, checkpointed, estimated_bytes, few, lookup
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -109,7 +109,7 @@ def _strata(passed: DataFrame, lang_col: str, source_col: str) -> DataFrame:
     """Language, source and the name of the stratum that estimates for them; few rows."""
     groups = passed.groupBy(F.col(lang_col).alias("__lang"), F.col(source_col).alias("__source")).agg(F.count("*").alias("n"))
     own = F.to_json(F.struct(F.lit(2).alias("k"), F.col("__lang").alias("l"), F.col("__source").alias("s")))
-    groups = checkpointed(groups.withColumn("stratum", F.when(F.col("n") >= MIN_ROWS, own)))
+    groups = few(groups.withColumn("stratum", F.when(F.col("n") >= MIN_ROWS, own)))
     left = groups.where("stratum is null")
     langs = left.groupBy("__lang").agg((F.sum("n") >= MIN_ROWS).alias("enough"))
     pooled = F.to_json(F.struct(F.lit(1).alias("k"), F.col("g.__lang").alias("l")))
@@ -118,7 +118,7 @@ def _strata(passed: DataFrame, lang_col: str, source_col: str) -> DataFrame:
         .join(langs.alias("l"), F.expr("g.__lang <=> l.__lang"))
         .select("g.__lang", "g.__source", F.when(F.col("l.enough"), pooled).otherwise(F.lit('{"k":0}')).alias("stratum"))
     )
-    return checkpointed(groups.where("stratum is not null").select("__lang", "__source", "stratum").union(small))
+    return few(groups.where("stratum is not null").select("__lang", "__source", "stratum").union(small))
 
 
 def _factor(mean: list[Column], product: dict[tuple[int, int], Column]) -> dict[str, Column]:
@@ -204,9 +204,9 @@ def consistency() -> float:
 def fit(rows: DataFrame) -> DataFrame:
     """Best estimate per stratum from ``rows`` (``stratum`` and AXES); few rows result."""
     total = rows.groupBy("stratum").agg(F.count("*").alias("rows"))
-    total = checkpointed(total.where(F.col("rows") >= MIN_ROWS))
+    total = few(total.where(F.col("rows") >= MIN_ROWS))
     starts = _estimates(rows.withColumn("start", F.lit(0))).unionByName(_quartile_start(rows)).join(total, "stratum")
-    params = checkpointed(starts.withColumn("moving", F.lit(True)))
+    params = few(starts.withColumn("moving", F.lit(True)))
     keys = ["stratum", "start"]
     values = [c for c in params.columns if c not in (*keys, "rows", "moving")]
     # all frames joined below are as many rows or fewer, and as wide
@@ -217,7 +217,7 @@ def fit(rows: DataFrame) -> DataFrame:
         counts = near.groupBy(*keys, "rows", "bin").agg(F.count("*").alias("n"))
         along = Window.partitionBy(*keys).orderBy("bin")
         reached = counts.withColumn("upto", F.sum("n").over(along)).where(F.col("upto") >= F.ceil(F.col("rows") * SUBSET))
-        edge = checkpointed(reached.groupBy(*keys).agg(F.min("bin").alias("edge")))
+        edge = few(reached.groupBy(*keys).agg(F.min("bin").alias("edge")))
         inner = near.join(hint(edge), keys).where("bin <= edge")
         new = _estimates(inner.select(*keys, *AXES)).select(*keys, F.struct(*values).alias("new"))
         least = F.col("log_det") - SETTLED * F.greatest(F.lit(1.0), F.abs("log_det"))
@@ -226,10 +226,10 @@ def fit(rows: DataFrame) -> DataFrame:
         taken = F.coalesce(F.col("moving") & F.col("new").isNotNull() & taken, F.lit(False))
         joined = params.join(hint(new), keys, "left").withColumn("taken", taken)
         kept = [F.when(F.col("taken"), F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in values]
-        params = checkpointed(joined.select(*keys, "rows", *kept, F.col("taken").alias("moving")))
+        params = few(joined.select(*keys, "rows", *kept, F.col("taken").alias("moving")))
         first, moving = False, params.agg(F.max("moving")).first()[0]
     best = params.groupBy("stratum").agg(F.min_by(F.struct("*"), F.struct("log_det", "start")).alias("b"))
-    return checkpointed(best.select("b.*").drop("start", "rows", "moving"))
+    return few(best.select("b.*").drop("start", "rows", "moving"))
 
 
 class Rules:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from chatlake.llm.common import text_of
 from chatlake.llm.components import components
-from chatlake.session import checkpointed
+from chatlake.session import checkpointed, gathered
 
 SEED = 42
 # Words in a shingle.
@@ -107,13 +107,14 @@ def chain_holds(a: Column, b: Column, segment: Column) -> Column:
 
 def links(distinct: DataFrame) -> DataFrame:
     """Edges (a, b) that connect all fingerprints (column ``fp``, each once) within DISTANCE."""
+    n = distinct.count()
     free = free_chain() * SEGMENT_BITS
     slots = F.array(
         *[_turned(F.col("fp"), s).bitwiseAND(_low(free)).bitwiseOR(F.lit(s << free).cast("long")) for s in range(SEGMENTS)]
     )
     placed = checkpointed(distinct.select("fp", F.explode(slots).alias("slot")))
     counted = placed.groupBy("slot").agg(F.count("*").alias("members")).where("members > 1")
-    shared = checkpointed(placed.join(counted, "slot"))
+    shared = gathered(placed.join(counted, "slot"), SEGMENTS * n)
     few = shared.where(F.col("members") <= FULL_BUCKET).groupBy("slot").agg(F.collect_list("fp").alias("fps"))
     pairs = few.select("slot", F.explode("fps").alias("a"), "fps").select("slot", "a", F.explode("fps").alias("b")).where("a < b")
     segment = F.shiftrightunsigned(F.col("slot"), free)
@@ -123,22 +124,26 @@ def links(distinct: DataFrame) -> DataFrame:
         raise ValueError("full buckets are linked by one-bit neighbours, which is exact for two bits only")
     full = shared.where(F.col("members") > FULL_BUCKET).select("fp").distinct()
     flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << b if b < 63 else -(1 << 63)).cast("long") for b in range(64)])
+    full = gathered(full, 65 * n)
     near = checkpointed(full.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("z")))
-    centre = checkpointed(near.groupBy("z").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").select("z", "b"))
+    centre = near.groupBy("z").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").select("z", "b")
+    # a centre stands for two rows of near at least
+    centre = gathered(centre, near.count() // 2)
     around = near.join(centre, "z").select(F.col("fp").alias("a"), "b").where("a <> b").distinct()
     return close.union(around)
 
 
 def grouped(marked: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``marked`` (an id column and ``fp``) with ``component_id``, the least id reachable by ``links``."""
-    distinct = checkpointed(marked.groupBy("fp").agg(F.min(id_col).alias("least")))
+    n = marked.count()
+    distinct = gathered(marked.groupBy("fp").agg(F.min(id_col).alias("least")), SEGMENTS * n)
     linked = components(links(distinct.select("fp")))
     whole = distinct.join(linked, distinct.fp == linked.node, "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
-    whole = checkpointed(whole)
+    whole = gathered(whole, n)
     names = whole.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = checkpointed(whole.join(names, "component").select("fp", "component_id"))
+    named = gathered(whole.join(names, "component").select("fp", "component_id"), n)
     return marked.join(named, "fp")
 
 
@@ -151,8 +156,9 @@ def first_of_each(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", t
     """The rows of ``docs`` whose id names their component. Rows with equal ids count as one
     document, which goes only if none of its texts stays; so do the rows without an id, whose
     texts stay where no member of the component has an id."""
-    found = near_duplicates(docs, width, id_col, text_col)
+    marked = checkpointed(fingerprints(docs, width, id_col, text_col))
+    found = grouped(marked, id_col)
     names = F.col(id_col).eqNullSafe(F.col("component_id"))
     later = found.groupBy(F.col(id_col).alias("__later")).agg(F.bool_or(names).alias("stays")).where("not stays")
-    later = checkpointed(later.select("__later"))
+    later = gathered(later.select("__later"), marked.count())
     return docs.join(later, F.col(id_col).eqNullSafe(F.col("__later")), "left_anti")
